@@ -22,33 +22,46 @@ def split_column(order: str, split_width: float | None) -> F.Column:
 
 
 def neighbours(df: DataFrame, keys: Sequence[str], order: str, carry: Sequence[str], *,
-               split: str = "_split", prev_prefix: str = "previous_", next_name: str | None = None) -> DataFrame:
-    """Add ``previous_<c>`` for every ``carry`` column and ``next_name`` = next ``order`` value.
+               newest_first: Sequence[str] = (), split_width: float | None = 86400.0,
+               prev_prefix: str = "previous_", next_name: str | None = None) -> DataFrame:
+    """Previous row's ``carry`` columns (``previous_<c>``) and the next ``order`` value, per key.
 
-    ``df`` must already contain the ``split`` column (a function of ``order``) and have a
-    unique ``order`` value per key.  ``df`` should be partitioned by ``keys + [split]`` so
-    the local window needs no further exchange.
+    Rows sharing one ``order`` value within a key collapse to one representative: the
+    greatest by ``newest_first`` (descending).  Rows with a null key or order are dropped.
+
+    Plan: one hash exchange on (keys, range of ``order``) and a window per range.  Only rows
+    at a range edge (no in-range predecessor or successor; two per range at most) go
+    through a second window keyed by ``keys`` alone, which links consecutive ranges; the
+    interior rows are final after the first window.  No join, no per-key task over all rows.
     """
     keys = list(keys)
+    split = "_split"
     part = keys + [split]
-    local_w = Window.partitionBy(*part).orderBy(order)
+    not_null = F.col(order).isNotNull()
+    for k in keys:
+        not_null = not_null & F.col(k).isNotNull()
+    keyed = (df.where(not_null)
+               .withColumn(split, split_column(order, split_width))
+               .repartition(*part))
+    if newest_first:
+        identity = Window.partitionBy(*part, order).orderBy(*[F.col(c).desc() for c in newest_first])
+        keyed = keyed.withColumn("_rank", F.row_number().over(identity)).where(F.col("_rank") == 1).drop("_rank")
     cur = F.struct(*[F.col(c).alias(c) for c in carry])
-    local = (df.withColumn("_prev", F.lag(cur).over(local_w))
-               .withColumn("_next", F.lead(order).over(local_w)))
-    edges_w = Window.partitionBy(*keys).orderBy(order)
-    edges = (local.where(F.col("_prev").isNull() | F.col("_next").isNull())
-                  .select(*part, order, cur.alias("_cur"))
-                  .select(*part, order,
-                          F.lag("_cur").over(edges_w).alias("_edge_prev"),
-                          F.lead(order).over(edges_w).alias("_edge_next")))
-    joined = local.join(edges, part + [order], "left")
-    prev = F.when(F.col("_prev").isNull(), F.col("_edge_prev")).otherwise(F.col("_prev"))
-    out = joined.withColumn("_p", prev)
+    local_w = Window.partitionBy(*part).orderBy(order)
+    local = (keyed.withColumn("_prev", F.lag(cur).over(local_w))
+                  .withColumn("_next", F.lead(order).over(local_w)))
+    is_edge = F.col("_prev").isNull() | F.col("_next").isNull()
+    link = Window.partitionBy(*keys).orderBy(order)
+    edges = (local.where(is_edge)
+                  .withColumn("_prev", F.when(F.col("_prev").isNull(), F.lag(cur).over(link))
+                                        .otherwise(F.col("_prev")))
+                  .withColumn("_next", F.coalesce(F.col("_next"), F.lead(order).over(link))))
+    out = local.where(~is_edge).unionByName(edges)
     for c in carry:
-        out = out.withColumn(prev_prefix + c, F.col(f"_p.{c}"))
+        out = out.withColumn(prev_prefix + c, F.col(f"_prev.{c}"))
     if next_name:
-        out = out.withColumn(next_name, F.coalesce(F.col("_next"), F.col("_edge_next")))
-    return out.drop("_prev", "_next", "_edge_prev", "_edge_next", "_p")
+        out = out.withColumn(next_name, F.col("_next"))
+    return out.drop("_prev", "_next", split)
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, split: str = "_split",
