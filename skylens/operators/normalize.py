@@ -32,17 +32,21 @@ def _valid(name: str, value: Column, type_errors: Column) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def normalize_observations(events: DataFrame, *, state: str = "state",
-                           type_errors: str = "state_type_errors") -> DataFrame:
-    """Typed state events (``state`` struct + provenance columns) -> Silver rows.
+def silver_columns(*, state: Column, type_errors: Column | None = None, snapshot_time: Column | None = None,
+                   collected_at: Column | None = None, provenance: dict[str, Column] | None = None) -> list[Column]:
+    """Silver columns as expressions, so callers can embed them in any projection or struct.
 
     ``type_errors`` lists state fields that were present with a non-numeric JSON type;
     they are treated as present-but-invalid, exactly like out-of-range numbers.
     """
-    s = lambda f: F.col(f"{state}.{f}")
-    errors = F.coalesce(F.col(type_errors), F.array().cast("array<string>")) \
-        if type_errors in events.columns else F.array().cast("array<string>")
-    snapshot = F.col("snapshot_time")
+    s = lambda f: state.getField(f)
+    errors = F.coalesce(type_errors, F.array().cast("array<string>")) if type_errors is not None \
+        else F.array().cast("array<string>")
+    snapshot = snapshot_time if snapshot_time is not None else F.col("snapshot_time")
+    collected = collected_at if collected_at is not None else F.col("collected_at")
+    prov = {name: F.col(name) for name in ("observation_id", "snapshot_id", "snapshot_time", "event_time",
+                                           "event_time_basis", "collected_at", "source_object", "scope_id")}
+    prov.update(provenance or {})
 
     icao = F.lower(s("icao24"))
     values = {name: F.when(_valid(name, s(name).cast("double"), errors), s(name).cast("double"))
@@ -52,17 +56,18 @@ def normalize_observations(events: DataFrame, *, state: str = "state",
     missing = [(values[name].isNull(), f"missing_{name}") for name in REQUIRED_MEASUREMENTS]
     future = [(values[name] > snapshot, f"future_{name}") for name in FUTURE_CHECKED]
     age = snapshot.cast("double") - values["time_position"]
-    collection_age = F.col("collected_at") - snapshot.cast("double")
+    collection_age = collected - snapshot.cast("double")
     flags = flag_array(
         (~icao.rlike("^[0-9a-f]{6}$") | icao.isNull(), "invalid_icao24"),
         *invalid, *missing, *future,
         (age > STALE_SECONDS, "stale_position"),
         (collection_age < 0, "snapshot_after_collection"),
     )
-    return events.select(
-        "observation_id", "snapshot_id", "snapshot_time", "event_time", "event_time_basis", "collected_at",
+    return [
+        *[prov[name].alias(name) for name in ("observation_id", "snapshot_id", "snapshot_time", "event_time",
+                                              "event_time_basis", "collected_at")],
         F.lit(1).alias("schema_version"),
-        "source_object", "scope_id",
+        prov["source_object"].alias("source_object"), prov["scope_id"].alias("scope_id"),
         icao.alias("icao24"),
         F.nullif(strip_whitespace(s("callsign")), F.lit("")).alias("callsign"),
         *[values[name].alias(name) for name in ("latitude", "longitude", "baro_altitude", "geo_altitude",
@@ -73,7 +78,14 @@ def normalize_observations(events: DataFrame, *, state: str = "state",
         (values["latitude"].isNotNull() & values["longitude"].isNotNull()).alias("has_position"),
         s("on_ground").cast("boolean").alias("on_ground"),
         flags.alias("quality_flags"),
-    )
+    ]
+
+
+def normalize_observations(events: DataFrame, *, state: str = "state",
+                           type_errors: str = "state_type_errors") -> DataFrame:
+    """Typed state events (``state`` struct + provenance columns) -> Silver rows."""
+    errors = F.col(type_errors) if type_errors in events.columns else None
+    return events.select(*silver_columns(state=F.col(state), type_errors=errors))
 
 
 def with_event_timestamp(silver: DataFrame) -> DataFrame:

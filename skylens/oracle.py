@@ -41,7 +41,7 @@ ev AS (
 ev2 AS (
   SELECT *, (t // 10) * 10 + 10 AS snap, 'scope' || CAST(u % 2 AS VARCHAR) AS scope_id FROM ev),
 st AS (
-  SELECT scope_id,
+  SELECT e, scope_id,
     sha256(concat_ws(':', scope_id, CAST(snap AS VARCHAR), CAST(e AS VARCHAR))) AS observation_id,
     'snapshot:' || scope_id || ':' || CAST(snap AS VARCHAR) AS snapshot_id,
     snap AS snapshot_time, snap AS event_time,
@@ -171,9 +171,32 @@ SILVER_OUT = """SELECT observation_id, snapshot_id, snapshot_time, event_time, c
 FROM silver"""
 
 
+DELIVERY_CTES = (
+    """deliveries AS (
+  SELECT event_id AS e, event_id % 4 AS "partition", event_id AS "offset" FROM events
+  UNION ALL
+  SELECT event_id AS e, event_id % 4 AS "partition", event_id + 1000000 AS "offset" FROM events WHERE event_id % 5 = 0)""",
+    """checked AS (
+  SELECT d.*, CASE WHEN e % 97 = 0 THEN 'malformed_json' WHEN e % 83 = 0 THEN 'invalid_timestamps'
+                   WHEN e % 89 = 0 THEN 'envelope_mismatch' WHEN e % 79 = 0 THEN 'missing_source_provenance'
+              END AS error
+  FROM deliveries d)""",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     movement = _with(*MOVEMENT_CTES)
+    envelopes = _with(*DELIVERY_CTES)
     return {
+        "state_envelopes": envelopes + """SELECT c."partition", c."offset", c.error,
+  CASE WHEN c.error IS NULL THEN s.icao24 END AS icao24,
+  CASE WHEN c.error IS NULL THEN s.snapshot_time END AS snapshot_time,
+  CASE WHEN c.error IS NULL THEN s.latitude END AS latitude,
+  CASE WHEN c.error IS NULL THEN array_to_string(s.quality_flags, ',') END AS quality_flags
+FROM checked c JOIN silver s ON s.e = c.e""",
+        "first_delivery": envelopes + """SELECT c."partition", c."offset", s.icao24, s.snapshot_time, s.time_position
+FROM checked c JOIN silver s ON s.e = c.e
+WHERE c.error IS NULL AND c."offset" < 1000000""",
         "normalize_flags": _with() + SILVER_OUT,
         "flag_histogram": _with() + """SELECT flag, count(*) AS observations
 FROM (SELECT unnest(quality_flags) AS flag FROM silver) GROUP BY flag""",

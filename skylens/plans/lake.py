@@ -14,6 +14,14 @@ from skylens.operators.cells import aircraft_windows
 from skylens.operators.normalize import normalize_observations, with_event_timestamp
 
 
+def first_delivery(deliveries: DataFrame, key: str = "observation_id",
+                   order=("topic", "partition", "offset")) -> DataFrame:
+    """WN-1: the first delivery of every key by Kafka position (row_number = 1, planned as a group limit)."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(key).orderBy(*order)
+    return deliveries.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
+
+
 def deduplicated(observations: DataFrame, key: str = "observation_id") -> DataFrame:
     """STR-2 batch twin: one row per observation id (first by snapshot time, then delivery order)."""
     return observations.dropDuplicates([key])

@@ -95,6 +95,36 @@ def q_movement_pages(spark, sf_dir):
     return _round_movement(movement_pages(_movement(spark, sf_dir), page_size=200))
 
 
+def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze (PRJ-2) of the Kafka-shaped state deliveries derived from ``events``.
+
+    The generated deliveries are checkpointed (reliable checkpoint in spark.checkpoint.dir)
+    so validation reads stored messages, as it does from Kafka or a Bronze table.
+    """
+    from skylens.operators.envelope import archive_frame
+    from skylens.session import checkpoint_dir
+    from skylens.sources.events import state_deliveries
+    checkpoint_dir(spark)
+    return archive_frame(state_deliveries(table(spark, sf_dir, "events")).checkpoint())
+
+
+def q_state_envelopes(spark, sf_dir):
+    return bronze(spark, sf_dir).select(
+        "partition", "offset", F.col("parsed.error").alias("error"),
+        F.col("parsed.observation.icao24").alias("icao24"),
+        F.col("parsed.observation.snapshot_time").alias("snapshot_time"),
+        F.col("parsed.observation.latitude").alias("latitude"),
+        F.array_join("parsed.observation.quality_flags", ",").alias("quality_flags"))
+
+
+def q_first_delivery(spark, sf_dir):
+    from skylens.operators.envelope import bronze_observations
+    from skylens.plans.lake import first_delivery
+    firsts = first_delivery(bronze(spark, sf_dir).where(F.col("parsed.error").isNull())
+                            .select("topic", "partition", "offset", "parsed.observation.*"))
+    return firsts.select("partition", "offset", "icao24", "snapshot_time", "time_position")
+
+
 def queries() -> dict[str, Query]:
     return {
         "normalize_flags": q_normalize_flags,
@@ -109,4 +139,6 @@ def queries() -> dict[str, Query]:
         "overview_windows": q_overview_windows,
         "overview_summary": q_overview_summary,
         "movement_pages": q_movement_pages,
+        "state_envelopes": q_state_envelopes,
+        "first_delivery": q_first_delivery,
     }

@@ -35,7 +35,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def epoch_seconds_ntz(ts: str = "ts") -> Column:
     """Whole epoch seconds of a TIMESTAMP_NTZ (or TIMESTAMP) column, time-zone independent."""
-    return F.expr(f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, cast({ts} as timestamp_ntz)) div 1000000")
+    return F.expr(f"unix_date(cast({ts} as date)) * 86400L + hour({ts}) * 3600L + minute({ts}) * 60L"
+                  f" + cast(second({ts}) as bigint)")
 
 
 def _state_struct() -> Column:
@@ -95,3 +96,41 @@ def state_rows(events: DataFrame) -> DataFrame:
         _state_struct().alias("state"),
         F.array().cast("array<string>").alias("state_type_errors"),
     )
+
+
+def state_deliveries(events: DataFrame, topic: str = "states") -> DataFrame:
+    """Kafka-shaped deliveries of JSON state envelopes built from ``events``, with defects.
+
+    Every fifth event is delivered twice (second copy at offset + 1,000,000, same
+    partition e % 4).  Injected defects: e % 97 = 0 broken JSON; e % 83 = 0 fractional
+    snapshot_time; e % 89 = 0 state.latitude altered; e % 79 = 0 empty source bucket.
+    """
+    from skylens.operators.envelope import state_envelope_value
+
+    base = (events.select("event_id", "user_id", "event_type", "value", epoch_seconds_ntz("ts").alias("_t"))
+            .withColumn("_snap", (F.expr("_t div 10") * 10 + 10))
+            .withColumn("scope_id", F.concat(F.lit("scope"), (F.col("user_id") % 2).cast("string"))))
+    e = F.col("event_id")
+    typed = base.select(
+        "event_id", F.col("_snap").alias("snapshot_time"),
+        F.when(e % 53 == 0, (F.col("_snap") - 1).cast("double"))
+         .otherwise((F.col("_snap") + 2 + e % 4).cast("double")).alias("collected_at"),
+        _state_struct().alias("state"),
+        F.struct(F.when(e % 79 == 0, F.lit("")).otherwise(F.lit("testdata")).alias("bucket"),
+                 F.lit("events.parquet").alias("key"),
+                 F.sha2(F.concat_ws(":", F.lit("events"), F.col("_snap").cast("string")), 256).alias("sha256"))
+        .alias("source_object"))
+    altered = F.col("state").withField(
+        "latitude", F.coalesce(F.col("state.latitude"), F.lit(0.0)) + F.lit(1.0))
+    value = state_envelope_value(typed, state_override=F.when(e % 89 == 0, altered).otherwise(F.col("state")))
+    value = (F.when(e % 97 == 0, F.lit("{broken"))
+             .when(e % 83 == 0, F.regexp_replace(value, r'"snapshot_time":(\d+)', '"snapshot_time":$1.5'))
+             .otherwise(value))
+    first = typed.select("event_id", value.alias("value"), (e % 4).cast("int").alias("partition"),
+                         e.alias("offset"))
+    again = first.where(F.col("event_id") % 5 == 0).withColumn("offset", F.col("offset") + 1_000_000)
+    return (first.unionByName(again)
+            .select(F.lit(topic).alias("topic"), "partition", "offset",
+                    F.timestamp_seconds(F.lit(0) + F.col("offset") % 1000).alias("timestamp"),
+                    F.col("event_id").cast("string").cast("binary").alias("key"),
+                    F.col("value").cast("binary").alias("value")))
