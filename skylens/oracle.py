@@ -184,10 +184,95 @@ DELIVERY_CTES = (
 )
 
 
+# Expected decode of the four frame templates (public example frames) and of CPR pairs built
+# from them: an even-decided pair and an odd-decided pair.
+TEMPLATE_DECODE = """(VALUES
+  (0, 'position', 0, 38000.0, NULL, NULL, NULL, NULL),
+  (1, 'position', 1, 38000.0, NULL, NULL, NULL, NULL),
+  (2, 'identification', NULL, NULL, 'KLM1023', NULL, NULL, NULL),
+  (3, 'velocity', NULL, NULL, NULL, 159.0, 182.88, -832.0))
+  AS tpl(tpl, category, parity, altitude_ft, callsign, speed_knots, track_deg, vertical_rate_fpm)"""
+EVEN_DECIDED = (52.2572, 3.91937)
+ODD_DECIDED = (52.26578, 3.93891)
+
+RAW_CTES = """WITH rev AS (
+  SELECT event_id AS e, user_id AS u, CAST(epoch_us(ts) // 1000000 AS DOUBLE) + CAST(event_id % 1000 AS DOUBLE) / 1000 AS t1
+  FROM events),
+slots AS (
+  SELECT e, u, 0 AS slot, CASE e % 3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END AS tpl, t1 AS time, u % 7 + 1 AS rx FROM rev
+  UNION ALL
+  SELECT e, u, 1, CASE e % 3 WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 0 END, t1 + CAST(0.37 AS DOUBLE), u % 7 + 1 FROM rev
+  UNION ALL
+  SELECT e, u, 2, CASE e % 3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END, t1 + CAST(0.002 AS DOUBLE), (u + 1) % 7 + 1
+  FROM rev WHERE e % 4 = 0
+  UNION ALL
+  SELECT e, u, 3, CASE e % 3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END, t1 + CAST(0.004 AS DOUBLE), u % 7 + 1
+  FROM rev WHERE e % 16 = 0),
+checked AS (
+  SELECT *, sha256(concat_ws(':', sha256('events-raw'), CAST(e * 4 + slot AS VARCHAR))) AS reception_id,
+    e * 4 + slot AS record_index, CAST(rx AS INTEGER) AS receiver_id,
+    CASE WHEN slot <> 1 AND e % 41 = 0 THEN 'invalid_receiver_location'
+         WHEN slot <> 1 AND e % 37 = 0 THEN 'invalid_frame_format'
+         WHEN slot <> 1 AND e % 31 = 0 THEN 'crc_failure' END AS reason
+  FROM slots),
+decoded AS (
+  SELECT c.reception_id, c.record_index, c.receiver_id, c.e, c.u, c.slot, c.tpl AS tpl_id, c.time,
+    CASE WHEN c.reason IS NULL THEN 'valid' ELSE 'invalid' END AS status, c.reason,
+    CASE WHEN c.reason IS NULL OR c.reason = 'crc_failure' THEN lower(lpad(hex(c.u + 4194304), 6, '0')) END AS icao24,
+    CASE WHEN c.reason IS NULL THEN tpl.category END AS category,
+    CASE WHEN c.reason IS NULL THEN tpl.parity END AS parity,
+    CASE WHEN c.reason IS NULL THEN tpl.altitude_ft END AS altitude_ft,
+    CASE WHEN c.reason IS NULL THEN tpl.callsign END AS callsign,
+    CASE WHEN c.reason IS NULL THEN tpl.speed_knots END AS speed_knots,
+    CASE WHEN c.reason IS NULL THEN tpl.track_deg END AS track_deg,
+    CASE WHEN c.reason IS NULL THEN tpl.vertical_rate_fpm END AS vertical_rate_fpm
+  FROM checked c JOIN """ + TEMPLATE_DECODE + """ ON c.tpl = tpl.tpl),
+grouped AS (
+  SELECT *, CAST(floor(time * 100) AS BIGINT) AS bin FROM decoded WHERE status = 'valid'),
+binned AS (
+  SELECT *, count(*) OVER (PARTITION BY u, tpl_id, bin) <> count(DISTINCT receiver_id) OVER (PARTITION BY u, tpl_id, bin)
+    AS ambiguous FROM grouped),
+tx AS (
+  SELECT *, CASE WHEN ambiguous THEN reception_id ELSE CAST(u AS VARCHAR) || ':' || CAST(tpl_id AS VARCHAR) || ':'
+                 || CAST(bin AS VARCHAR) END AS tx_key FROM binned),
+lineage AS (
+  SELECT *, row_number() OVER (PARTITION BY tx_key ORDER BY time, reception_id) = 1 AS representative,
+    count(*) OVER (PARTITION BY tx_key) AS members FROM tx)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     movement = _with(*MOVEMENT_CTES)
     envelopes = _with(*DELIVERY_CTES)
+    even_lat, even_lon = EVEN_DECIDED
+    odd_lat, odd_lon = ODD_DECIDED
     return {
+        "frame_decode": RAW_CTES + """SELECT reception_id, record_index, receiver_id, status, reason, icao24, category,
+  parity, altitude_ft, callsign, speed_knots, track_deg, vertical_rate_fpm FROM decoded""",
+        "transmission_lineage": RAW_CTES + "SELECT reception_id, ambiguous, representative, members FROM lineage",
+        "cpr_positions": RAW_CTES + f""", reps AS (
+  SELECT * FROM lineage WHERE representative AND category = 'position'),
+paired AS (
+  SELECT *,
+    last_value(CASE WHEN parity = 0 THEN time END IGNORE NULLS) OVER w AS even_time,
+    last_value(CASE WHEN parity = 0 THEN reception_id END IGNORE NULLS) OVER w AS even_rec,
+    last_value(CASE WHEN parity = 1 THEN time END IGNORE NULLS) OVER w AS odd_time,
+    last_value(CASE WHEN parity = 1 THEN reception_id END IGNORE NULLS) OVER w AS odd_rec
+  FROM reps
+  WINDOW w AS (PARTITION BY u ORDER BY time, tx_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+solved AS (
+  SELECT reception_id, icao24, time AS event_time, parity,
+    CASE WHEN parity = 0 THEN odd_rec ELSE even_rec END AS partner_reception,
+    CASE WHEN parity = 0 THEN odd_time ELSE even_time END AS partner_time
+  FROM paired)
+SELECT reception_id, icao24, event_time, partner_reception,
+  CASE WHEN partner_reception IS NULL THEN 'no_prior_opposite'
+       WHEN event_time - partner_time > 10 THEN 'expired_pair' ELSE 'decoded' END AS outcome,
+  CASE WHEN partner_reception IS NULL OR event_time - partner_time > 10 THEN NULL
+       WHEN parity = 0 THEN {even_lat} ELSE {odd_lat} END AS latitude,
+  CASE WHEN partner_reception IS NULL OR event_time - partner_time > 10 THEN NULL
+       WHEN parity = 0 THEN {even_lon} ELSE {odd_lon} END AS longitude
+FROM solved""",
         "state_envelopes": envelopes + """SELECT c."partition", c."offset", c.error,
   CASE WHEN c.error IS NULL THEN s.icao24 END AS icao24,
   CASE WHEN c.error IS NULL THEN s.snapshot_time END AS snapshot_time,

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from skylens.operators.cells import aircraft_windows
 from skylens.operators.density import density_statistics
@@ -125,6 +125,42 @@ def q_first_delivery(spark, sf_dir):
     return firsts.select("partition", "offset", "icao24", "snapshot_time", "time_position")
 
 
+def _classified(spark, sf_dir):
+    from skylens.operators.receptions import receptions
+    from skylens.sources.events import raw_receptions
+    return receptions(raw_receptions(table(spark, sf_dir, "events")))[1]
+
+
+def q_frame_decode(spark, sf_dir):
+    return _classified(spark, sf_dir).select(
+        "reception_id", "record_index", "receiver_id", "status", "reason", "icao24", "category", "parity",
+        "altitude_ft", "callsign", "speed_knots", "track_deg", "vertical_rate_fpm")
+
+
+def _transmissions(spark, sf_dir):
+    from skylens.operators.receptions import transmissions
+    return transmissions(_classified(spark, sf_dir).where(F.col("status") == "valid"))
+
+
+def q_transmission_lineage(spark, sf_dir):
+    tx, lineage = _transmissions(spark, sf_dir)
+    reps = tx.select("reception_id", F.lit(True).alias("representative"))
+    return (lineage.join(reps, "reception_id", "left")
+            .select("reception_id", "ambiguous",
+                    F.coalesce(F.col("representative"), F.lit(False)).alias("representative"),
+                    F.count(F.lit(1)).over(Window.partitionBy("transmission_id")).alias("members")))
+
+
+def q_cpr_positions(spark, sf_dir):
+    from skylens.operators.reconstruct import reconstruct
+    tx, _ = _transmissions(spark, sf_dir)
+    _, quality = reconstruct(tx)
+    reps = tx.select("transmission_id", "reception_id")
+    partner = reps.select(F.col("transmission_id").alias("partner_id"), F.col("reception_id").alias("partner_reception"))
+    return (quality.join(reps, "transmission_id").join(partner, "partner_id", "left")
+            .select("reception_id", "icao24", "event_time", "partner_reception", "outcome", "latitude", "longitude"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "normalize_flags": q_normalize_flags,
@@ -141,4 +177,7 @@ def queries() -> dict[str, Query]:
         "movement_pages": q_movement_pages,
         "state_envelopes": q_state_envelopes,
         "first_delivery": q_first_delivery,
+        "frame_decode": q_frame_decode,
+        "transmission_lineage": q_transmission_lineage,
+        "cpr_positions": q_cpr_positions,
     }

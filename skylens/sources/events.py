@@ -134,3 +134,67 @@ def state_deliveries(events: DataFrame, topic: str = "states") -> DataFrame:
                     F.timestamp_seconds(F.lit(0) + F.col("offset") % 1000).alias("timestamp"),
                     F.col("event_id").cast("string").cast("binary").alias("key"),
                     F.col("value").cast("binary").alias("value")))
+
+
+# Frame templates (public example frames; the address and parity are replaced per aircraft).
+# FIXED VALUES: even position, odd position, identification, velocity.
+FRAME_TEMPLATES = ("8D40621D58C382D690C8AC2863A7", "8D40621D58C386435CC412692AD6",
+                   "8D4840D6202CC371C32CE0576098", "8D485020994409940838175B284F")
+RAW_SOURCE = "events-raw"
+
+
+def raw_receptions(events: DataFrame) -> DataFrame:
+    """Bronze-shaped raw receptions derived from ``events`` (two frames per event).
+
+    kind = e % 3: 0 -> even then odd position, 1 -> identification then velocity,
+    2 -> odd then even; frames 0.37 s apart, first at t + (e % 1000) / 1000.  Address =
+    hex(u + 0x400000).  The first frame is also heard by a second receiver 2 ms later when
+    e % 4 = 0, and again by the same receiver 4 ms later when e % 16 = 0.  Defects on the
+    first frame: e % 31 = 0 corrupted last digit, e % 37 = 0 not hex, e % 41 = 0 receiver
+    latitude 91.
+    """
+    from skylens.functions.modes import with_parity
+
+    e, u = F.col("event_id"), F.col("user_id")
+    base = events.select("event_id", "user_id", epoch_seconds_ntz("ts").alias("_t"))
+    kind = e % 3
+    first_tpl = F.when(kind == 0, F.lit(FRAME_TEMPLATES[0])).when(kind == 1, F.lit(FRAME_TEMPLATES[2])) \
+        .otherwise(F.lit(FRAME_TEMPLATES[1]))
+    second_tpl = F.when(kind == 0, F.lit(FRAME_TEMPLATES[1])).when(kind == 1, F.lit(FRAME_TEMPLATES[3])) \
+        .otherwise(F.lit(FRAME_TEMPLATES[0]))
+    address = F.lpad(F.hex(u + 0x400000), 6, "0")
+    t1 = F.col("_t").cast("double") + (e % 1000).cast("double") / 1000
+    receiver = (u % 7 + 1).cast("int")
+    other = ((u + 1) % 7 + 1).cast("int")
+    slots = F.array(
+        F.struct(F.lit(0).alias("slot"), first_tpl.alias("tpl"), t1.alias("time"), receiver.alias("rx")),
+        F.struct(F.lit(1).alias("slot"), second_tpl.alias("tpl"), (t1 + 0.37).alias("time"), receiver.alias("rx")),
+        F.struct(F.lit(2).alias("slot"), first_tpl.alias("tpl"), (t1 + 0.002).alias("time"), other.alias("rx")),
+        F.struct(F.lit(3).alias("slot"), first_tpl.alias("tpl"), (t1 + 0.004).alias("time"), receiver.alias("rx")))
+    rows = base.select("event_id", "user_id", address.alias("_addr"), F.inline(slots))
+    rows = rows.where((F.col("slot") < 2) | ((F.col("slot") == 2) & (e % 4 == 0)) | ((F.col("slot") == 3) & (e % 16 == 0)))
+    frame = with_parity(F.col("tpl"), F.col("_addr"))
+    first = F.col("slot") != 1
+    last = F.substring(frame, 28, 1)
+    frame = (F.when(first & (e % 37 == 0), F.lit("not-a-frame"))
+             .when(first & (e % 31 == 0), F.concat(F.substring(frame, 1, 27),
+                                                    F.when(last == "0", F.lit("1")).otherwise(F.lit("0"))))
+             .otherwise(frame))
+    sensor_lat = F.when(first & (e % 41 == 0), F.lit("91")).otherwise(F.lit("10.5"))
+    index = e * 4 + F.col("slot")
+    source_sha = F.sha2(F.lit(RAW_SOURCE), 256)
+    rows = rows.withColumn("_msg", frame)
+    meta = F.concat(F.lit('{"rawMessage":"'), F.col("_msg"), F.lit('","sensorSerialNumber":'), F.col("rx").cast("string"),
+                    F.lit(',"sensorLatitude":'), sensor_lat, F.lit(',"sensorType":"dump1090"}'))
+    envelope = F.struct(
+        F.lit(1).alias("schema_version"), F.lit("raw_reception").alias("record_type"), F.lit("replay").alias("mode"),
+        F.lit("events").alias("run_id"), F.lit(RAW_SOURCE).alias("dataset_id"),
+        F.sha2(F.concat_ws(":", source_sha, index.cast("string")), 256).alias("reception_id"),
+        F.concat(F.lit("delivery-"), index.cast("string")).alias("delivery_id"),
+        source_sha.alias("source_sha256"), F.lit("testdata/events.parquet").alias("source_url"),
+        index.alias("record_index"), F.col("_msg").alias("raw_message"), F.col("rx").alias("receiver_id"),
+        F.col("time").alias("source_reception_time"), F.col("time").alias("event_time"),
+        F.lit("timeAtServer").alias("event_time_basis"), F.col("time").alias("replay_released_at"),
+        meta.alias("source_record_json"), F.sha2(meta, 256).alias("source_payload_sha256"))
+    return rows.select(F.lit("raw").alias("topic"), (e % 4).cast("int").alias("partition"),
+                       index.alias("offset"), F.lit(None).cast("string").alias("payload"), envelope.alias("envelope"))
