@@ -247,6 +247,24 @@ def oracle_sql() -> dict[str, str]:
     even_lat, even_lon = EVEN_DECIDED
     odd_lat, odd_lon = ODD_DECIDED
     return {
+        "archive_report": _with("""copies AS (
+  SELECT * FROM silver UNION ALL SELECT * FROM silver WHERE e % 5 = 0)""") + f"""SELECT 'source_rows' AS metric, count(*) AS value FROM copies
+UNION ALL SELECT 'snapshots', count(DISTINCT (scope_id, snapshot_time)) FROM copies
+UNION ALL SELECT 'observations', count(DISTINCT observation_id) FROM copies
+UNION ALL SELECT 'duplicate_rows', count(*) - count(DISTINCT observation_id) FROM copies
+UNION ALL SELECT 'rows_with_position', count(*) FILTER (WHERE has_position) FROM silver
+UNION ALL SELECT 'repeated_position_rows', count(*) FILTER (WHERE has_position)
+  - count(DISTINCT CASE WHEN has_position THEN (scope_id, icao24, time_position, latitude, longitude) END) FROM silver
+UNION ALL SELECT 'positions_outside_requested_bbox', count(*) FILTER (WHERE has_position
+  AND NOT list_contains(quality_flags, 'invalid_icao24')
+  AND NOT (latitude BETWEEN {LAMIN} AND {LAMAX} AND longitude BETWEEN {LOMIN} AND {LOMAX})) FROM silver
+UNION ALL SELECT 'distinct_aircraft', count(DISTINCT CASE WHEN NOT list_contains(quality_flags, 'invalid_icao24')
+  THEN icao24 END) FROM silver""",
+        "snapshot_gaps": _with("""snaps AS (SELECT DISTINCT scope_id, snapshot_time FROM silver)""") + """SELECT scope_id, gap_from,
+  gap_to, gap_to - gap_from AS seconds
+FROM (SELECT scope_id, lag(snapshot_time) OVER (PARTITION BY scope_id ORDER BY snapshot_time) AS gap_from,
+        snapshot_time AS gap_to FROM snaps)
+WHERE gap_from IS NOT NULL AND gap_to - gap_from > 180""",
         "frame_decode": RAW_CTES + """SELECT reception_id, record_index, receiver_id, status, reason, icao24, category,
   parity, altitude_ft, callsign, speed_knots, track_deg, vertical_rate_fpm FROM decoded""",
         "transmission_lineage": RAW_CTES + "SELECT reception_id, ambiguous, representative, members FROM lineage",

@@ -161,6 +161,20 @@ def q_cpr_positions(spark, sf_dir):
             .select("reception_id", "icao24", "event_time", "partner_reception", "outcome", "latitude", "longitude"))
 
 
+def q_archive_report(spark, sf_dir):
+    from skylens.operators.reports import archive_report
+    events = table(spark, sf_dir, "events")
+    rows = state_rows(events)
+    copies = rows.unionByName(state_rows(events.where(F.col("event_id") % 5 == 0)))
+    observations = normalize_observations(copies.dropDuplicates(["observation_id"]))
+    return archive_report(copies, observations)
+
+
+def q_snapshot_gaps(spark, sf_dir):
+    from skylens.operators.reports import snapshot_gaps
+    return snapshot_gaps(silver(spark, sf_dir), expected_interval=120)
+
+
 def queries() -> dict[str, Query]:
     return {
         "normalize_flags": q_normalize_flags,
@@ -180,4 +194,6 @@ def queries() -> dict[str, Query]:
         "frame_decode": q_frame_decode,
         "transmission_lineage": q_transmission_lineage,
         "cpr_positions": q_cpr_positions,
+        "archive_report": q_archive_report,
+        "snapshot_gaps": q_snapshot_gaps,
     }
