@@ -246,7 +246,18 @@ def oracle_sql() -> dict[str, str]:
     envelopes = _with(*DELIVERY_CTES)
     even_lat, even_lon = EVEN_DECIDED
     odd_lat, odd_lon = ODD_DECIDED
+    from skylens.operators.envelope import scope_id as box_scope
+    stream_gold = _with(*DELIVERY_CTES, f"""accepted AS (
+  SELECT s.* FROM checked c JOIN silver s ON s.e = c.e WHERE c.error IS NULL AND c."offset" < 1000000
+    AND s.has_position AND NOT list_contains(s.quality_flags, 'invalid_icao24')
+    AND s.latitude BETWEEN {LAMIN} AND {LAMAX} AND s.longitude BETWEEN {LOMIN} AND {LOMAX})""")
     return {
+        "stream_windows": stream_gold + f"""SELECT * FROM (
+  SELECT '{box_scope()}' AS scope_id, (event_time // 300) * 300 AS window_start,
+    (event_time // 300) * 300 + 300 AS window_end, CAST(floor(latitude) AS BIGINT) AS cell_lat_min,
+    CAST(floor(longitude) AS BIGINT) AS cell_lon_min, CAST(count(DISTINCT icao24) AS INTEGER) AS distinct_aircraft
+  FROM accepted GROUP BY 1, 2, 3, 4, 5)
+WHERE window_end <= (SELECT max(event_time) - 600 FROM accepted)""",
         "archive_report": _with("""copies AS (
   SELECT * FROM silver UNION ALL SELECT * FROM silver WHERE e % 5 = 0)""") + f"""SELECT 'source_rows' AS metric, count(*) AS value FROM copies
 UNION ALL SELECT 'snapshots', count(DISTINCT (scope_id, snapshot_time)) FROM copies

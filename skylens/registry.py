@@ -175,6 +175,21 @@ def q_snapshot_gaps(spark, sf_dir):
     return snapshot_gaps(silver(spark, sf_dir), expected_interval=120)
 
 
+def q_stream_windows(spark, sf_dir):
+    """STR-1..4: the three-stage streaming chain (availableNow) over the events deliveries; Gold read back.
+
+    Work folders live under the session's checkpoint directory (the shared folder on a cluster).
+    """
+    import uuid
+    from skylens.session import checkpoint_dir
+    from skylens.sources.events import state_deliveries
+    from skylens.streaming.states import run_chain, stream_files
+    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    source = stream_files(spark, state_deliveries(table(spark, sf_dir, "events")), root + "/incoming")
+    run_chain(spark, root + "/lake", source)
+    return spark.read.parquet(root + "/lake/gold")
+
+
 def queries() -> dict[str, Query]:
     return {
         "normalize_flags": q_normalize_flags,
@@ -196,4 +211,5 @@ def queries() -> dict[str, Query]:
         "cpr_positions": q_cpr_positions,
         "archive_report": q_archive_report,
         "snapshot_gaps": q_snapshot_gaps,
+        "stream_windows": q_stream_windows,
     }
