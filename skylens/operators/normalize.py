@@ -83,9 +83,14 @@ def silver_columns(*, state: Column, type_errors: Column | None = None, snapshot
 
 def normalize_observations(events: DataFrame, *, state: str = "state",
                            type_errors: str = "state_type_errors") -> DataFrame:
-    """Typed state events (``state`` struct + provenance columns) -> Silver rows."""
+    """Typed state events (``state`` struct + provenance columns) -> Silver rows.
+
+    The Silver columns are materialised once per row (a one-element ``inline``): downstream
+    filters and keys reference them many times, and without the barrier Catalyst inlines the
+    whole validation into every reference.
+    """
     errors = F.col(type_errors) if type_errors in events.columns else None
-    return events.select(*silver_columns(state=F.col(state), type_errors=errors))
+    return events.select(F.inline(F.array(F.struct(*silver_columns(state=F.col(state), type_errors=errors)))))
 
 
 def with_event_timestamp(silver: DataFrame) -> DataFrame:

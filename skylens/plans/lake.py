@@ -30,7 +30,8 @@ def deduplicated(observations: DataFrame, key: str = "observation_id") -> DataFr
 def build_lake(spark: SparkSession, state_events: DataFrame, root: str, box=DEFAULT_BOX) -> dict:
     root = root.rstrip("/")
     silver = with_event_timestamp(deduplicated(normalize_observations(state_events)))
-    (silver.withColumn("event_date", epoch_date("snapshot_time"))
+    from skylens.plans.analytics import clustered_by_date
+    (clustered_by_date(silver, "snapshot_time")
      .write.mode("errorifexists").partitionBy("event_date").parquet(root + "/silver"))
     written = spark.read.parquet(root + "/silver")
     aircraft_windows(written, box).write.mode("errorifexists").parquet(root + "/gold")

@@ -55,3 +55,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="skylens-checkpoint-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()
+
+
+def ensure_parallelism(df, minimum: int | None = None):
+    """Spread a source over at least ``minimum`` (default: the cluster's parallelism) partitions.
+
+    Small single-file inputs (one row group) otherwise run every map-side stage as one task;
+    a large input already has more splits than that and is returned unchanged (no shuffle).
+    """
+    spark = df.sparkSession
+    target = minimum or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
