@@ -119,3 +119,21 @@ def stream_files(spark: SparkSession, batch: DataFrame, folder: str) -> DataFram
 
 def progress_json(reports: list[dict]) -> str:
     return json.dumps(reports, default=str)
+
+
+def start_raw_archive(kafka: DataFrame, output: str, checkpoint: str, *, available_now: bool = True,
+                      trigger_seconds: int = 2):
+    """SNK-1: lossless raw archive, append Parquet partitioned by ingest date (checkpoint != output)."""
+    from skylens.operators.envelope import archive_rows
+    if output.rstrip("/") == checkpoint.rstrip("/"):
+        raise ValueError("Output and checkpoint must be different directories")
+    writer = (archive_rows(kafka).writeStream.format("parquet").outputMode("append").partitionBy("ingest_date")
+              .option("path", output).option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else \
+        writer.trigger(processingTime=f"{trigger_seconds} seconds")
+    return writer.start()
+
+
+def run_filter(rows: DataFrame, run_id: str) -> DataFrame:
+    """FLT-5: keep one replay run before any event-time progress is computed."""
+    return rows.where(F.col("envelope.run_id") == run_id)
