@@ -44,3 +44,22 @@ def test_archive_reprocessing(spark):
     windows = spark.read.parquet(out + "/aircraft_windows").collect()
     assert len(windows) == 1 and windows[0].distinct_aircraft == 1
     assert os.path.exists(out + "/_SUCCESS")
+
+
+def test_run_batch_publishes_silver_version(spark):
+    from skylens.operators.envelope import archive_rows, raw_kafka_rows
+    from skylens.plans.preprocess import run_batch
+    from skylens.sources.events import raw_receptions, table
+    root = tempfile.mkdtemp(prefix="skylens-batch-")
+    kafka = raw_kafka_rows(raw_receptions(table(spark, "/root/testdata/sf0.001", "events").where("event_id < 200")))
+    archive_rows(kafka).write.parquet(root + "/bronze")
+    manifest = run_batch(spark, root + "/bronze", root + "/silver-v1", "events")
+    assert os.path.exists(root + "/silver-v1/_SUCCESS")
+    assert manifest["input_deliveries"] == kafka.count() and manifest["repeated_deliveries"] == 0
+    assert set(manifest["datasets"]) == {"deliveries", "receptions", "rejected", "transmissions",
+                                         "transmission_lineage", "positions", "states", "reconstruction_quality"}
+    assert manifest["datasets"]["positions"]["row_count"] > 0
+    with pytest.raises(ValueError):
+        run_batch(spark, root + "/bronze", root + "/bronze/inside", "events")
+    with pytest.raises(FileExistsError):
+        run_batch(spark, root + "/bronze", root + "/silver-v1", "events")
