@@ -28,6 +28,8 @@ def with_record_index(raw: DataFrame, order: str | None = None) -> DataFrame:
     """Zero-based record index in file order (``monotonically_increasing_id`` is not dense, so a
     per-partition count prefix is added; no single-task window over the whole input)."""
     tagged = raw.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    # One row per input partition: the prefix sum over it and its broadcast are bounded by the
+    # partition count, not by the data volume.
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select("_pid", (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
                            .alias("_off"))
