@@ -18,6 +18,22 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("_row")
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four-word shingles, as its contract asks."""
+    from skylens.llm.minhash import near_dedup
+    return near_dedup(table(spark, sf_dir, "documents"), k=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skylens.llm.toxicity import toxicity
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("_row")
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skylens.llm.secret_scan import digests, scan
+    return digests(scan(table(spark, sf_dir, "documents"))[0])
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skylens.llm.packing import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"))
@@ -26,10 +42,54 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_minhash": op2_minhash,
+        "op6_toxicity": op6_toxicity,
+        "op8_secret_scan": op8_secret_scan,
         "op10_packing": op10_packing,
     }
 
 
+_SHINGLES = """
+            WITH RECURSIVE w AS (
+                SELECT doc_id, list_filter(regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
+                FROM documents),
+            s AS (
+                SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+                    ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS sh
+                FROM w),
+            n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),"""
+
+# (kind, pattern, group whose length counts, least length)
+_SECRETS = (
+    ("assign", "((?i:password|passwd|secret|token|api_?key))[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)", 2, 12),
+    ("access", "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", "[0-9a-f]+", 0, 16),
+    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+    ("jwt", "eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]*", 0, 0),
+)
+
+
+def _secret_sql() -> str:
+    parts = " UNION ALL ".join(f"""
+                SELECT doc_id, {rank} AS rank, '{kind}' AS kind, {least} AS least, i, length(gaps[i]) AS gap, length(ms[i]) AS size, length(hs[i]) AS held
+                FROM (SELECT doc_id, ms, hs, gaps, unnest(range(1, len(ms) + 1)) AS i FROM (
+                    SELECT doc_id, regexp_extract_all(text, '{p}') AS ms, regexp_extract_all(text, '{p}', {g}) AS hs,
+                           string_split_regex(text, '{p}') AS gaps FROM documents WHERE text IS NOT NULL))"""
+                               for rank, (kind, p, g, least) in enumerate(_SECRETS))
+    return f"""
+            WITH m AS ({parts}),
+            at AS (SELECT *, sum(gap + size) OVER (PARTITION BY doc_id, rank ORDER BY i) AS stop FROM m),
+            f AS (SELECT doc_id, rank, kind, stop - size AS start, kind || ':' || (stop - size)::BIGINT || ':' || stop::BIGINT AS span FROM at WHERE held >= least),
+            g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+                         count(*) FILTER (kind = 'hex') AS n_hex,
+                         coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 3), '') AS base, string_agg(span, ',' ORDER BY start, rank) AS spans
+                  FROM f GROUP BY doc_id)
+            SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+                   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, sha256(coalesce(text, '')) AS blob_sha256
+            FROM documents LEFT JOIN g USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": f"""
@@ -37,4 +97,11 @@ def oracle_sql() -> dict[str, str]:
                  g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
             FROM n JOIN g USING (norm)""",
+        "op2_minhash": f"""{_SHINGLES}
+            c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b USING (sh) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+            e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 80 * (x.n + y.n - both)),
+            r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a),
+            k AS (SELECT node AS doc_id, min(seen) AS component_id FROM r GROUP BY node)
+            SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM k LEFT JOIN n USING (doc_id)""",
+        "op8_secret_scan": _secret_sql(),
     }
