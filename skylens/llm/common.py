@@ -7,20 +7,39 @@ rows; ``written`` cuts lineage with a Parquet table in the cluster's shared fold
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SPACES = "[\\x20\\x09-\\x0D]+"
 ROW = "_row"
 _LOCAL_FOLDERS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Sends this package to the executors, once per application, so that tasks can import it there."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        _SHIPPED.add(app)
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="skylens-code-"), "skylens-llm.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for folder in (package, os.path.join(package, "llm")):
+                for name in sorted(os.listdir(folder)):
+                    if name.endswith(".py"):
+                        out.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(package)))
+        spark.sparkContext.addPyFile(archive)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; a temporary folder only where that is unset and Spark runs in one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -36,7 +55,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lost executors recompute nothing before it."""
-    spark = df.sparkSession
+    spark = ship(df.sparkSession)
     path = f"{shared_folder(spark)}/llm-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -47,6 +66,7 @@ def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
 
     Other columns are left out here, so columns with clashing names can't reach an operator.
     """
+    ship(df.sparkSession)
     return df.select(F.monotonically_increasing_id().alias(ROW), F.col(id_col).cast("long").alias("doc_id"),
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 

@@ -53,10 +53,7 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
         if n >= k:
             out.append(np.unique(rolled[f:f + n - k + 1]))
         elif n:
-            short = np.array([n], np.uint64) * _SPREAD[63]
-            for j in range(n):
-                short = short + word[f + j] * _SPREAD[j]
-            out.append(spans.mix(short))
+            out.append(spans.mix((word[f:f + n] * _SPREAD[:n]).sum(keepdims=True) + np.uint64(n) * _SPREAD[-1:]))
         else:
             out.append(np.empty(0, np.uint64))
     return out

@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from skylens.llm import spans
+from skylens.llm.common import ship
 
 CAPACITY = 1024
 QUADRATIC = 1 / 2048
@@ -61,39 +62,9 @@ def _cuts(buf: np.ndarray) -> np.ndarray:
     return at[(before > 0x20) & (before < 0x7F) | (before >= 0x80) & _LATIN[before2]]
 
 
-class _Known:
-    """Ids of units encoded before, by unit hash, in sorted arrays; begun anew at ``most`` units."""
-
-    def __init__(self, most: int = 1 << 20):
-        self.most = most
-        self.clear()
-
-    def clear(self):
-        self.keys, self.offsets, self.lengths = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.flat = np.empty(0, np.uint32)
-
-    def missing(self, keys: np.ndarray) -> np.ndarray:
-        if len(self.keys) > self.most:
-            self.clear()
-        if not len(self.keys):
-            return np.arange(len(keys))
-        return np.flatnonzero(self.keys[np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)] != keys)
-
-    def add(self, keys: np.ndarray, lengths: np.ndarray, flat: np.ndarray):
-        offsets = len(self.flat) + np.cumsum(lengths) - lengths
-        keys, offsets, lengths = (np.concatenate(x) for x in ((self.keys, keys), (self.offsets, offsets), (self.lengths, lengths)))
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.offsets, self.lengths = keys[order], offsets[order], lengths[order]
-        self.flat = np.concatenate([self.flat, flat])
-
-    def at(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        k = np.searchsorted(self.keys, keys)
-        return self.offsets[k], self.lengths[k]
-
-
 @functools.lru_cache(maxsize=4)
-def _known(name: str) -> _Known:
-    return _Known()
+def _known(name: str) -> spans.Known:
+    return spans.Known()
 
 
 def encode_batch(texts: list[bytes], name: str = "byte_bpe_50k") -> list[np.ndarray]:
@@ -148,11 +119,8 @@ def encode_batch(texts: list[bytes], name: str = "byte_bpe_50k") -> list[np.ndar
             order, flat = np.concatenate([order, np.flatnonzero(spaced)]), [*flat, ids]
         known.add(unique[new[order]], lengths[order], np.concatenate(flat))
     offsets, lengths = known.at(unique)
-    flat = known.flat
     n = lengths[which]
-    ends_flat = np.cumsum(n)
-    gather = np.arange(ends_flat[-1]) - np.repeat(ends_flat - n, n) + np.repeat(offsets[which], n)
-    all_ids = flat[gather]
+    ends_flat, all_ids = np.cumsum(n), spans.ragged(known.flat, offsets[which], n)
     of_text = np.concatenate([[0], ends_flat])[np.concatenate([np.searchsorted(starts, begins), [len(starts)]])]
     for k, i in enumerate(plain):
         out[i] = all_ids[of_text[k]:of_text[k + 1]]
@@ -275,5 +243,6 @@ def pack_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
+    ship(df.sparkSession)
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return rows.mapInArrow(_pack_task(capacity, group_tokens, name), SCHEMA)

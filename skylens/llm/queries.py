@@ -24,16 +24,43 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"), k=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """All documents, encoded with the pieces of a vocabulary file (by default the 32,000 public ones)."""
+    import public_tokenizers
+    from skylens.llm.sentencepiece import encode_documents, load
+    return encode_documents(table(spark, sf_dir, "documents"), load(vocabulary or public_tokenizers.path("piece_bpe_32k.model"))).drop("_row")
+
+
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skylens.llm.pii import pseudonymise
+    return pseudonymise(table(spark, sf_dir, "documents")).drop("_row")
+
+
+def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skylens.llm.chat import neighbouring_pairs
+    return neighbouring_pairs(table(spark, sf_dir, "conversations"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skylens.llm.toxicity import toxicity
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("_row")
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skylens.llm.language_model import language_model
+    return language_model(table(spark, sf_dir, "documents")).drop("_row")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skylens.llm.secret_scan import digests, scan
     return digests(scan(table(spark, sf_dir, "documents"))[0])
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skylens.llm.embedding_dedup import embedding_dedup
+    return embedding_dedup(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skylens.llm.packing import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"))
@@ -43,8 +70,13 @@ def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_minhash": op2_minhash,
+        "op3_sentencepiece": op3_sentencepiece,
+        "op4_pii_surrogates": op4_pii_surrogates,
+        "op5_preferences": op5_preferences,
         "op6_toxicity": op6_toxicity,
+        "op7_language_model": op7_language_model,
         "op8_secret_scan": op8_secret_scan,
+        "op9_embedding_dedup": op9_embedding_dedup,
         "op10_packing": op10_packing,
     }
 
@@ -79,8 +111,8 @@ def _secret_sql() -> str:
                                for rank, (kind, p, g, least) in enumerate(_SECRETS))
     return f"""
             WITH m AS ({parts}),
-            at AS (SELECT *, sum(gap + size) OVER (PARTITION BY doc_id, rank ORDER BY i) AS stop FROM m),
-            f AS (SELECT doc_id, rank, kind, stop - size AS start, kind || ':' || (stop - size)::BIGINT || ':' || stop::BIGINT AS span FROM at WHERE held >= least),
+            placed AS (SELECT *, sum(gap + size) OVER (PARTITION BY doc_id, rank ORDER BY i) AS stop FROM m),
+            f AS (SELECT doc_id, rank, kind, stop - size AS start, kind || ':' || (stop - size)::BIGINT || ':' || stop::BIGINT AS span FROM placed WHERE held >= least),
             g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
                          count(*) FILTER (kind = 'hex') AS n_hex,
                          coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 3), '') AS base, string_agg(span, ',' ORDER BY start, rank) AS spans
@@ -98,10 +130,40 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
             FROM n JOIN g USING (norm)""",
         "op2_minhash": f"""{_SHINGLES}
-            c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b USING (sh) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
-            e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 80 * (x.n + y.n - both)),
+            c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (sh) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+            e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
             r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a),
             k AS (SELECT node AS doc_id, min(seen) AS component_id FROM r GROUP BY node)
             SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM k LEFT JOIN n USING (doc_id)""",
+        "op5_preferences": """
+            WITH t AS (SELECT conv_id, floor(conv_id / 2)::BIGINT AS pair_id, conv_id % 2 = 0 AS is_chosen, list(DISTINCT
+                           struct_pack(turn := turn, role := coalesce(role, ''), text := coalesce(text, ''))) AS l
+                       FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+            s AS (SELECT pair_id, conv_id, is_chosen, list_transform(list_sort(l), lambda x: struct_pack(role := x.role, text := x.text)) AS l FROM t),
+            p AS (SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, c.conv_id AS chosen_id, r.conv_id AS rejected_id, c.l AS c, r.l AS r
+                  FROM (SELECT * FROM s WHERE is_chosen) c FULL JOIN (SELECT * FROM s WHERE NOT is_chosen) r ON c.pair_id = r.pair_id),
+            k AS (SELECT *, CASE WHEN c IS NULL OR r IS NULL THEN 0 ELSE coalesce(list_min(list_filter(range(1, least(len(c), len(r)) + 1),
+                      lambda i: c[i].role <> r[i].role OR c[i].text <> r[i].text)) - 1, least(len(c), len(r))) END AS n FROM p),
+            m AS (SELECT *, list_transform(c, lambda x: '<|' || replace(x.role, '<|', '<​|') || '|>' || chr(10) || replace(x.text, '<|', '<​|') || '<|end|>' || chr(10)) AS ct,
+                            list_transform(r, lambda x: '<|' || replace(x.role, '<|', '<​|') || '|>' || chr(10) || replace(x.text, '<|', '<​|') || '<|end|>' || chr(10)) AS rt FROM k),
+            e AS (SELECT *, list_transform(range(n + 1, len(c) + 1), lambda i: CASE WHEN c[i].role = 'assistant' THEN
+                                (length(array_to_string(ct[n + 1:i], '')) - length(ct[i]) + 14) || ':' || length(array_to_string(ct[n + 1:i], '')) END) AS cs,
+                            list_transform(range(n + 1, len(r) + 1), lambda i: CASE WHEN r[i].role = 'assistant' THEN
+                                (length(array_to_string(rt[n + 1:i], '')) - length(rt[i]) + 14) || ':' || length(array_to_string(rt[n + 1:i], '')) END) AS rs FROM m)
+            SELECT pair_id, chosen_id, rejected_id, n::BIGINT AS prompt_turns, array_to_string(coalesce(ct, rt)[1:n], '') AS prompt,
+                   array_to_string(ct[n + 1:], '') AS chosen, array_to_string(rt[n + 1:], '') AS rejected,
+                   array_to_string(list_filter(cs, lambda x: x IS NOT NULL), ',') AS chosen_learned,
+                   array_to_string(list_filter(rs, lambda x: x IS NOT NULL), ',') AS rejected_learned,
+                   CASE WHEN chosen_id IS NULL OR rejected_id IS NULL THEN 'single' WHEN n = len(c) AND n = len(r) THEN 'equal' ELSE 'pair' END AS status
+            FROM e""",
         "op8_secret_scan": _secret_sql(),
+        "op9_embedding_dedup": """
+            WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+                                 WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+                                   AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+            e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95),
+            r AS (SELECT vec_id AS node, vec_id AS seen FROM embeddings UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a),
+            k AS (SELECT node AS vec_id, min(seen) AS component_id FROM r GROUP BY node),
+            d AS (SELECT a AS vec_id, count(*) AS n_links FROM e GROUP BY a)
+            SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM k LEFT JOIN d USING (vec_id)""",
     }

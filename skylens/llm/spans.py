@@ -86,3 +86,39 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 21)
             last = max(int(np.searchsorted(total, before + most, "right")), k + 1)
             yield batch.slice(k, last - k), [t or b"" for t in texts.slice(k, last - k).to_pylist()]
             k = last
+
+
+class Known:
+    """Ids of units encoded before, by unit hash, in sorted arrays; begun anew at ``most`` units."""
+
+    def __init__(self, most: int = 1 << 20):
+        self.most = most
+        self.clear()
+
+    def clear(self):
+        self.keys, self.offsets, self.lengths = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat = np.empty(0, np.uint32)
+
+    def missing(self, keys: np.ndarray) -> np.ndarray:
+        if len(self.keys) > self.most:
+            self.clear()
+        if not len(self.keys):
+            return np.arange(len(keys))
+        return np.flatnonzero(self.keys[np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)] != keys)
+
+    def add(self, keys: np.ndarray, lengths: np.ndarray, flat: np.ndarray):
+        offsets = len(self.flat) + np.cumsum(lengths) - lengths
+        keys, offsets, lengths = (np.concatenate(x) for x in ((self.keys, keys), (self.offsets, offsets), (self.lengths, lengths)))
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.offsets, self.lengths = keys[order], offsets[order], lengths[order]
+        self.flat = np.concatenate([self.flat, flat])
+
+    def at(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        k = np.searchsorted(self.keys, keys)
+        return self.offsets[k], self.lengths[k]
+
+
+def ragged(flat: np.ndarray, offsets: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``flat[o:o + n]`` for each offset and length, joined."""
+    ends = np.cumsum(lengths)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(offsets - (ends - lengths), lengths)]
