@@ -10,8 +10,6 @@ from __future__ import annotations
 from skylens.functions.constants import (DEFAULT_BOX, FUTURE_CHECKED, NUMERIC_RANGES, QUALITY_LABELS,
                                          QUALITY_STATUSES, REQUIRED_MEASUREMENTS, STALE_SECONDS)
 
-ALL_HOURS = 24 * 366 * 10
-
 
 def _valid_sql(name: str, raw: str) -> str:
     low, high, high_open = NUMERIC_RANGES[name]
@@ -46,7 +44,7 @@ st AS (
     'snapshot:' || scope_id || ':' || CAST(snap AS VARCHAR) AS snapshot_id,
     snap AS snapshot_time, snap AS event_time,
     CASE WHEN e % 53 = 0 THEN CAST(snap - 1 AS DOUBLE) ELSE CAST(snap + 2 + e % 4 AS DOUBLE) END AS collected_at,
-    CASE WHEN e % 23 = 0 THEN 'ZZ' || CAST(u AS VARCHAR) ELSE lpad(hex(u), 6, '0') END AS r_icao24,
+    CASE WHEN e % 23 = 0 THEN 'ZZ' || CAST(u AS VARCHAR) ELSE lpad(hex(u), greatest(6, length(hex(u)))::INTEGER, '0') END AS r_icao24,
     CASE WHEN e % 11 = 0 THEN '   ' ELSE ' FL' || CAST(u AS VARCHAR) || ' ' END AS r_callsign,
     CASE WHEN e % 31 = 0 THEN NULL WHEN e % 29 = 0 THEN CAST(snap + 5 AS DOUBLE)
          ELSE CAST(t - (e % 7) * 3 AS DOUBLE) END AS r_time_position,
@@ -142,16 +140,21 @@ WIDE_CTE = "wide AS (\n  SELECT scope_id, window_start, " + ", ".join(
     f"CAST(sum(CASE WHEN quality_status = '{s}' THEN \"count\" ELSE 0 END) AS BIGINT) AS {s}"
     for s in QUALITY_STATUSES) + "\n  FROM counts GROUP BY scope_id, window_start)"
 
-OVERVIEW_CTE = f"""overview AS (
+def _overview(hours: int | None) -> str:
+    since = "" if hours is None else f"WHERE snapshot_time >= (SELECT CAST(floor((max(snapshot_time) - {hours * 3600}) / 300) * 300 AS BIGINT) FROM silver)"
+    return f"""overview AS (
   SELECT scope_id, (snapshot_time // 300) * 300 AS window_start, count(*) AS observations,
     count(DISTINCT CASE WHEN NOT list_contains(quality_flags, 'invalid_icao24') THEN icao24 END) AS distinct_aircraft,
     CAST(sum(CAST(has_position AS BIGINT)) AS BIGINT) AS with_position,
     CAST(sum(CAST(list_contains(quality_flags, 'stale_position') AS BIGINT)) AS BIGINT) AS stale_positions,
     max(snapshot_time) AS last_snapshot
   FROM silver
-  WHERE snapshot_time >= (SELECT CAST(floor((max(snapshot_time) - {ALL_HOURS * 3600}) / 300) * 300 AS BIGINT) FROM silver)
+  {since}
   GROUP BY ALL)"""
 
+
+OVERVIEW_CTE = _overview(None)
+
 DENSITY_SELECT = """SELECT scope_id, window_start, window_end, cell_lat_min, cell_lon_min, distinct_aircraft,
   count(*) OVER h AS baseline_windows,
   round(avg(distinct_aircraft) OVER h, 6) AS baseline_mean,
@@ -173,9 +176,9 @@ FROM silver"""
 
 DELIVERY_CTES = (
     """deliveries AS (
-  SELECT event_id AS e, event_id % 4 AS "partition", event_id AS "offset" FROM events
+  SELECT event_id AS e, event_id % 4 AS "partition", event_id * 2 AS "offset" FROM events
   UNION ALL
-  SELECT event_id AS e, event_id % 4 AS "partition", event_id + 1000000 AS "offset" FROM events WHERE event_id % 5 = 0)""",
+  SELECT event_id AS e, event_id % 4 AS "partition", event_id * 2 + 1 AS "offset" FROM events WHERE event_id % 5 = 0)""",
     """checked AS (
   SELECT d.*, CASE WHEN e % 97 = 0 THEN 'malformed_json' WHEN e % 83 = 0 THEN 'invalid_timestamps'
                    WHEN e % 89 = 0 THEN 'envelope_mismatch' WHEN e % 79 = 0 THEN 'missing_source_provenance'
@@ -212,13 +215,13 @@ checked AS (
   SELECT *, sha256(concat_ws(':', sha256('events-raw'), CAST(e * 4 + slot AS VARCHAR))) AS reception_id,
     e * 4 + slot AS record_index, CAST(rx AS INTEGER) AS receiver_id,
     CASE WHEN slot <> 1 AND e % 41 = 0 THEN 'invalid_receiver_location'
-         WHEN slot <> 1 AND e % 37 = 0 THEN 'invalid_frame_format'
+         WHEN (slot <> 1 AND e % 37 = 0) OR u + 4194304 > 16777215 THEN 'invalid_frame_format'
          WHEN slot <> 1 AND e % 31 = 0 THEN 'crc_failure' END AS reason
   FROM slots),
 decoded AS (
   SELECT c.reception_id, c.record_index, c.receiver_id, c.e, c.u, c.slot, c.tpl AS tpl_id, c.time,
     CASE WHEN c.reason IS NULL THEN 'valid' ELSE 'invalid' END AS status, c.reason,
-    CASE WHEN c.reason IS NULL OR c.reason = 'crc_failure' THEN lower(lpad(hex(c.u + 4194304), 6, '0')) END AS icao24,
+    CASE WHEN c.reason IS NULL OR c.reason = 'crc_failure' THEN lower(lpad(hex(c.u + 4194304), greatest(6, length(hex(c.u + 4194304)))::INTEGER, '0')) END AS icao24,
     CASE WHEN c.reason IS NULL THEN tpl.category END AS category,
     CASE WHEN c.reason IS NULL THEN tpl.parity END AS parity,
     CASE WHEN c.reason IS NULL THEN tpl.altitude_ft END AS altitude_ft,
@@ -248,7 +251,7 @@ def oracle_sql() -> dict[str, str]:
     odd_lat, odd_lon = ODD_DECIDED
     from skylens.operators.envelope import scope_id as box_scope
     stream_gold = _with(*DELIVERY_CTES, f"""accepted AS (
-  SELECT s.* FROM checked c JOIN silver s ON s.e = c.e WHERE c.error IS NULL AND c."offset" < 1000000
+  SELECT s.* FROM checked c JOIN silver s ON s.e = c.e WHERE c.error IS NULL AND c."offset" % 2 = 0
     AND s.has_position AND NOT list_contains(s.quality_flags, 'invalid_icao24')
     AND s.latitude BETWEEN {LAMIN} AND {LAMAX} AND s.longitude BETWEEN {LOMIN} AND {LOMAX})""")
     return {
@@ -310,7 +313,7 @@ FROM solved""",
 FROM checked c JOIN silver s ON s.e = c.e""",
         "first_delivery": envelopes + """SELECT c."partition", c."offset", s.icao24, s.snapshot_time, s.time_position
 FROM checked c JOIN silver s ON s.e = c.e
-WHERE c.error IS NULL AND c."offset" < 1000000""",
+WHERE c.error IS NULL AND c."offset" % 2 = 0""",
         "normalize_flags": _with() + SILVER_OUT,
         "flag_histogram": _with() + """SELECT flag, count(*) AS observations
 FROM (SELECT unnest(quality_flags) AS flag FROM silver) GROUP BY flag""",
@@ -327,6 +330,33 @@ FROM counts c LEFT JOIN (VALUES {LABELS_VALUES}) AS l(quality_status, descriptio
             f"SELECT scope_id, window_start, '{s}' AS quality_status, {s} AS observations FROM wide"
             for s in QUALITY_STATUSES),
         "overview_windows": _with(OVERVIEW_CTE) + "SELECT * FROM overview",
+        "overview_recent": _with(_overview(6)) + "SELECT * FROM overview",
+        "reception_invariants": RAW_CTES + """, i AS (SELECT record_index AS i FROM checked)
+SELECT count(*) FILTER (i % 97 = 0) AS missing_identity, count(*) FILTER (i % 79 = 0 AND i % 97 <> 0 AND i % 83 <> 0) +
+  (SELECT (count(DISTINCT i) > 1)::BIGINT FROM i WHERE i % 83 = 0 AND i % 97 <> 0) AS conflicting_content,
+  count(*) FILTER (i % 89 = 0) AS missing_provenance, count(*) FILTER (i % 83 = 0 AND i % 97 <> 0) AS invalid_identity FROM i""",
+        "pending_outbox": _with() + "SELECT DISTINCT snapshot_id AS snapshot_key FROM silver WHERE snapshot_time % 30 <> 0",
+        "raw_envelope_status": RAW_CTES + """SELECT e % 4 AS "partition", record_index AS "offset",
+  CASE WHEN record_index % 97 = 0 THEN 'malformed_json' WHEN record_index % 89 = 0 THEN 'unsupported_schema'
+       WHEN record_index % 83 = 0 THEN 'unknown_record_type' ELSE 'raw_reception' END AS status,
+  CASE WHEN record_index % 97 <> 0 THEN reception_id END AS reception_id FROM checked""",
+        "attribute_states": RAW_CTES + """, reps AS (SELECT * FROM lineage WHERE representative),
+carried AS (
+  SELECT *,
+    last_value(CASE WHEN category = 'position' AND parity = 0 THEN time END IGNORE NULLS) OVER b AS even_time,
+    last_value(CASE WHEN category = 'position' AND parity = 1 THEN time END IGNORE NULLS) OVER b AS odd_time,
+    last_value(CASE WHEN callsign IS NOT NULL THEN time END IGNORE NULLS) OVER a AS call_time,
+    last_value(CASE WHEN speed_knots IS NOT NULL THEN time END IGNORE NULLS) OVER a AS speed_time
+  FROM reps
+  WINDOW a AS (PARTITION BY u ORDER BY time, tx_key ROWS UNBOUNDED PRECEDING),
+         b AS (PARTITION BY u ORDER BY time, tx_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT reception_id, CASE WHEN time - call_time <= 300 THEN 'KLM1023' END AS callsign,
+  CASE WHEN call_time IS NULL THEN 'missing' WHEN time - call_time <= 300 THEN 'fresh' ELSE 'stale' END AS callsign_status, call_time AS callsign_updated_at,
+  CASE WHEN time - speed_time <= 30 THEN CAST(159 AS DOUBLE) END AS speed_knots,
+  CASE WHEN speed_time IS NULL THEN 'missing' WHEN time - speed_time <= 30 THEN 'fresh' ELSE 'stale' END AS speed_knots_status, speed_time AS speed_knots_updated_at,
+  CASE WHEN time - speed_time <= 30 THEN CAST(-832 AS DOUBLE) END AS vertical_rate_fpm,
+  CASE WHEN speed_time IS NULL THEN 'missing' WHEN time - speed_time <= 30 THEN 'fresh' ELSE 'stale' END AS vertical_rate_fpm_status
+FROM carried WHERE category = 'position' AND time - CASE WHEN parity = 0 THEN odd_time ELSE even_time END <= 10""",
         "overview_summary": _with(OVERVIEW_CTE) + """SELECT scope_id,
   CAST(sum(observations) AS BIGINT) AS observations, CAST(sum(with_position) AS BIGINT) AS with_position,
   CAST(sum(stale_positions) AS BIGINT) AS stale_positions, max(distinct_aircraft) AS peak_window_aircraft,

@@ -23,8 +23,15 @@ def first_delivery(deliveries: DataFrame, key: str = "observation_id",
 
 
 def deduplicated(observations: DataFrame, key: str = "observation_id") -> DataFrame:
-    """STR-2 batch twin: one row per observation id (first by snapshot time, then delivery order)."""
-    return observations.dropDuplicates([key])
+    """STR-2 batch twin: one row per observation id, the same one at every run.
+
+    The smallest by collection time and source, then by all other columns that can be ordered; the
+    aggregate combines before the shuffle, so an id that is delivered very often is a row per task.
+    """
+    order = F.struct("collected_at", *[c for c in ("source_object", "snapshot_id") if c in observations.columns])
+    rest = [c for c in observations.columns if c != key]
+    kept = observations.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(order, F.xxhash64(*rest))).alias("_kept"))
+    return kept.select(*[F.col(key) if c == key else F.col(f"_kept.{c}").alias(c) for c in observations.columns])
 
 
 def build_lake(spark: SparkSession, state_events: DataFrame, root: str, box=DEFAULT_BOX) -> dict:

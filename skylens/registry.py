@@ -15,7 +15,6 @@ from skylens.operators.movement import movement_segments, observation_gaps
 from skylens.operators.normalize import normalize_observations
 from skylens.operators.quality import quality_counts, quality_enriched, quality_long, quality_wide
 from skylens.operators.serving import movement_pages, overview_summary, overview_windows
-from skylens.oracle import ALL_HOURS
 from skylens.sources.events import state_rows, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,11 +81,62 @@ def q_quality_long(spark, sf_dir):
 
 
 def q_overview_windows(spark, sf_dir):
-    return overview_windows(silver(spark, sf_dir), hours=ALL_HOURS)
+    return overview_windows(silver(spark, sf_dir), hours=None)
+
+
+def q_overview_recent(spark, sf_dir):
+    """AG-12 with a cutoff that leaves rows out: the last six hours of the table."""
+    return overview_windows(silver(spark, sf_dir), hours=6)
+
+
+def q_reception_invariants(spark, sf_dir):
+    """FLT-9 / AG-1: the four counts over receptions with defects by record_index."""
+    from skylens.operators.receptions import delivered, invariant_counts
+    from skylens.sources.events import raw_receptions
+    rows = delivered(raw_receptions(table(spark, sf_dir, "events")))
+    i = F.col("record_index")
+    broken = rows.withColumns({
+        "reception_id": F.when(i % 97 == 0, F.lit(None)).when(i % 83 == 0, F.lit("renamed")).otherwise(F.col("reception_id")),
+        "receiver_id": F.when(i % 89 == 0, F.lit(None)).otherwise(F.col("receiver_id"))})
+    again = rows.where(i % 79 == 0).withColumn("source_record_json", F.lit("{}"))
+    return invariant_counts(broken.unionByName(again))
+
+
+def q_pending_outbox(spark, sf_dir):
+    """SNK-11 / JN-10: snapshots without a receipt for the topic; every third was delivered."""
+    from skylens.plans.publish import pending, receipts_for
+    rows = state_rows(table(spark, sf_dir, "events")).select(F.col("snapshot_id").alias("snapshot_key"), "snapshot_time")
+    delivered = rows.where(F.col("snapshot_time") % 30 == 0)
+    receipts = receipts_for(delivered, delivered, "states").unionByName(receipts_for(rows, rows.limit(0), "other"))
+    return pending(rows.select("snapshot_key").distinct(), receipts, topic="states")
+
+
+def q_raw_envelope_status(spark, sf_dir):
+    """PRJ-1: status of raw deliveries, with defects by record_index."""
+    from skylens.operators.envelope import archive_rows, raw_kafka_rows
+    from skylens.sources.events import raw_receptions
+    kafka = raw_kafka_rows(raw_receptions(table(spark, sf_dir, "events")))
+    text, i = F.col("value").cast("string"), F.col("offset")
+    value = (F.when(i % 97 == 0, F.lit("{broken")).when(i % 89 == 0, F.regexp_replace(text, '"schema_version":1', '"schema_version":2'))
+             .when(i % 83 == 0, F.regexp_replace(text, '"raw_reception"', '"other"')).otherwise(text))
+    rows = archive_rows(kafka.withColumn("value", value.cast("binary")))
+    return rows.select("partition", "offset", F.col("envelope_status").alias("status"),
+                       F.when(F.col("envelope_status") != "malformed_json", F.col("envelope.reception_id")).alias("reception_id"))
+
+
+def q_attribute_states(spark, sf_dir):
+    """PIPE-4: the attributes carried to each decoded position, with their age."""
+    from skylens.operators.reconstruct import reconstruct, states
+    tx, _ = _transmissions(spark, sf_dir)
+    positions, _ = reconstruct(tx)
+    reps = tx.select("transmission_id", "reception_id")
+    return (states(positions).join(reps, "transmission_id")
+            .select("reception_id", "callsign", "callsign_status", "callsign_updated_at", "speed_knots", "speed_knots_status", "speed_knots_updated_at",
+                    "vertical_rate_fpm", "vertical_rate_fpm_status"))
 
 
 def q_overview_summary(spark, sf_dir):
-    out = overview_summary(overview_windows(silver(spark, sf_dir), hours=ALL_HOURS))
+    out = overview_summary(overview_windows(silver(spark, sf_dir), hours=None))
     return (out.withColumn("position_share", F.round("position_share", 6))
                .withColumn("stale_share", F.round("stale_share", 6)))
 
@@ -98,14 +148,13 @@ def q_movement_pages(spark, sf_dir):
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze (PRJ-2) of the Kafka-shaped state deliveries derived from ``events``.
 
-    The generated deliveries are checkpointed (reliable checkpoint in spark.checkpoint.dir)
-    so validation reads stored messages, as it does from Kafka or a Bronze table.
+    The generated deliveries are a written table, so validation reads stored messages, as it does
+    from Kafka or a Bronze table.
     """
     from skylens.operators.envelope import archive_frame
-    from skylens.session import checkpoint_dir
+    from skylens.session import written
     from skylens.sources.events import state_deliveries
-    checkpoint_dir(spark)
-    return archive_frame(state_deliveries(table(spark, sf_dir, "events")).checkpoint())
+    return archive_frame(written(state_deliveries(table(spark, sf_dir, "events")), "deliveries"))
 
 
 def q_state_envelopes(spark, sf_dir):
@@ -166,7 +215,8 @@ def q_archive_report(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     rows = state_rows(events)
     copies = rows.unionByName(state_rows(events.where(F.col("event_id") % 5 == 0)))
-    observations = normalize_observations(copies.dropDuplicates(["observation_id"]))
+    from skylens.plans.lake import deduplicated
+    observations = normalize_observations(deduplicated(copies))
     return archive_report(copies, observations)
 
 
@@ -202,7 +252,12 @@ def queries() -> dict[str, Query]:
         "quality_wide": q_quality_wide,
         "quality_long": q_quality_long,
         "overview_windows": q_overview_windows,
+        "overview_recent": q_overview_recent,
         "overview_summary": q_overview_summary,
+        "reception_invariants": q_reception_invariants,
+        "pending_outbox": q_pending_outbox,
+        "raw_envelope_status": q_raw_envelope_status,
+        "attribute_states": q_attribute_states,
         "movement_pages": q_movement_pages,
         "state_envelopes": q_state_envelopes,
         "first_delivery": q_first_delivery,

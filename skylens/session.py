@@ -8,6 +8,7 @@ tests and local runs fall back to a fresh temporary folder.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -52,19 +53,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir() or configured
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="skylens-checkpoint-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()
 
 
-def ensure_parallelism(df, minimum: int | None = None):
-    """Spread a source over at least ``minimum`` (default: the cluster's parallelism) partitions.
-
-    Small single-file inputs (one row group) otherwise run every map-side stage as one task;
-    a large input already has more splits than that and is returned unchanged (no shuffle).
-    """
-    spark = df.sparkSession
-    target = minimum or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+def written(df, tag: str):
+    """``df`` written as Parquet to the shared checkpoint folder and read back: a cut in the lineage
+    that survives lost executors."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

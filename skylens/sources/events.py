@@ -7,7 +7,7 @@ restated in SQL in ``skylens.oracle`` so DuckDB computes identical values.
 Mapping (e = event_id, u = user_id, t = whole epoch seconds of ts):
   scope_id        'scope' || u % 2
   snapshot_time   (t div 10) * 10 + 10           (every 10 s)
-  icao24          hex(u) left-padded to 6; e % 23 = 0 -> 'ZZ' || u (invalid)
+  icao24          hex(u) left-padded to 6 (longer ones whole); e % 23 = 0 -> 'ZZ' || u (invalid)
   callsign        ' FL' || u || ' '; e % 11 = 0 -> blanks
   time_position   t - (e % 7) * 3; e % 29 = 0 -> snapshot + 5 (future); e % 31 = 0 -> null
   last_contact    t + e % 5
@@ -30,8 +30,7 @@ EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from skylens.session import ensure_parallelism
-    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def epoch_seconds_ntz(ts: str = "ts") -> Column:
@@ -40,13 +39,20 @@ def epoch_seconds_ntz(ts: str = "ts") -> Column:
                   f" + cast(second({ts}) as bigint)")
 
 
+def padded_hex(number: Column) -> Column:
+    """Hexadecimal text of at least six digits; longer numbers keep all their digits (and are then
+    no valid address, but no other aircraft's either)."""
+    text = F.hex(number)
+    return F.when(F.length(text) < 6, F.lpad(text, 6, "0")).otherwise(text)
+
+
 def _state_struct() -> Column:
     e, u = F.col("event_id"), F.col("user_id")
     t, snap = F.col("_t"), F.col("_snap")
     dbl = lambda c: c.cast("double")
     fields = {
         "icao24": F.when(e % 23 == 0, F.concat(F.lit("ZZ"), u.cast("string")))
-                   .otherwise(F.lpad(F.hex(u), 6, "0")),
+                   .otherwise(padded_hex(u)),
         "callsign": F.when(e % 11 == 0, F.lit("   ")).otherwise(F.concat(F.lit(" FL"), u.cast("string"), F.lit(" "))),
         "origin_country": F.col("event_type"),
         "time_position": F.when(e % 31 == 0, F.lit(None).cast("double"))
@@ -102,8 +108,8 @@ def state_rows(events: DataFrame) -> DataFrame:
 def state_deliveries(events: DataFrame, topic: str = "states") -> DataFrame:
     """Kafka-shaped deliveries of JSON state envelopes built from ``events``, with defects.
 
-    Every fifth event is delivered twice (second copy at offset + 1,000,000, same
-    partition e % 4).  Injected defects: e % 97 = 0 broken JSON; e % 83 = 0 fractional
+    An event's delivery has offset 2e in partition e % 4; every fifth event is delivered
+    twice (second copy at offset 2e + 1).  Injected defects: e % 97 = 0 broken JSON; e % 83 = 0 fractional
     snapshot_time; e % 89 = 0 state.latitude altered; e % 79 = 0 empty source bucket.
     """
     from skylens.operators.envelope import state_envelope_value
@@ -128,8 +134,8 @@ def state_deliveries(events: DataFrame, topic: str = "states") -> DataFrame:
              .when(e % 83 == 0, F.regexp_replace(value, r'"snapshot_time":(\d+)', '"snapshot_time":$1.5'))
              .otherwise(value))
     first = typed.select("event_id", value.alias("value"), (e % 4).cast("int").alias("partition"),
-                         e.alias("offset"))
-    again = first.where(F.col("event_id") % 5 == 0).withColumn("offset", F.col("offset") + 1_000_000)
+                         (e * 2).alias("offset"))
+    again = first.where(F.col("event_id") % 5 == 0).withColumn("offset", F.col("offset") + 1)
     return (first.unionByName(again)
             .select(F.lit(topic).alias("topic"), "partition", "offset",
                     F.timestamp_seconds(F.lit(0) + F.col("offset") % 1000).alias("timestamp"),
@@ -152,7 +158,8 @@ def raw_receptions(events: DataFrame) -> DataFrame:
     hex(u + 0x400000).  The first frame is also heard by a second receiver 2 ms later when
     e % 4 = 0, and again by the same receiver 4 ms later when e % 16 = 0.  Defects on the
     first frame: e % 31 = 0 corrupted last digit, e % 37 = 0 not hex, e % 41 = 0 receiver
-    latitude 91.
+    latitude 91.  A user_id whose address needs more than 24 bits gets the text that is no
+    frame, so no two aircraft share an address.
     """
     from skylens.functions.modes import with_parity
 
@@ -163,7 +170,7 @@ def raw_receptions(events: DataFrame) -> DataFrame:
         .otherwise(F.lit(FRAME_TEMPLATES[1]))
     second_tpl = F.when(kind == 0, F.lit(FRAME_TEMPLATES[1])).when(kind == 1, F.lit(FRAME_TEMPLATES[3])) \
         .otherwise(F.lit(FRAME_TEMPLATES[0]))
-    address = F.lpad(F.hex(u + 0x400000), 6, "0")
+    address = padded_hex(u + 0x400000)
     t1 = F.col("_t").cast("double") + (e % 1000).cast("double") / 1000
     receiver = (u % 7 + 1).cast("int")
     other = ((u + 1) % 7 + 1).cast("int")
@@ -177,7 +184,7 @@ def raw_receptions(events: DataFrame) -> DataFrame:
     frame = with_parity(F.col("tpl"), F.col("_addr"))
     first = F.col("slot") != 1
     last = F.substring(frame, 28, 1)
-    frame = (F.when(first & (e % 37 == 0), F.lit("not-a-frame"))
+    frame = (F.when((first & (e % 37 == 0)) | (F.length("_addr") > 6), F.lit("not-a-frame"))
              .when(first & (e % 31 == 0), F.concat(F.substring(frame, 1, 27),
                                                     F.when(last == "0", F.lit("1")).otherwise(F.lit("0"))))
              .otherwise(frame))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+LISTING = ("url", "size", "last_modified", "etag")
 REQUIRED = ("rawMessage", "timeAtServer", "sensorSerialNumber")
 
 
@@ -16,9 +17,11 @@ def profile(raw: DataFrame) -> DataFrame:
     """SRC-9: record count and min/max over finite reception times; refuses wrong or empty input."""
     missing = [c for c in REQUIRED if c not in raw.columns]
     if missing:
-        raise ValueError("Input must contain raw reception fields, not aircraft state vectors")
+        raise ValueError(f"not a raw reception file: {', '.join(missing)} missing")
     t = F.col("timeAtServer").cast("double")
     finite = t.isNotNull() & ~F.isnan(t) & (F.abs(t) < F.lit(float("inf")))
+    if raw.isEmpty():
+        raise ValueError("the file holds no records")
     out = raw.agg(F.count(F.lit(1)).alias("record_count"), F.min(F.when(finite, t)).alias("event_time_min"),
                   F.max(F.when(finite, t)).alias("event_time_max")).withColumn("event_time_basis", F.lit("timeAtServer"))
     return out
@@ -28,23 +31,31 @@ def with_record_index(raw: DataFrame, order: str | None = None) -> DataFrame:
     """Zero-based record index in file order (``monotonically_increasing_id`` is not dense, so a
     per-partition count prefix is added; no single-task window over the whole input)."""
     tagged = raw.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    # One row per input partition: the prefix sum over it and its broadcast are bounded by the
-    # partition count, not by the data volume.
+    # One row per input partition, so the prefix sum is bounded by the partition count; Spark
+    # broadcasts it or not by its measured size.
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select("_pid", (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
                            .alias("_off"))
     local = Window.partitionBy("_pid").orderBy("_mid")
-    return (tagged.join(F.broadcast(offsets), "_pid")
+    return (tagged.join(offsets, "_pid")
             .withColumn("record_index", F.coalesce(F.col("_off"), F.lit(0)) + F.row_number().over(local) - 1)
             .drop("_pid", "_mid", "_off"))
 
 
-def replay_receptions(raw: DataFrame, *, checksum: str, run_id: str, source_url: str, start: int = 0,
-                      max_rows: int = 1000, released_at: float = 0.0) -> DataFrame:
-    """SRC-10: receptions [start, start + max_rows) with stable ids and all source fields as sorted-key JSON."""
-    if not run_id.strip() or max_rows < 1 or start < 0:
-        raise ValueError("Supply a run ID, positive row limit and nonnegative start record")
-    indexed = with_record_index(raw).where(F.col("record_index").between(start, start + max_rows - 1))
+def replay_receptions(raw: DataFrame, *, checksum: str, run_id: str, source_url: str, max_rows: int | None,
+                      start: int = 0, released_at: float = 0.0) -> DataFrame:
+    """SRC-10: receptions [start, start + max_rows) with stable ids and all source fields as sorted-key JSON.
+
+    ``max_rows=None`` replays everything from ``start`` on. A slice without records is refused.
+    Delivery ids follow from run, file and index, so a recomputed partition gives the same ones.
+    """
+    if not run_id.strip() or start < 0 or (max_rows is not None and max_rows < 1):
+        raise ValueError("replay needs a run id, a start of 0 or more, and a positive number of rows or None")
+    indexed = with_record_index(raw).where(F.col("record_index") >= start)
+    if max_rows is not None:
+        indexed = indexed.where(F.col("record_index") < start + max_rows)
+    if indexed.isEmpty():
+        raise ValueError("the slice to replay holds no records")
     fields = sorted(c for c in raw.columns)
     source_json = F.to_json(F.struct(*[F.col(c) for c in fields]), {"ignoreNullFields": "false"})
     t = F.col("timeAtServer").cast("double")
@@ -54,7 +65,7 @@ def replay_receptions(raw: DataFrame, *, checksum: str, run_id: str, source_url:
             F.lit(1).alias("schema_version"), F.lit("raw_reception").alias("record_type"), F.lit("replay").alias("mode"),
             F.lit(run_id).alias("run_id"), F.lit("raw").alias("dataset_id"),
             F.sha2(F.concat_ws(":", F.lit(checksum), F.col("record_index").cast("string")), 256).alias("reception_id"),
-            F.expr("uuid()").alias("delivery_id"), F.lit(checksum).alias("source_sha256"),
+            F.sha2(F.concat_ws(":", F.lit(run_id), F.lit(checksum), F.col("record_index").cast("string")), 256).alias("delivery_id"), F.lit(checksum).alias("source_sha256"),
             F.lit(source_url).alias("source_url"), F.col("record_index"), F.col("rawMessage").alias("raw_message"),
             F.col("sensorSerialNumber").cast("int").alias("receiver_id"),
             F.when(finite, t).alias("source_reception_time"), F.when(finite, t).alias("event_time"),
@@ -64,8 +75,11 @@ def replay_receptions(raw: DataFrame, *, checksum: str, run_id: str, source_url:
 
 
 def catalog(files: DataFrame, manifests: DataFrame) -> DataFrame:
-    """SRC-11: non-empty ``.avro`` files not yet imported (identity = sha256 of the listing fields)."""
-    identity = F.sha2(F.to_json(F.struct(*[F.col(c) for c in sorted(files.columns)])), 256)
-    candidates = files.where(F.col("url").endswith(".avro") & (F.coalesce(F.col("size"), F.lit(1)) > 0)) \
-        .withColumn("identity", identity)
+    """SRC-11: ``.avro`` files of a known, positive size not yet imported.
+
+    The identity is the sha256 of the listing's own fields (``LISTING``), whatever else a listing carries.
+    """
+    listed = [F.col(c) for c in LISTING if c in files.columns]
+    candidates = (files.where(F.col("url").endswith(".avro") & (F.col("size") > 0))
+                  .withColumn("identity", F.sha2(F.to_json(F.struct(*listed), {"ignoreNullFields": "false"}), 256)))
     return candidates.join(manifests.select("identity"), "identity", "left_anti")

@@ -52,14 +52,39 @@ def state_events(snapshots: DataFrame) -> DataFrame:
         F.try_variant_get(doc, "$.collected_at", "double").alias("collected_at"),
         F.variant_get(doc, "$.bounding_box", "variant").alias("bounding_box"),
         F.explode(F.try_variant_get(doc, "$.response.states", "array<variant>")).alias("row"))
-    n = F.array_size(F.try_variant_get("row", "$", "array<variant>"))
-    ok = (n >= MIN_STATE_FIELDS) & (F.schema_of_variant(F.variant_get("row", "$[0]", "variant")) == "STRING")
-    state = F.struct(*[F.try_variant_get("row", f"$[{i}]", "string" if name in ("icao24", "callsign", "origin_country",
-                                                                               "squawk") else
-                                         "boolean" if name in ("on_ground", "spi") else "double").alias(name)
-                       for i, name in enumerate(STATE_FIELDS)])
-    return rows.select("*", F.when(~F.coalesce(ok, F.lit(False)), F.lit("Unexpected state vector row")).alias("row_error"),
-                       state.alias("state"), F.to_json("row").alias("source_row_text"))
+    error, state = _typed_row(F.col("row"))
+    return rows.select("*", error.alias("row_error"), state.alias("state"), F.to_json("row").alias("source_row_text"))
+
+
+BOUNDS = ("lamin", "lamax", "lomin", "lomax")
+
+
+def archived_rows(snapshots: DataFrame) -> DataFrame:
+    """SRC-8 and EXP-1 in one pass: a row per state row, and one without text for an empty document.
+
+    ``intact`` tells that the digest matches both the stored one and the object key; the document's
+    box is in ``BOUNDS``.
+    """
+    doc, rows = F.col("document"), F.try_variant_get("document", "$.response.states", "array<variant>")
+    each = snapshots.select(
+        "path", "source_sha256", F.variant_get(doc, "$.response.time", "bigint").alias("snapshot_time"),
+        F.try_variant_get(doc, "$.collected_at", "double").alias("collected_at"),
+        *[F.try_variant_get(doc, f"$.bounding_box.{b}", "double").alias(b) for b in BOUNDS],
+        F.coalesce((F.col("digest") == F.col("source_sha256")) & (F.col("digest") == F.col("key_digest")), F.lit(False)).alias("intact"),
+        F.explode_outer(rows).alias("row"))
+    error, state = _typed_row(F.col("row"))
+    return each.select("path", "source_sha256", "snapshot_time", "collected_at", *BOUNDS, "intact",
+                       F.when(F.col("row").isNotNull(), error).alias("row_error"), state.alias("state"), F.to_json("row").alias("source_row_text"))
+
+
+def _typed_row(row):
+    """(error or null, typed state) of a positional source row."""
+    text, flags = ("icao24", "callsign", "origin_country", "squawk"), ("on_ground", "spi")
+    enough = F.array_size(F.try_variant_get(row, "$", "array<variant>")) >= MIN_STATE_FIELDS
+    named = F.schema_of_variant(F.variant_get(row, "$[0]", "variant")) == "STRING"
+    kind = {**dict.fromkeys(text, "string"), **dict.fromkeys(flags, "boolean")}
+    state = F.struct(*[F.try_variant_get(row, f"$[{i}]", kind.get(name, "double")).alias(name) for i, name in enumerate(STATE_FIELDS)])
+    return F.when(~F.coalesce(enough & named, F.lit(False)), F.lit("not a state vector")), state
 
 
 def empty_snapshots(snapshots: DataFrame) -> DataFrame:

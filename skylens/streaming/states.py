@@ -34,22 +34,29 @@ def dedup_stage(bronze: DataFrame, watermark: str = "10 minutes") -> DataFrame:
     if bronze.isStreaming:
         return observations.withWatermark("event_timestamp", watermark).dropDuplicatesWithinWatermark(
             ["observation_id"])
-    return observations.dropDuplicates(["observation_id"])
+    from skylens.plans.lake import deduplicated
+    return deduplicated(observations)
 
 
 def windows_stage(silver: DataFrame, box=DEFAULT_BOX, watermark: str = "10 minutes",
                   window_seconds: int = WINDOW_SECONDS, cell_degrees: float = CELL_DEGREES) -> DataFrame:
     """STR-3: distinct aircraft per window x cell; append mode emits closed windows only.
 
-    Streaming distinct counts use ``size(collect_set)`` (state holds the ids of open windows).
+    A stream keeps one state row per (window, cell, aircraft) by dropping repeats within the
+    watermark (which is at least as long as a window), and then counts: a crowded cell is many
+    small state rows on many tasks, never one growing set.
     """
     valid = silver.where(in_box(box))
     if silver.isStreaming:
         valid = valid.withWatermark("event_timestamp", watermark)
     window = F.window("event_timestamp", f"{window_seconds} seconds")
-    return (valid.groupBy(window, "scope_id", cell_of("latitude", cell_degrees).alias("cell_lat_min"),
-                          cell_of("longitude", cell_degrees).alias("cell_lon_min"))
-            .agg(F.size(F.collect_set("icao24")).alias("distinct_aircraft"))
+    cells = valid.select("event_timestamp", "scope_id", "icao24", cell_of("latitude", cell_degrees).alias("cell_lat_min"),
+                         cell_of("longitude", cell_degrees).alias("cell_lon_min"),
+                         F.floor(F.col("event_timestamp").cast("double") / window_seconds).cast("long").alias("_window"))
+    seen = ["_window", "scope_id", "cell_lat_min", "cell_lon_min", "icao24"]
+    cells = cells.dropDuplicatesWithinWatermark(seen) if silver.isStreaming else cells.dropDuplicates(seen)
+    return (cells.groupBy(window, "scope_id", "cell_lat_min", "cell_lon_min")
+            .agg(F.count(F.lit(1)).cast("int").alias("distinct_aircraft"))
             .select("scope_id", F.col("window.start").cast("long").alias("window_start"),
                     F.col("window.end").cast("long").alias("window_end"), "cell_lat_min", "cell_lon_min",
                     "distinct_aircraft")
@@ -57,9 +64,9 @@ def windows_stage(silver: DataFrame, box=DEFAULT_BOX, watermark: str = "10 minut
 
 
 def start_stage(spark: SparkSession, stage: str, root: str, *, source: DataFrame | None = None,
-                box=DEFAULT_BOX, watermark: str = "10 minutes", available_now: bool = True,
+                box=DEFAULT_BOX, watermark: str = "10 minutes", topic: str = "states", available_now: bool = True,
                 trigger_seconds: int = 30):
-    """Start one stage writing ``root/<bronze|silver|gold>`` with checkpoint ``root/checkpoints/<stage>``.
+    """SNK-3: checks the root's contract (settings and topic), then starts one stage writing ``root/<bronze|silver|gold>`` with checkpoint ``root/checkpoints/<stage>``.
 
     ``source`` is the streaming Kafka-shaped frame for the archive stage (any streaming source
     with the Kafka columns); later stages read the previous stage's committed file-sink output.
@@ -67,6 +74,8 @@ def start_stage(spark: SparkSession, stage: str, root: str, *, source: DataFrame
     if watermark not in WATERMARKS:
         raise ValueError(f"watermark must be one of {WATERMARKS}")
     root = root.rstrip("/")
+    verify_contract(spark, root, {"bbox": list(box), "watermark": watermark, "topic": topic, "window_seconds": WINDOW_SECONDS,
+                                  "cell_degrees": CELL_DEGREES})
     for name in ("bronze", "silver", "gold"):
         fs.mkdirs(spark, f"{root}/{name}")
     if stage == "archive":
@@ -92,18 +101,23 @@ def start_stage(spark: SparkSession, stage: str, root: str, *, source: DataFrame
 
 
 def run_chain(spark: SparkSession, root: str, source: DataFrame, *, box=DEFAULT_BOX, watermark: str = "10 minutes",
-              contract: dict | None = None) -> list[dict]:
+              topic: str = "states") -> list[dict]:
     """STR-4: the three stages one after another with availableNow; returns their last progress."""
-    verify_contract(spark, root, {"bbox": list(box), "watermark": watermark, "window_seconds": WINDOW_SECONDS,
-                                  "cell_degrees": CELL_DEGREES, **(contract or {})})
     reports = []
     for stage in STAGES:
-        query = start_stage(spark, stage, root, source=source, box=box, watermark=watermark, available_now=True)
+        query = start_stage(spark, stage, root, source=source, box=box, watermark=watermark, topic=topic, available_now=True)
         query.awaitTermination()
         reports.append(progress_summary(stage, query))
     return reports
 
 
+def start_concurrent(spark: SparkSession, root: str, source: DataFrame, *, box=DEFAULT_BOX, watermark: str = "10 minutes",
+                     topic: str = "states", trigger_seconds: int = 30) -> list:
+    """STR-4, concurrent mode: all three stages at once, each on its own trigger; returns the queries."""
+    return [start_stage(spark, stage, root, source=source, box=box, watermark=watermark, topic=topic, available_now=False,
+                        trigger_seconds=trigger_seconds) for stage in STAGES]
+
+
 def progress_summary(stage: str, query) -> dict:
     """STR-11: batch id, input rows, event-time watermark and state metrics of the last batch."""
     progress = query.lastProgress or {}
