@@ -37,19 +37,23 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = steady(docs)
     scored = toxicity(docs, table(spark, sf_dir, "labels"))
     return _without(docs, written(scored.where("predicted = 1").select(ROW), "toxic"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = steady(docs)
     return _without(docs, written(exact_dedup(docs).where(~F.col("kept")).select(ROW), "copies"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = steady(docs)
     return _without(docs, written(near_dedup(docs, k=5, percent=80).where(~F.col("first_of_group")).select(ROW), "near"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = steady(docs)
     spans = written(scan(docs)[0].where("size(spans) > 0").select(ROW, "spans"), "spans")
     joined = docs.withColumn(ROW, F.monotonically_increasing_id()).join(spans, ROW, "left")
     text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("spans")))

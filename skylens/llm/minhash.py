@@ -147,9 +147,8 @@ def _prefixes(k: int):
     return run
 
 
-def _remaining(stars: DataFrame, tried: DataFrame, links: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
-    """Links between members of buckets whose star left them apart, or None where no star did."""
-    labels = connected_components(links)
+def _remaining(stars: DataFrame, tried: DataFrame, labels: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """Links between members of buckets whose star left them apart, or None where there are none."""
     label = lambda row, name: labels.select(F.col("node").alias(row), F.col("component").alias(name))
     apart = written(tried.where(f"100 * both < {percent} * either").select("a", "b")
                     .join(label("a", "ca"), "a", "left").join(label("b", "cb"), "b", "left")
@@ -173,6 +172,8 @@ def _remaining(stars: DataFrame, tried: DataFrame, links: DataFrame, docs: DataF
                    for r, c, n in (("a", "ca", "na"), ("b", "cb", "nb")))
     more = written(left.join(right, "s").where(f"a < b and ca <> cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
                    .select("a", "b").distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "more")
+    if more.isEmpty():
+        return None
     return _alike(written(_compared(more, docs, k), "tried"), percent)
 
 
@@ -202,10 +203,10 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     links = _alike(tried, percent)
     unequal = stars.where(f"100 * least(na, nb) < {percent} * greatest(na, nb)").select("a", "b").distinct() \
         .select("a", "b", F.lit(0).cast("long").alias("both"), F.lit(1).cast("long").alias("either"))
-    more = _remaining(stars, tried.unionByName(unequal), links, docs, k, percent)
-    if more is not None:
-        links = written(links.unionByName(more), "links")
     labels = connected_components(links)
+    more = _remaining(stars, tried.unionByName(unequal), labels, docs, k, percent)
+    if more is not None:
+        labels = connected_components(links.unionByName(more))
     reps = classes.select("digest", F.col("rep.row").alias("node"), F.col("rep.doc_id").alias("rep_id"))
     grouped = written(reps.join(labels, "node", "left").select("digest", "node", "rep_id", F.coalesce("component", "node").alias("component")), "grouped")
     firsts = written(grouped.groupBy("component").agg(F.min(first_row("rep_id", "node")).alias("first")), "firsts")

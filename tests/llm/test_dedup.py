@@ -130,3 +130,11 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(200, 200), (300, 299)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(41)) and all(got[100 + i] == 100 for i in range(60)) and got[300] == 299 and 200 not in got
+
+
+def test_rows_keep_their_keys_however_they_are_dealt(spark):
+    from skylens.llm.common import keyed
+    rows = spark.range(500).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"), F.lit(1).alias("x")).repartition(7)
+    own = keyed(rows)
+    assert own.select("_row", "doc_id").exceptAll(own.where("text <> '3'").select("_row", "doc_id")).count() == 1
+    assert {r._row for r in own.select("_row").collect()} == {r._row for r in own.select("_row", "text").collect()}

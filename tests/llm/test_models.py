@@ -35,7 +35,7 @@ def tox_frames(spark, rows, labels):
 
 def test_toxicity_learns_and_sees_through_disguise(spark):
     rows, labels = corpus(900)
-    clean = " ".join(w for w in rows[0][1].split() if w not in ("blockhead", "nitwit", "dunderhead"))
+    clean = " ".join(w for w in rows[0][1].split() if w not in ("blockhead", "nitwit", "dunderhead") and not w.startswith("grumwort"))
     disguised = {5001: "bl0ckhe@d", 5002: "n1tw1t", 5003: "niiiitwiiiit", 5004: "n i t w i t", 5005: "d.u.n.d.e.r.h.e.a.d", 5006: "BLOCKHEAD!!", 5007: "grumworttalsi", 5008: "bl0ckhead"}
     extra = [(i, f"{clean} {w} {clean}") for i, w in disguised.items()] + [(6000, clean), (6001, None), (6002, ""), (None, "nitwit"), (0, rows[0][1]), (6003, (clean + " ") * 500 + "nitwit")]
     docs, marks = tox_frames(spark, rows + extra, labels + [(6002, None), (6001, 7), (0, labels[0][1])])
