@@ -1,14 +1,19 @@
 """MinHash near-dedup: one-permutation hashing, optimal densification, bands, star-shaped candidates.
 
 A document's set is its distinct word shingles. One hash function splits all shingle hashes over
-``BANDS * ROWS`` bins and each bin keeps its smallest; an empty bin copies the bin that its own
-sequence of pseudo-random probes meets first (the same sequence for every document). Bands of bins
-name buckets; in a bucket every member is a candidate with the bucket's centre only, so candidates
-are at most as many as bucket rows. Candidates are confirmed on full sets.
-
-A star compares no two members with each other. Where a candidate pair fails and the two do not
-meet through others, the members of that bucket go on to an exact step: pairs among them that share
-one of their rarest shingles (a prefix filter, which loses no pair at the similarity asked for).
+``BINS`` bins and each bin keeps its smallest; an empty bin copies the bin that its own sequence of
+pseudo-random probes meets first (the same sequence for every document). Bands of bins name
+buckets; in a bucket every member is a candidate with the bucket's centre only, so candidates are
+at most as many as bucket rows. One bit of every bin makes a sketch: candidates whose sketches
+differ in more bits than a pair at J = 0.8 does (26 on average, and 5.5 standard deviations, which
+depend on how many bins the smaller set fills; sets under 16 aren't judged by it), or whose sizes
+can't reach the similarity, go no further. The others are confirmed on full sets.
+
+A star compares no two members with each other. Where the members of a bucket are in several
+components after that, those outside the largest of them (its strays) are compared with all
+members, by sketch first; a bucket with more than ``STRAYS`` of them is finished by an exact step
+instead, a prefix filter: pairs of its members that share one of their rarest shingles, which loses
+no pair at the similarity asked for.
 
 Scale: equal sets are collapsed first (a group of copies is one row from then on); texts move once
 for candidates, spread by (centre, share of its members), so a centre with very many members is
@@ -27,7 +32,11 @@ from pyspark.sql import DataFrame, functions as F
 from skylens.llm import spans
 from skylens.llm.common import ROW, connected_components, first_row, keyed, written
 
-BANDS, ROWS = 32, 5
+BANDS, ROWS, BINS = 32, 5, 256
+STRAYS = 64
+# bits in which sketches may differ: of the smaller set's n shingles, {n} is put in
+FAR = "if({n} < 16, 256, 26 + 5.5 * sqrt(128 * 128 * 0.16 / (256 * (1 - exp(-{n} / 256.0))) + 21))"
+KEYS = ["k1", "k2", "k3", "k4"]  # the sketch
 MEMBERS = 256  # members of a centre compared in one group
 _SPREAD = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
@@ -60,16 +69,18 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
 
 
 class Signer:
-    """Band hashes of a shingle set; holds the probe order of every bin."""
+    """Band hashes and sketch of a shingle set; holds the probe order of every bin."""
 
     def __init__(self, bands: int, rows: int):
-        self.bands, self.rows, self.bins = bands, rows, bands * rows
+        if bands * rows > BINS:
+            raise ValueError(f"{bands} bands of {rows} need more than {BINS} bins")
+        self.bands, self.rows = bands, rows
         rng = np.random.default_rng(11)
-        self.probes = np.argsort(rng.random((self.bins, self.bins)), axis=1).astype(np.int32)
-        width = 2**64 // self.bins
-        self.lower = np.array([i * width for i in range(self.bins)], np.uint64)
+        self.probes = np.argsort(rng.random((BINS, BINS)), axis=1).astype(np.int32)
+        self.lower = np.arange(BINS, dtype=np.uint64) * np.uint64(2**64 // BINS)
         self.spread = rng.integers(1, 2**63, rows, dtype=np.uint64) | np.uint64(1)
         self.tag = spans.mix(np.arange(1, bands + 1, dtype=np.uint64))
+        self.own = spans.mix(np.arange(1000, 1000 + BINS, dtype=np.uint64))
 
     def bins_of(self, sorted_set: np.ndarray) -> np.ndarray:
         at = np.searchsorted(sorted_set, self.lower)
@@ -83,9 +94,12 @@ class Signer:
             least[empty] = least[donor]
         return least
 
-    def __call__(self, sorted_set: np.ndarray) -> np.ndarray:
-        grid = self.bins_of(sorted_set).reshape(self.bands, self.rows)
-        return spans.mix((grid * self.spread).sum(axis=1, dtype=np.uint64) + self.tag).view(np.int64)
+    def __call__(self, sorted_set: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(a hash for each band, the sketch as four numbers)."""
+        least = self.bins_of(sorted_set)
+        grid = least[:self.bands * self.rows].reshape(self.bands, self.rows)
+        hashes = spans.mix((grid * self.spread).sum(axis=1, dtype=np.uint64) + self.tag).view(np.int64)
+        return hashes, np.packbits(spans.mix(least ^ self.own) & np.uint64(1) > 0).view(np.int64)
 
 
 def _sign(k: int, bands: int, rows: int):
@@ -93,11 +107,13 @@ def _sign(k: int, bands: int, rows: int):
         sign = Signer(bands, rows)
         for part, texts in spans.slices(batches, "text"):
             sets = shingle_sets(texts, k)
+            signs = [sign(x) if len(x) else None for x in sets]
             yield pa.RecordBatch.from_arrays([
-                part.column(ROW), part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                pa.array([sign(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
-            ], names=[ROW, "doc_id", "n", "digest", "bands"])
+                part.column(ROW), part.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()),
+                pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets], pa.binary()),
+                pa.array([x and x[0] for x in signs], pa.list_(pa.int64())),
+                *[pa.array([x and x[1][i] for x in signs], pa.int64()) for i in range(4)],
+            ], names=[ROW, "doc_id", "n", "digest", "bands", *KEYS])
 
     return run
 
@@ -147,17 +163,39 @@ def _prefixes(k: int):
     return run
 
 
+def _plausible(percent: int, left: str = "l_", right: str = "") -> str:
+    """SQL: neither sizes nor sketches rule the similarity out."""
+    bits = " + ".join(f"bit_count({left}{x} ^ {right}{x})" for x in KEYS)
+    return f"100 * least({left}n, {right}n) >= {percent} * greatest({left}n, {right}n) and {bits} <= {FAR.format(n=f'least({left}n, {right}n)')}"
+
+
 def _remaining(stars: DataFrame, tried: DataFrame, labels: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
-    """Links between members of buckets whose star left them apart, or None where there are none."""
-    label = lambda row, name: labels.select(F.col("node").alias(row), F.col("component").alias(name))
-    apart = written(tried.where(f"100 * both < {percent} * either").select("a", "b")
-                    .join(label("a", "ca"), "a", "left").join(label("b", "cb"), "b", "left")
-                    .where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"), "apart")
-    if apart.isEmpty():
+    """Links between members of buckets that are in several components, or None where there are none."""
+    label = lambda df, row, name: df.join(labels.select(F.col("node").alias(row), F.col("component").alias(name)), row, "left").withColumn(name, F.coalesce(name, row))
+    members = written(label(stars.select("bucket", F.col("b").alias(ROW), "n", *KEYS), ROW, "c"), "members")
+    mixed = members.groupBy("bucket").agg((F.min("c") != F.max("c")).alias("mixed")).where("mixed").select("bucket")
+    members = written(members.join(mixed, "bucket"), "members")
+    if members.isEmpty():
+        return None
+    sizes = members.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("size"))
+    largest = written(sizes.groupBy("bucket").agg(F.max_by("c", F.struct("size", "c")).alias("most"), (F.sum("size") - F.max("size")).alias("strays")), "largest")
+    placed = written(members.join(largest, "bucket"), "placed")
+    strays = written(placed.where(f"c <> most and strays <= {STRAYS}").select("bucket", *[F.col(x).alias("l_" + x) for x in (ROW, "c", "n", *KEYS)]), "strays")
+    near = (strays.join(members, "bucket").where(f"l_c <> c and {_plausible(percent)}")
+            .select(F.least(f"l_{ROW}", ROW).alias("a"), F.greatest(f"l_{ROW}", ROW).alias("b")))
+    near = written(near.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "near")
+    crowded = written(placed.where(f"strays > {STRAYS}").select(ROW, F.col("c").alias("component")).distinct(), "crowded")
+    if not crowded.isEmpty():
+        rare = _sharing_rare_shingles(crowded, docs, k, percent)
+        near = written(near.unionByName(rare).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "near")
+    if near.isEmpty():
         return None
-    buckets = stars.join(apart, ["a", "b"]).select("bucket").distinct()
-    members = written(stars.join(buckets, "bucket").select(F.explode(F.array("a", "b")).alias(ROW)).distinct(), "members")
-    members = written(members.join(label(ROW, "c"), ROW, "left").select(ROW, F.coalesce("c", ROW).alias("component")), "members")
+    return _alike(written(_compared(near, docs, k), "tried"), percent)
+
+
+def _sharing_rare_shingles(members: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): pairs of ``members`` (_row, component) of different components that share one of the
+    first shingles of both, rarest first; as many as no pair at the similarity can do without."""
     sets = written(docs.select(ROW, "text").join(members, ROW)
                    .mapInArrow(_prefixes(k), f"{ROW} long, component long, shingles array<long>"), "sets")
     each = sets.select(ROW, "component", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
@@ -170,11 +208,8 @@ def _remaining(stars: DataFrame, tried: DataFrame, labels: DataFrame, docs: Data
     prefix = written(prefix, "prefix")
     left, right = (prefix.select("s", F.col(ROW).alias(r), F.col("component").alias(c), F.col("n").alias(n))
                    for r, c, n in (("a", "ca", "na"), ("b", "cb", "nb")))
-    more = written(left.join(right, "s").where(f"a < b and ca <> cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
-                   .select("a", "b").distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "more")
-    if more.isEmpty():
-        return None
-    return _alike(written(_compared(more, docs, k), "tried"), percent)
+    return (left.join(right, "s").where(f"a < b and ca <> cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
+            .select("a", "b").distinct())
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
@@ -189,22 +224,20 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     ``kept`` is then false. Other columns are ignored; an empty table gives no rows.
     """
     docs = keyed(df, id_col, text_col)
-    signed = written(docs.mapInArrow(_sign(k, bands, rows), f"{ROW} long, doc_id long, n long, digest binary, bands array<long>"), "signed")
+    numbers = ", ".join(f"{x} long" for x in KEYS)
+    signed = written(docs.mapInArrow(_sign(k, bands, rows), f"{ROW} long, doc_id long, n long, digest binary, bands array<long>, {numbers}"), "signed")
     classes = written(signed.where("n > 0").groupBy("digest").agg(F.min(first_row()).alias("rep")), "classes")
     own = signed.where("n > 0").join(classes.select(F.col("rep.row").alias(ROW)), ROW)
-    buckets = written(own.select(ROW, "n", F.explode("bands").alias("bucket")), "buckets")
-    centres = written(buckets.groupBy("bucket").agg(F.min(F.struct(ROW, "n")).alias("c"), F.count(F.lit(1)).alias("size"))
-                      .where("size > 1").select("bucket", F.col(f"c.{ROW}").alias("a"), F.col("c.n").alias("na")), "centres")
-    stars = written(buckets.join(centres, "bucket").where(f"{ROW} <> a")
-                    .select("bucket", "a", F.col(ROW).alias("b"), "na", F.col("n").alias("nb")), "stars")
-    # sets whose sizes differ by more can't reach the similarity
-    pairs = written(stars.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct(), "pairs")
+    buckets = written(own.select(ROW, "n", *KEYS, F.explode("bands").alias("bucket")), "buckets")
+    centres = (buckets.groupBy("bucket").agg(F.min(F.struct(ROW, "n", *KEYS)).alias("c"), F.count(F.lit(1)).alias("size"))
+               .where("size > 1").select("bucket", F.col(f"c.{ROW}").alias("a"), *[F.col(f"c.{x}").alias(f"l_{x}") for x in ("n", *KEYS)]))
+    stars = written(buckets.join(written(centres, "centres"), "bucket").where(f"{ROW} <> a")
+                    .select("bucket", "a", F.col(ROW).alias("b"), "n", *KEYS, F.expr(_plausible(percent)).alias("plausible")), "stars")
+    pairs = written(stars.where("plausible").select("a", "b").distinct(), "pairs")
     tried = written(_compared(pairs, docs, k), "tried")
     links = _alike(tried, percent)
-    unequal = stars.where(f"100 * least(na, nb) < {percent} * greatest(na, nb)").select("a", "b").distinct() \
-        .select("a", "b", F.lit(0).cast("long").alias("both"), F.lit(1).cast("long").alias("either"))
     labels = connected_components(links)
-    more = _remaining(stars, tried.unionByName(unequal), labels, docs, k, percent)
+    more = _remaining(stars, tried, labels, docs, k, percent)
     if more is not None:
         labels = connected_components(links.unionByName(more))
     reps = classes.select("digest", F.col("rep.row").alias("node"), F.col("rep.doc_id").alias("rep_id"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skylens.llm.common import connected_components
 from skylens.llm.exact_dedup import exact_dedup
+from skylens.llm import minhash
 from skylens.llm.minhash import Signer, near_dedup, shingle_sets
 
 SCHEMA = "doc_id long, text string, kept boolean, component_id string, name int, _row string"
@@ -108,7 +109,9 @@ def test_near_dedup_matches_brute_force(spark, seed, k):
     assert sum(r.first_of_group for r in got) == count
 
 
-def test_links_between_members_that_their_centre_misses(spark):
+@pytest.mark.parametrize("strays", [64, 1])
+def test_links_between_members_that_their_centre_misses(spark, monkeypatch, strays):
+    monkeypatch.setattr(minhash, "STRAYS", strays)  # with 1 the prefix filter has to find them
     # the centre (smallest) shares most bands with both others, which are alike, but isn't linked with them
     base = [f"a{i}" for i in range(100)]
     rows = [(0, " ".join(base))]
@@ -126,6 +129,17 @@ def test_densified_bins_agree_like_the_sets(spark):
     assert 0.6 < same < 1.0  # Jaccard 18 / 22
 
 
+def test_sketches_at_the_threshold_are_never_too_far(spark):
+    sign, rng, rows = Signer(32, 5), random.Random(3), []
+    for size in (4, 8, 16, 24, 40, 100, 300, 1200):
+        for _ in range(150):
+            words = [b"y%d" % rng.randrange(10**9) for _ in range(size + size // 4)]
+            one, two = shingle_sets([b" ".join(words[:size]), b" ".join(words)], 1)  # Jaccard 0.8
+            rows.append((size, *sign(one)[1].tolist(), size + size // 4, *sign(two)[1].tolist()))
+    df = spark.createDataFrame(rows, ", ".join(f"{side}{c} long" for side in ("l_", "") for c in ("n", *minhash.KEYS)))
+    assert df.where(f"not ({minhash._plausible(80)})").count() == 0
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(200, 200), (300, 299)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
