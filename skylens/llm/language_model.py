@@ -32,7 +32,7 @@ HEAD = 200_000
 HIDDEN, HEAD_CLASSES, CLASS_WORDS, TAIL_CLASSES = 24, 16, 64, 32
 SHARE, LEAST_DOCS, DOCS_EACH, MOST_TRAINERS, ROUNDS = 1 / 16, 4000, 500, 32, 2
 LANES, TRAIN_LANES, WINDOW = 512, 48, 24
-FLUSH_TOKENS = 4_000_000
+FLUSH_TOKENS, LONG = 1_000_000, 4096  # tokens scored side by side; longer documents are gathered apart
 END = np.uint64(0)  # the end token's hash
 SHORT = HEAD_CLASSES * CLASS_WORDS  # words with a softmax of their own; the end token is the first
 RATE, CLIP = 0.08, 5.0
@@ -75,10 +75,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unique, at, c = np.unique(h, return_index=True, return_counts=True)
         held.append((unique, k[at], c.astype(np.int64)))
         size += len(unique)
-        if size > 2_000_000:
+        if size > 1_000_000:
             held = [merged()]
             size = len(held[0][0])
-            if size > 1_500_000:
+            if size > 700_000:
                 yield out(held[0])
                 held, size = [], 0
     if held:
@@ -238,7 +238,7 @@ def _grids(ids: np.ndarray, sizes: np.ndarray, most: int):
 def number(vocabulary: Vocabulary, h: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The network's number of each token (short list, then tail classes), and training counts of head tokens."""
     rank, c = vocabulary.find(h)
-    return np.where((rank >= 0) & (rank < SHORT), rank, SHORT + tail), np.where(rank >= 0, c, -1)
+    return np.where((rank >= 0) & (rank < SHORT), rank, SHORT + tail.astype(np.int64)), np.where(rank >= 0, c, -1)
 
 
 def _train(vocabulary: Vocabulary, weights: dict[str, np.ndarray]):
@@ -308,16 +308,17 @@ def train(docs: DataFrame, head: int = HEAD, rounds: int = ROUNDS, share: float
 def _score(model_of, out_names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, network = model_of.value
-        pool: list[tuple] = []
-        held = 0
+        pools: dict[bool, list[tuple]] = {False: [], True: []}  # short and long documents
+        held = {False: 0, True: 0}
         smooth = math.log10(vocabulary.n + 0.5 * (vocabulary.v + 1))
         log_mass = np.log10(vocabulary.mass)
 
-        def flush():
+        def flush(pool):
             rows, docs = (pa.concat_arrays([p[i] for p in pool]) for i in (0, 1))
             h, tail, sizes = (np.concatenate([p[i] for p in pool]) for i in (2, 3, 4))
             ids, c = number(vocabulary, h, tail)
-            doc_of = np.repeat(np.arange(len(sizes)), sizes)
+            ids = ids.astype(np.int32)
+            doc_of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
             logp = np.empty(len(h))
             state = np.zeros((LANES, HIDDEN), np.float32)
             for grid, _ in _grids(ids, sizes, LANES):
@@ -346,14 +347,19 @@ def _score(model_of, out_names: list[str]):
 
         for part, texts in spans.slices(batches, "text", 1 << 22):
             h, tail, sizes = tokens(texts)
-            pool.append((part.column(ROW), part.column("doc_id"), h, tail, sizes))
-            held += len(h)
-            if held >= FLUSH_TOKENS:
-                yield flush()
-                pool.clear()
-                held = 0
-        if pool:
-            yield flush()
+            for far, pool in pools.items():
+                chosen = (sizes > LONG) == far
+                if chosen.any():
+                    own, where = np.repeat(chosen, sizes), pa.array(np.flatnonzero(chosen))
+                    pool.append((part.column(ROW).take(where), part.column("doc_id").take(where), h[own], tail[own].astype(np.int8), sizes[chosen]))
+                    held[far] += int(own.sum())
+                if held[far] >= FLUSH_TOKENS:
+                    yield flush(pool)
+                    pool.clear()
+                    held[far] = 0
+        for pool in pools.values():
+            if pool:
+                yield flush(pool)
 
     return run
 
