@@ -49,7 +49,7 @@ def main() -> None:
             per_table.setdefault(name, []).append(sec)
 
     extra = {}
-    for name in ("overview_windows", "density_stats", "movement_pages", "cpr_positions"):
+    for name in ("overview_windows", "density_stats", "movement_pages", "cpr_positions", "frame_decode", "state_envelopes"):
         times = []
         for _ in range(repeats):
             t0 = time.perf_counter()

@@ -127,7 +127,7 @@ def q_raw_envelope_status(spark, sf_dir):
 def q_attribute_states(spark, sf_dir):
     """PIPE-4: the attributes carried to each decoded position, with their age."""
     from skylens.operators.reconstruct import reconstruct, states
-    tx, _ = _transmissions(spark, sf_dir)
+    tx = _written_transmissions(spark, sf_dir)
     positions, _ = reconstruct(tx)
     reps = tx.select("transmission_id", "reception_id")
     return (states(positions).join(reps, "transmission_id")
@@ -177,7 +177,8 @@ def q_first_delivery(spark, sf_dir):
 def _classified(spark, sf_dir):
     from skylens.operators.receptions import receptions
     from skylens.sources.events import raw_receptions
-    return receptions(raw_receptions(table(spark, sf_dir, "events")))[1]
+    from skylens.session import written
+    return receptions(written(raw_receptions(table(spark, sf_dir, "events")), "raw"))[1]
 
 
 def q_frame_decode(spark, sf_dir):
@@ -191,6 +192,12 @@ def _transmissions(spark, sf_dir):
     return transmissions(_classified(spark, sf_dir).where(F.col("status") == "valid"))
 
 
+def _written_transmissions(spark, sf_dir):
+    """Transmissions as a stored table, as pairing reads them in a batch run."""
+    from skylens.session import written
+    return written(_transmissions(spark, sf_dir)[0], "transmissions")
+
+
 def q_transmission_lineage(spark, sf_dir):
     tx, lineage = _transmissions(spark, sf_dir)
     reps = tx.select("reception_id", F.lit(True).alias("representative"))
@@ -202,7 +209,7 @@ def q_transmission_lineage(spark, sf_dir):
 
 def q_cpr_positions(spark, sf_dir):
     from skylens.operators.reconstruct import reconstruct
-    tx, _ = _transmissions(spark, sf_dir)
+    tx = _written_transmissions(spark, sf_dir)
     _, quality = reconstruct(tx)
     reps = tx.select("transmission_id", "reception_id")
     partner = reps.select(F.col("transmission_id").alias("partner_id"), F.col("reception_id").alias("partner_reception"))
