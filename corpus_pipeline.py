@@ -18,7 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skylens.llm.common import ROW, shared_folder, table, written
+from skylens.llm.common import ROW, steady, table, written
 from skylens.llm.exact_dedup import exact_dedup
 from skylens.llm.minhash import near_dedup
 from skylens.llm.packing import pack_documents
