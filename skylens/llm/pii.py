@@ -173,7 +173,8 @@ def pseudonymise(df: DataFrame, key: str = "skylens", id_col: str = "doc_id", te
     maps = written(maps, "maps")
     found = F.regexp_extract_all("text", F.lit(_MENTION), F.lit(0))
     gaps = F.split("text", _MENTION, -1)
-    joined = (docs.join(maps, ROW, "left")
+    # replacements grow with the corpus, so they meet their texts by a shuffle at every size
+    joined = (docs.join(maps.hint("merge"), ROW, "left")
               .select(ROW, "doc_id", "text", "becomes", F.when(F.col("becomes").isNotNull(), found).otherwise(F.array().cast("array<string>")).alias("found"),
                       F.when(F.col("becomes").isNotNull(), gaps).alias("gaps")))
     pieces = F.zip_with("gaps", F.transform("found", lambda m: F.col("becomes")[m]), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
