@@ -34,7 +34,7 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app="skylens-bench", shuffle_partitions=cpus,
                           extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": scratch})
     started = time.perf_counter()
-    build_lake(spark, state_rows(table(spark, sf_dir, "events")), scratch + "/lake")
+    build_lake(spark, state_rows(table(spark, sf_dir, "events").repartition(cpus)), scratch + "/lake")
     ingest_s = time.perf_counter() - started
     bounds = spark.read.parquet(scratch + "/lake/silver").agg({"snapshot_time": "min"}).first()[0], \
         spark.read.parquet(scratch + "/lake/silver").agg({"snapshot_time": "max"}).first()[0]

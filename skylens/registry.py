@@ -148,13 +148,13 @@ def q_movement_pages(spark, sf_dir):
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze (PRJ-2) of the Kafka-shaped state deliveries derived from ``events``.
 
-    The generated deliveries are a written table, so validation reads stored messages, as it does
-    from Kafka or a Bronze table.
+    The generated deliveries are a written table, dealt out by Kafka position, so validation reads
+    stored messages from many files, as it does from Kafka or a Bronze table.
     """
     from skylens.operators.envelope import archive_frame
     from skylens.session import written
     from skylens.sources.events import state_deliveries
-    return archive_frame(written(state_deliveries(table(spark, sf_dir, "events")), "deliveries"))
+    return archive_frame(written(state_deliveries(table(spark, sf_dir, "events")).repartition("partition", "offset"), "deliveries"))
 
 
 def q_state_envelopes(spark, sf_dir):
@@ -178,7 +178,7 @@ def _classified(spark, sf_dir):
     from skylens.operators.receptions import receptions
     from skylens.sources.events import raw_receptions
     from skylens.session import written
-    return receptions(written(raw_receptions(table(spark, sf_dir, "events")), "raw"))[1]
+    return receptions(written(raw_receptions(table(spark, sf_dir, "events")).repartition("partition", "offset"), "raw"))[1]
 
 
 def q_frame_decode(spark, sf_dir):
