@@ -33,7 +33,7 @@ from skylens.llm import spans
 from skylens.llm.common import ROW, connected_components, first_row, keyed, written
 
 BANDS, ROWS, BINS = 32, 5, 256
-STRAYS = 64
+STRAYS, SLOT_BITS = 64, 20
 # bits in which sketches may differ: of the smaller set's n shingles, {n} is put in
 FAR = "if({n} < 16, 256, 26 + 5.5 * sqrt(128 * 128 * 0.16 / (256 * (1 - exp(-{n} / 256.0))) + 21))"
 KEYS = ["k1", "k2", "k3", "k4"]  # the sketch
@@ -153,12 +153,43 @@ def _alike(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(f"100 * both >= {percent} * either").select("a", "b")
 
 
-def _prefixes(k: int):
+def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [ROW, "component", "n", *KEYS]
         for part, texts in spans.slices(batches, "text"):
-            sets = shingle_sets(texts, k)
-            yield pa.RecordBatch.from_arrays([part.column(ROW), part.column("component"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                                             names=[ROW, "component", "shingles"])
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array([x.view(np.int64) for x in shingle_sets(texts, k)], pa.list_(pa.int64()))],
+                                             names=[*kept, "shingles"])
+
+    return run
+
+
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles.view(np.uint64) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    for batch in batches:
+        counts += np.bincount(_slots(np.asarray(batch.column("shingles").flatten())), minlength=len(counts))
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["slot", "n"])
+
+
+def _rarest(counts, percent: int):
+    """Of every set, the shingles that come first by (count of their slot, hash): without one of
+    these in common, two sets can't reach the similarity."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [ROW, "component", "n", *KEYS]
+        for batch in batches:
+            chosen, where = [], []
+            for i, x in enumerate(batch.column("shingles")):
+                x = np.asarray(x.values)
+                first = np.lexsort((x, counts.value[_slots(x)]))[:len(x) + -percent * len(x) // 100 + 1]
+                chosen.append(x[first])
+                where.append(np.full(len(first), i))
+            rows = pa.array(np.concatenate(where) if where else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(rows) for c in kept], pa.array(np.concatenate(chosen) if chosen else np.zeros(0, np.int64))],
+                                             names=[*kept, "s"])
 
     return run
 
@@ -173,18 +204,16 @@ def _remaining(stars: DataFrame, tried: DataFrame, labels: DataFrame, docs: Data
     """Links between members of buckets that are in several components, or None where there are none."""
     label = lambda df, row, name: df.join(labels.select(F.col("node").alias(row), F.col("component").alias(name)), row, "left").withColumn(name, F.coalesce(name, row))
     members = written(label(stars.select("bucket", F.col("b").alias(ROW), "n", *KEYS), ROW, "c"), "members")
-    mixed = members.groupBy("bucket").agg((F.min("c") != F.max("c")).alias("mixed")).where("mixed").select("bucket")
-    members = written(members.join(mixed, "bucket"), "members")
-    if members.isEmpty():
-        return None
     sizes = members.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("size"))
     largest = written(sizes.groupBy("bucket").agg(F.max_by("c", F.struct("size", "c")).alias("most"), (F.sum("size") - F.max("size")).alias("strays")), "largest")
+    if largest.where("strays > 0").isEmpty():
+        return None
     placed = written(members.join(largest, "bucket"), "placed")
     strays = written(placed.where(f"c <> most and strays <= {STRAYS}").select("bucket", *[F.col(x).alias("l_" + x) for x in (ROW, "c", "n", *KEYS)]), "strays")
-    near = (strays.join(members, "bucket").where(f"l_c <> c and {_plausible(percent)}")
+    near = (strays.join(placed.select("bucket", ROW, "c", "n", *KEYS), "bucket").where(f"l_c <> c and {_plausible(percent)}")
             .select(F.least(f"l_{ROW}", ROW).alias("a"), F.greatest(f"l_{ROW}", ROW).alias("b")))
     near = written(near.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "near")
-    crowded = written(placed.where(f"strays > {STRAYS}").select(ROW, F.col("c").alias("component")).distinct(), "crowded")
+    crowded = written(placed.where(f"strays > {STRAYS}").select(ROW, F.col("c").alias("component"), "n", *KEYS).distinct(), "crowded")
     if not crowded.isEmpty():
         rare = _sharing_rare_shingles(crowded, docs, k, percent)
         near = written(near.unionByName(rare).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "near")
@@ -194,22 +223,20 @@ def _remaining(stars: DataFrame, tried: DataFrame, labels: DataFrame, docs: Data
 
 
 def _sharing_rare_shingles(members: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b): pairs of ``members`` (_row, component) of different components that share one of the
-    first shingles of both, rarest first; as many as no pair at the similarity can do without."""
-    sets = written(docs.select(ROW, "text").join(members, ROW)
-                   .mapInArrow(_prefixes(k), f"{ROW} long, component long, shingles array<long>"), "sets")
-    each = sets.select(ROW, "component", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    # a shingle that only one component holds joins nothing new
-    counts = written(each.groupBy("s").agg(F.count(F.lit(1)).alias("df"), (F.min("component") != F.max("component")).alias("mixed")), "counts")
-    prefix = (each.join(counts, "s").groupBy(ROW, "component", "n")
-              .agg(F.array_sort(F.collect_list(F.struct("df", "s", "mixed"))).alias("all"))
-              .select(ROW, "component", "n", F.explode(F.expr(f"slice(all, 1, int(n - ceil({percent} * n / 100.0) + 1))")).alias("x"))
-              .where("x.mixed").select(ROW, "component", "n", F.col("x.s").alias("s")))
-    prefix = written(prefix, "prefix")
-    left, right = (prefix.select("s", F.col(ROW).alias(r), F.col("component").alias(c), F.col("n").alias(n))
-                   for r, c, n in (("a", "ca", "na"), ("b", "cb", "nb")))
-    return (left.join(right, "s").where(f"a < b and ca <> cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
-            .select("a", "b").distinct())
+    """(a, b): plausible pairs of ``members`` (_row, component, n, sketch) of different components that
+    share one of the first shingles of both, rarest first; as many as no pair at the similarity can do
+    without. How rare is read off a table of ``2 ** SLOT_BITS`` counts (its size is fixed); any order
+    will do for a right result, as long as it is the same for all sets."""
+    numbers = ", ".join(f"{x} long" for x in KEYS)
+    sets = written(docs.select(ROW, "text").join(members, ROW).mapInArrow(_sets(k), f"{ROW} long, component long, n long, {numbers}, shingles array<long>"), "sets")
+    found = sets.select("shingles").mapInArrow(_slot_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    counts[np.asarray(found["slot"])] = np.asarray(found["n"])
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+    prefix = written(sets.mapInArrow(_rarest(shared, percent), f"{ROW} long, component long, n long, {numbers}, s long"), "prefix")
+    left = prefix.select("s", *[F.col(x).alias(f"l_{x}") for x in (ROW, "component", "n", *KEYS)])
+    return (left.join(prefix, "s").where(f"l_{ROW} < {ROW} and l_component <> component and {_plausible(percent)}")
+            .select(F.col(f"l_{ROW}").alias("a"), F.col(ROW).alias("b")).distinct())
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
