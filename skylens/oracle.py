@@ -7,8 +7,21 @@ depend on transcendental functions or summation order are rounded on both sides.
 
 from __future__ import annotations
 
-from skylens.functions.constants import (DEFAULT_BOX, FUTURE_CHECKED, NUMERIC_RANGES, QUALITY_LABELS,
-                                         QUALITY_STATUSES, REQUIRED_MEASUREMENTS, STALE_SECONDS)
+# Stated here once more, so that a wrong constant in the engine shows up as a difference.
+# name -> (lower bound, upper bound, upper bound exclusive)
+NUMERIC_RANGES = {
+    "latitude": (-90.0, 90.0, False), "longitude": (-180.0, 180.0, False), "baro_altitude": (None, None, False),
+    "geo_altitude": (None, None, False), "velocity": (0.0, None, False), "true_track": (0.0, 360.0, True),
+    "vertical_rate": (None, None, False), "time_position": (0.0, None, False), "last_contact": (0.0, None, False),
+}
+REQUIRED_MEASUREMENTS = ("latitude", "longitude", "velocity", "baro_altitude", "time_position", "last_contact")
+FUTURE_CHECKED = ("time_position", "last_contact")
+STALE_SECONDS = 15
+QUALITY_LABELS = (("invalid_identity", "Invalid aircraft identity", 3), ("missing_position", "Missing or invalid coordinates", 2),
+                  ("stale_position", "Position older than 15 seconds", 1), ("usable_position", "Position available and recent", 0))
+QUALITY_STATUSES = ("invalid_identity", "missing_position", "stale_position", "usable_position")
+DEFAULT_BOX = (8.0, 24.0, 102.0, 110.0)
+BOX_SCOPE = "66d77bb9d6003db4"
 
 
 def _valid_sql(name: str, raw: str) -> str:
@@ -249,14 +262,13 @@ def oracle_sql() -> dict[str, str]:
     envelopes = _with(*DELIVERY_CTES)
     even_lat, even_lon = EVEN_DECIDED
     odd_lat, odd_lon = ODD_DECIDED
-    from skylens.operators.envelope import scope_id as box_scope
     stream_gold = _with(*DELIVERY_CTES, f"""accepted AS (
   SELECT s.* FROM checked c JOIN silver s ON s.e = c.e WHERE c.error IS NULL AND c."offset" % 2 = 0
     AND s.has_position AND NOT list_contains(s.quality_flags, 'invalid_icao24')
     AND s.latitude BETWEEN {LAMIN} AND {LAMAX} AND s.longitude BETWEEN {LOMIN} AND {LOMAX})""")
     return {
         "stream_windows": stream_gold + f"""SELECT * FROM (
-  SELECT '{box_scope()}' AS scope_id, (event_time // 300) * 300 AS window_start,
+  SELECT '{BOX_SCOPE}' AS scope_id, (event_time // 300) * 300 AS window_start,
     (event_time // 300) * 300 + 300 AS window_end, CAST(floor(latitude) AS BIGINT) AS cell_lat_min,
     CAST(floor(longitude) AS BIGINT) AS cell_lon_min, CAST(count(DISTINCT icao24) AS INTEGER) AS distinct_aircraft
   FROM accepted GROUP BY 1, 2, 3, 4, 5)
