@@ -9,9 +9,11 @@ differ in more bits than a pair at J = 0.8 does (26 on average, and 5.5 standard
 depend on how many bins the smaller set fills; sets under 16 aren't judged by it), or whose sizes
 can't reach the similarity, go no further. The others are confirmed on full sets.
 
-A star compares no two members with each other. Where the members of a bucket are in several
-components after that, those outside the largest of them (its strays) are compared with all
-members, by sketch first; a bucket with more than ``STRAYS`` of them is finished by an exact step
+A star compares no two members with each other, and its first centre is any of them. So there is a
+second star: in buckets whose members are in several components, its centre is the member that
+collides most in all buckets (of edited copies, that is the text they were made from). Where members
+are still in several components, those outside the largest of them (the strays) are compared with
+all members, by sketch first; a bucket with more than ``STRAYS`` of them is finished by an exact step
 instead, a prefix filter: pairs of its members that share one of their rarest shingles, which loses
 no pair at the similarity asked for.
 
@@ -140,11 +142,12 @@ def _compare(k: int):
 def _compared(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """``pairs`` (a, b) with the sizes of the intersection and union of their full sets."""
     sizes = written(pairs.groupBy("a").agg(F.expr(f"(count(*) + {MEMBERS - 1}) div {MEMBERS}").alias("shares")), "shares")
-    spread = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), "shares").alias("share"), "b", F.col("b").alias(ROW))
+    # joins of tables that grow with the corpus are shuffles at every size
+    spread = pairs.join(sizes.hint("merge"), "a").select("a", F.pmod(F.xxhash64("b"), "shares").alias("share"), "b", F.col("b").alias(ROW))
     centres = sizes.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"),
                            F.lit(None).cast("long").alias("b"), F.col("a").alias(ROW))
     wanted = written(spread.unionByName(centres), "wanted")
-    texts = docs.select(ROW, "text").join(wanted, ROW).select("a", "share", "b", "text")
+    texts = docs.select(ROW, "text").join(wanted.hint("merge"), ROW).select("a", "share", "b", "text")
     return (texts.repartition("a", "share").sortWithinPartitions("a", "share", F.col("b").asc_nulls_first())
             .mapInArrow(_compare(k), "a long, b long, both long, either long"))
 
@@ -200,15 +203,32 @@ def _plausible(percent: int, left: str = "l_", right: str = "") -> str:
     return f"100 * least({left}n, {right}n) >= {percent} * greatest({left}n, {right}n) and {bits} <= {FAR.format(n=f'least({left}n, {right}n)')}"
 
 
-def _remaining(stars: DataFrame, tried: DataFrame, labels: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``members`` with their component, ``c``."""
+    named = labels.select(F.col("node").alias(ROW), F.col("component").alias("c"))
+    return members.join(named.hint("merge"), ROW, "left").withColumn("c", F.coalesce("c", ROW))
+
+
+def _second_star(members: DataFrame, labels: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """(a, b): plausible pairs of each bucket's most colliding member with members of other components."""
+    popular = written(members.groupBy(ROW).agg(F.sum("size").alias("met")), "popular")
+    placed = written(_labelled(members, labels).join(popular.hint("merge"), ROW), "placed")
+    kept = [ROW, "c", "n", *KEYS]
+    best = written(placed.groupBy("bucket").agg(F.max_by(F.struct(*kept), F.struct("met", ROW)).alias("x"))
+                   .select("bucket", *[F.col(f"x.{c}").alias(f"l_{c}") for c in kept]), "best")
+    pairs = (placed.join(best.hint("merge"), "bucket").where(f"l_c <> c and {_plausible(percent)}")
+             .select(F.least(f"l_{ROW}", ROW).alias("a"), F.greatest(f"l_{ROW}", ROW).alias("b")))
+    return written(pairs.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "second")
+
+
+def _remaining(members: DataFrame, tried: DataFrame, labels: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
     """Links between members of buckets that are in several components, or None where there are none."""
-    label = lambda df, row, name: df.join(labels.select(F.col("node").alias(row), F.col("component").alias(name)), row, "left").withColumn(name, F.coalesce(name, row))
-    members = written(label(stars.select("bucket", F.col("b").alias(ROW), "n", *KEYS), ROW, "c"), "members")
+    members = written(_labelled(members, labels).select("bucket", ROW, "c", "n", *KEYS), "members")
     sizes = members.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("size"))
     largest = written(sizes.groupBy("bucket").agg(F.max_by("c", F.struct("size", "c")).alias("most"), (F.sum("size") - F.max("size")).alias("strays")), "largest")
     if largest.where("strays > 0").isEmpty():
         return None
-    placed = written(members.join(largest, "bucket"), "placed")
+    placed = written(members.join(largest.hint("merge"), "bucket"), "placed")
     strays = written(placed.where(f"c <> most and strays <= {STRAYS}").select("bucket", *[F.col(x).alias("l_" + x) for x in (ROW, "c", "n", *KEYS)]), "strays")
     near = (strays.join(placed.select("bucket", ROW, "c", "n", *KEYS), "bucket").where(f"l_c <> c and {_plausible(percent)}")
             .select(F.least(f"l_{ROW}", ROW).alias("a"), F.greatest(f"l_{ROW}", ROW).alias("b")))
@@ -228,7 +248,7 @@ def _sharing_rare_shingles(members: DataFrame, docs: DataFrame, k: int, percent:
     without. How rare is read off a table of ``2 ** SLOT_BITS`` counts (its size is fixed); any order
     will do for a right result, as long as it is the same for all sets."""
     numbers = ", ".join(f"{x} long" for x in KEYS)
-    sets = written(docs.select(ROW, "text").join(members, ROW).mapInArrow(_sets(k), f"{ROW} long, component long, n long, {numbers}, shingles array<long>"), "sets")
+    sets = written(docs.select(ROW, "text").join(members.hint("merge"), ROW).mapInArrow(_sets(k), f"{ROW} long, component long, n long, {numbers}, shingles array<long>"), "sets")
     found = sets.select("shingles").mapInArrow(_slot_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(1 << SLOT_BITS, np.int64)
     counts[np.asarray(found["slot"])] = np.asarray(found["n"])
@@ -254,17 +274,25 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     numbers = ", ".join(f"{x} long" for x in KEYS)
     signed = written(docs.mapInArrow(_sign(k, bands, rows), f"{ROW} long, doc_id long, n long, digest binary, bands array<long>, {numbers}"), "signed")
     classes = written(signed.where("n > 0").groupBy("digest").agg(F.min(first_row()).alias("rep")), "classes")
-    own = signed.where("n > 0").join(classes.select(F.col("rep.row").alias(ROW)), ROW)
+    own = signed.where("n > 0").join(classes.select(F.col("rep.row").alias(ROW)).hint("merge"), ROW)
     buckets = written(own.select(ROW, "n", *KEYS, F.explode("bands").alias("bucket")), "buckets")
-    centres = (buckets.groupBy("bucket").agg(F.min(F.struct(ROW, "n", *KEYS)).alias("c"), F.count(F.lit(1)).alias("size"))
-               .where("size > 1").select("bucket", F.col(f"c.{ROW}").alias("a"), *[F.col(f"c.{x}").alias(f"l_{x}") for x in ("n", *KEYS)]))
-    stars = written(buckets.join(written(centres, "centres"), "bucket").where(f"{ROW} <> a")
-                    .select("bucket", "a", F.col(ROW).alias("b"), "n", *KEYS, F.expr(_plausible(percent)).alias("plausible")), "stars")
+    centres = written(buckets.groupBy("bucket").agg(F.min(F.struct(ROW, "n", *KEYS)).alias("c"), F.count(F.lit(1)).alias("size"))
+                      .where("size > 1").select("bucket", F.col(f"c.{ROW}").alias("a"), *[F.col(f"c.{x}").alias(f"l_{x}") for x in ("n", *KEYS)], "size"), "centres")
+    stars = written(buckets.join(centres.hint("merge"), "bucket").where(f"{ROW} <> a")
+                    .select("bucket", "a", F.col(ROW).alias("b"), "n", *KEYS, "size", F.expr(_plausible(percent)).alias("plausible")), "stars")
     pairs = written(stars.where("plausible").select("a", "b").distinct(), "pairs")
     tried = written(_compared(pairs, docs, k), "tried")
     links = _alike(tried, percent)
     labels = connected_components(links)
-    more = _remaining(stars, tried, labels, docs, k, percent)
+    sketch = ["n", *KEYS, "size"]
+    members = written(stars.select("bucket", F.col("b").alias(ROW), *sketch)
+                      .unionByName(centres.select("bucket", F.col("a").alias(ROW), *[F.col(f"l_{x}").alias(x) for x in ("n", *KEYS)], "size")), "members")
+    second = _second_star(members, labels, tried, percent)
+    if not second.isEmpty():
+        checked = written(_compared(second, docs, k), "tried")
+        tried, links = tried.unionByName(checked), written(links.unionByName(_alike(checked, percent)), "links")
+        labels = connected_components(links)
+    more = _remaining(members, tried, labels, docs, k, percent)
     if more is not None:
         labels = connected_components(links.unionByName(more))
     reps = classes.select("digest", F.col("rep.row").alias("node"), F.col("rep.doc_id").alias("rep_id"))
