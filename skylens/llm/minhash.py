@@ -10,10 +10,10 @@ depend on how many bins the smaller set fills; sets under 16 aren't judged by it
 can't reach the similarity, go no further. The others are confirmed on full sets.
 
 A star compares no two members with each other, and its first centre is any of them. So there is a
-second star: in buckets whose members are in several components, its centre is the member that
-collides most in all buckets (of edited copies, that is the text they were made from). Where members
-are still in several components, those outside the largest of them (the strays) are compared with
-all members, by sketch first; a bucket with more than ``STRAYS`` of them is finished by an exact step
+second star: in buckets whose members are in several components, its centre is drawn by a hash, anew
+in each bucket, so a member meets a different other one in each of its buckets. Where members are
+still in several components, those outside the largest of them (the strays) are compared with all
+members, by sketch first; a bucket with more than ``STRAYS`` of them is finished by an exact step
 instead, a prefix filter: pairs of its members that share one of their rarest shingles, which loses
 no pair at the similarity asked for.
 
@@ -210,13 +210,12 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _second_star(members: DataFrame, labels: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """(a, b): plausible pairs of each bucket's most colliding member with members of other components."""
-    popular = written(members.groupBy(ROW).agg(F.sum("size").alias("met")), "popular")
-    placed = written(_labelled(members, labels).join(popular.hint("merge"), ROW), "placed")
+    """(a, b): plausible pairs of a member drawn from each bucket with members of other components."""
+    placed = written(_labelled(members, labels), "placed")
     kept = [ROW, "c", "n", *KEYS]
-    best = written(placed.groupBy("bucket").agg(F.max_by(F.struct(*kept), F.struct("met", ROW)).alias("x"))
-                   .select("bucket", *[F.col(f"x.{c}").alias(f"l_{c}") for c in kept]), "best")
-    pairs = (placed.join(best.hint("merge"), "bucket").where(f"l_c <> c and {_plausible(percent)}")
+    drawn = written(placed.groupBy("bucket").agg(F.max_by(F.struct(*kept), F.struct(F.xxhash64(ROW, "bucket"), ROW)).alias("x"))
+                    .select("bucket", *[F.col(f"x.{c}").alias(f"l_{c}") for c in kept]), "drawn")
+    pairs = (placed.join(drawn.hint("merge"), "bucket").where(f"l_c <> c and {_plausible(percent)}")
              .select(F.least(f"l_{ROW}", ROW).alias("a"), F.greatest(f"l_{ROW}", ROW).alias("b")))
     return written(pairs.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "second")
 
@@ -277,16 +276,16 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     own = signed.where("n > 0").join(classes.select(F.col("rep.row").alias(ROW)).hint("merge"), ROW)
     buckets = written(own.select(ROW, "n", *KEYS, F.explode("bands").alias("bucket")), "buckets")
     centres = written(buckets.groupBy("bucket").agg(F.min(F.struct(ROW, "n", *KEYS)).alias("c"), F.count(F.lit(1)).alias("size"))
-                      .where("size > 1").select("bucket", F.col(f"c.{ROW}").alias("a"), *[F.col(f"c.{x}").alias(f"l_{x}") for x in ("n", *KEYS)], "size"), "centres")
+                      .where("size > 1").select("bucket", F.col(f"c.{ROW}").alias("a"), *[F.col(f"c.{x}").alias(f"l_{x}") for x in ("n", *KEYS)]), "centres")
     stars = written(buckets.join(centres.hint("merge"), "bucket").where(f"{ROW} <> a")
-                    .select("bucket", "a", F.col(ROW).alias("b"), "n", *KEYS, "size", F.expr(_plausible(percent)).alias("plausible")), "stars")
+                    .select("bucket", "a", F.col(ROW).alias("b"), "n", *KEYS, F.expr(_plausible(percent)).alias("plausible")), "stars")
     pairs = written(stars.where("plausible").select("a", "b").distinct(), "pairs")
     tried = written(_compared(pairs, docs, k), "tried")
     links = _alike(tried, percent)
     labels = connected_components(links)
-    sketch = ["n", *KEYS, "size"]
+    sketch = ["n", *KEYS]
     members = written(stars.select("bucket", F.col("b").alias(ROW), *sketch)
-                      .unionByName(centres.select("bucket", F.col("a").alias(ROW), *[F.col(f"l_{x}").alias(x) for x in ("n", *KEYS)], "size")), "members")
+                      .unionByName(centres.select("bucket", F.col("a").alias(ROW), *[F.col(f"l_{x}").alias(x) for x in sketch])), "members")
     second = _second_star(members, labels, tried, percent)
     if not second.isEmpty():
         checked = written(_compared(second, docs, k), "tried")
