@@ -28,9 +28,9 @@ from skylens.llm import spans
 from skylens.llm.common import ROW, keyed, written
 from skylens.llm.toxicity import fold
 
-HEAD = 200_000
+HEAD = 100_000
 HIDDEN, HEAD_CLASSES, CLASS_WORDS, TAIL_CLASSES = 24, 16, 64, 32
-SHARE, LEAST_DOCS, DOCS_EACH, MOST_TRAINERS, ROUNDS = 1 / 16, 4000, 500, 32, 2
+SHARE, LEAST_DOCS, DOCS_EACH, MOST_TRAINERS, ROUNDS = 1 / 16, 4000, 500, 16, 2
 LANES, TRAIN_LANES, WINDOW = 512, 48, 24
 FLUSH_TOKENS, LONG = 1_000_000, 4096  # tokens scored side by side; longer documents are gathered apart
 END = np.uint64(0)  # the end token's hash
@@ -285,6 +285,7 @@ def train(docs: DataFrame, head: int = HEAD, rounds: int = ROUNDS, share: float
     h, c, tail = (np.asarray(top[name].combine_chunks(), np.int64) if top.num_rows else np.zeros(0, np.int64) for name in ("h", "c", "class"))
     order = np.lexsort((h, -c, h != 0))  # the end token first, then by frequency
     h, c, tail = h[order].view(np.uint64), c[order], tail[order]
+    del top
     short = np.bincount(tail[:SHORT], c[:SHORT] + 0.5, TAIL_CLASSES) if len(h) else np.zeros(TAIL_CLASSES)
     mass = np.full(TAIL_CLASSES, 0.5)
     for r in counts.groupBy("class").agg(F.sum(F.col("c") + 0.5).alias("m")).collect():
@@ -302,6 +303,7 @@ def train(docs: DataFrame, head: int = HEAD, rounds: int = ROUNDS, share: float
         total = sum(t for t, _ in learned)
         if total:
             network.w = {k: sum(np.float32(t / total) * w[k] for t, w in learned) for k in network.w}
+        del learned
     return Model(vocabulary, network, counts)
 
 
