@@ -1,13 +1,15 @@
-"""Embedding near-dedup by sorted projection passes.
-
-In each pass vectors are ordered by the bits of random hyperplane hashes joined to one key, and
-each is compared with the next ``WINDOW`` in that order; pairs of all passes whose cosine is at
-least the threshold are united. Passes are so many that a pair just at the threshold is missed by
-all with probability ``MISS`` at most; as that depends on how many vectors share a prefix of the
-key, their number follows the number of vectors (about its logarithm's exponent of 0.15).
-
-Scale: equal vectors are one row. Keys are sorted without vectors; runs of ``BLOCK`` neighbours (and
-the window after them) are the unit of comparison, so no task depends on how vectors cluster.
+"""Embedding near-dedup by random hyperplane cells, each compared whole.
+
+In each pass vectors with the same ``bits_for`` hyperplane signs form a cell, and all pairs of a cell
+are compared, however many it holds; pairs of all passes whose cosine is at least the threshold are
+united. A pair at the threshold shares a cell of one pass with a probability that depends on the
+number of bits alone, not on where other vectors lie; passes are so many that all miss it with
+probability ``MISS`` at most.
+
+Scale: equal vectors are one row. Bits follow the number of vectors, so that a cell of evenly spread
+vectors holds about ``WINDOW``; a crowded cell is cut into blocks of about ``BLOCK`` rows and its pairs
+of blocks are spread over tasks. A pair counts in the first pass that it shares a cell in, and tasks give
+degrees and a spanning forest instead of pairs, so a dense family makes no table of all its links.
 """
 
 from __future__ import annotations
@@ -18,12 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from skylens.llm.common import ROW, connected_components, first_row, steady, written
 
-WINDOW, BLOCK, BITS, MISS = 64, 2048, 63, 1e-3
+WINDOW, BLOCK, MOST_BITS, MISS = 64, 2048, 31, 1e-3
 
 
 def passes_for(rows: int, threshold: float, window: int = WINDOW, miss: float = MISS) -> int:
@@ -33,6 +34,11 @@ def passes_for(rows: int, threshold: float, window: int = WINDOW, miss: float =
     return 1 if found >= 1 - miss else math.ceil(math.log(miss) / math.log1p(-found))
 
 
+def bits_for(rows: int, window: int = WINDOW) -> int:
+    """Signs that name a cell: evenly spread vectors leave from ``window`` to twice as many in one."""
+    return min(MOST_BITS, max(0, int(math.log2(max(rows, 1) / window)))) if rows > window else 0
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Names the valid vectors by their bytes (0.0 and -0.0 alike); others get no name."""
     for batch in batches:
@@ -57,63 +63,113 @@ def _matrix(column: pa.ListArray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def _keys(passes: int):
+def _keys(passes: int, bits: int):
+    """Each row's dimension and cells of all passes (int32, one after the other)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
+        weights = 1 << np.arange(bits, dtype=np.int64)
         planes: dict[int, np.ndarray] = {}
         for batch in batches:
             for d, (at, x) in _matrix(batch.column("v")).items():
                 if d not in planes:
-                    planes[d] = np.random.default_rng([d, 5]).standard_normal((passes, d, BITS))
-                rows = batch.column(ROW).take(pa.array(at))
-                for p in range(passes):
-                    key = ((x @ planes[d][p]) > 0) @ weights
-                    yield pa.RecordBatch.from_arrays([rows, pa.array(np.full(len(at), d, np.int32)), pa.array(np.full(len(at), p, np.int32)), pa.array(key)],
-                                                     names=[ROW, "d", "pass", "key"])
+                    planes[d] = np.random.default_rng([d, 5]).standard_normal((passes, d, bits))
+                keys = np.stack([((x @ planes[d][p]) > 0) @ weights for p in range(passes)], axis=1).astype(">i4")
+                rows = batch.take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([rows.column(ROW), rows.column("size"), rows.column("v"), pa.array(np.full(len(at), d, np.int32)),
+                                                  pa.array([k.tobytes() for k in keys], pa.binary())], names=[ROW, "size", "v", "d", "keys"])
 
     return run
 
 
-def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers the rows of a task in order."""
-    task, at = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        n = batch.num_rows
-        yield pa.RecordBatch.from_arrays([batch.column(ROW), pa.array(np.full(n, task, np.int64)), pa.array(np.arange(at, at + n, dtype=np.int64))], names=[ROW, "task", "place"])
-        at += n
-
-
-def _neighbours(threshold: float, window: int, block: int):
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("rank").combine_chunks()
-        own, found = np.asarray(table["rank"]) // block == np.asarray(table["block"]), []
-        rows, vectors = np.asarray(table[ROW]), table["v"].combine_chunks()
-        vectors = vectors.chunk(0) if isinstance(vectors, pa.ChunkedArray) else vectors
-        for at, x in _matrix(vectors).values():
-            for step in range(1, min(window, len(at) - 1) + 1):
-                near = np.flatnonzero((np.einsum("ij,ij->i", x[:-step], x[step:]) >= threshold) & own[at[:-step]] & (at[step:] - at[:-step] <= window))
-                a, b = rows[at[near]], rows[at[near + step]]
-                found.append(np.stack([np.minimum(a, b), np.maximum(a, b)])[:, a != b])
-        both = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-        return pa.table({"a": pa.array(both[0], pa.int64()), "b": pa.array(both[1], pa.int64())})
+def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Smallest node that each of ``n`` nodes is joined with by the edges (a, b)."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        if (label[a] == low).all() and (label[b] == low).all():
+            return label
+        for ends in (label[a], label[b]):
+            np.minimum.at(label, ends, low)
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def _links(x: np.ndarray, keys: np.ndarray, own: int, first: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs at ``threshold`` or more that share no cell before pass ``own``: within one
+    block, or between the rows marked ``first`` and the others."""
+    left = np.flatnonzero(first)
+    right = left if len(left) == len(x) else np.flatnonzero(~first)
+    found = []
+    for low in range(0, len(left), 512):
+        part = left[low:low + 512]
+        i, j = np.nonzero(x[part] @ x[right].T >= threshold)
+        i, j = part[i], right[j]
+        if right is left:
+            i, j = i[i < j], j[i < j]
+        for p in range(own):
+            new = keys[i, p] != keys[j, p]
+            i, j = i[new], j[new]
+        found.append((i, j))
+    return tuple(np.concatenate(side) if found else np.zeros(0, np.int64) for side in zip(*found))
+
+
+def _compared(threshold: float, passes: int):
+    """(a, b, others) of rows sorted by cell and pair of blocks: joined rows, or a row and what it links with."""
+
+    def links(run: pa.Table) -> pa.RecordBatch:
+        rows, sizes = np.asarray(run[ROW]), np.asarray(run["size"])
+        (_, x), = _matrix(run["v"].combine_chunks()).values()
+        keys = np.frombuffer(b"".join(run["keys"].to_pylist()), ">i4").reshape(len(rows), passes)
+        i, j = _links(x, keys, run["pass"][0].as_py(), np.asarray(run["block"]) == run["i"][0].as_py(), threshold)
+        others = np.bincount(i, sizes[j], len(rows)) + np.bincount(j, sizes[i], len(rows))
+        label, linked = _forest(i, j, len(rows)), np.flatnonzero(others)
+        child = np.flatnonzero(label != np.arange(len(rows)))
+        a = np.concatenate([rows[child], rows[linked]])
+        b = pa.concat_arrays([pa.array(rows[label[child]], pa.int64()), pa.nulls(len(linked), pa.int64())])
+        n = np.concatenate([np.zeros(len(child), np.int64), np.rint(others[linked]).astype(np.int64)])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), b, pa.array(n, pa.int64())], names=["a", "b", "others"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # rows of the last cell seen, which may go on
+
+        def cell(batch: pa.RecordBatch, at: int) -> tuple:
+            return tuple(batch.column(name)[at].as_py() for name in ("pass", "d", "key", "i", "j"))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = np.stack([np.asarray(batch.column(name)).astype(np.int64) for name in ("pass", "d", "key", "i", "j")])
+            cuts = [0, *(np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for low, high in zip(cuts, cuts[1:]):
+                if held and cell(held[0], 0) != cell(batch, low):
+                    if sum(h.num_rows for h in held) > 1:
+                        yield links(pa.Table.from_batches(held))
+                    held.clear()
+                held.append(batch.slice(low, high - low))
+        if sum(h.num_rows for h in held) > 1:
+            yield links(pa.Table.from_batches(held))
 
     return run
 
 
-def linked_pairs(vectors: DataFrame, threshold: float, window: int = WINDOW, block: int = BLOCK, miss: float = MISS) -> DataFrame:
-    """(a, b) with a < b: row keys of ``vectors`` (_row, v: valid, no two equal) found at ``threshold`` or more."""
-    passes = passes_for(vectors.count(), threshold, window, miss)
-    order = vectors.mapInArrow(_keys(passes), f"{ROW} long, d int, pass int, key long").repartitionByRange("d", "pass", "key", ROW)
-    placed = written(order.sortWithinPartitions("d", "pass", "key", ROW).mapInArrow(_place, f"{ROW} long, task long, place long"), "placed")
-    # one row a task: how many rows lie before it
-    before = placed.groupBy("task").agg(F.count(F.lit(1)).alias("n"))
-    before = written(before.select("task", F.expr("sum(n) OVER (ORDER BY task) - n").alias("before")), "before")
-    ranked = placed.join(F.broadcast(before), "task").select(ROW, (F.col("before") + F.col("place")).alias("rank"))
-    block_of = F.expr(f"rank div {block}")
-    blocks = written(ranked.select(ROW, "rank", F.explode(F.when((F.col("rank") % block < window) & (F.col("rank") >= block), F.array(block_of, block_of - 1))
-                                                          .otherwise(F.array(block_of))).alias("block")), "blocks")
-    return (blocks.join(vectors, ROW).select(ROW, "rank", "block", "v").groupBy("block")
-            .applyInArrow(_neighbours(threshold, window, block), "a long, b long").distinct())
+def linked(vectors: DataFrame, threshold: float, window: int = WINDOW, block: int = BLOCK, miss: float = MISS) -> DataFrame:
+    """For ``vectors`` (_row, size, v: valid, no two equal): rows (a, b) whose components are those of all
+    links found, and rows (a, null, others) whose sums are the sizes of all rows that a links with."""
+    rows = vectors.count()
+    passes, bits = passes_for(rows, threshold, window, miss), bits_for(rows, window)
+    named = written(vectors.mapInArrow(_keys(passes, bits), f"{ROW} long, size long, v array<double>, d int, keys binary"), "cells")
+    key = F.expr("conv(hex(substr(keys, 4 * pass + 1, 4)), 16, 10)").cast("int")
+    cells = named.select(ROW, "d", "keys", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))).alias("pass")).select(ROW, "d", "pass", key.alias("key"))
+    cells = written(cells, "placed")
+    counts = cells.groupBy("pass", "d", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counts = written(counts.select("pass", "d", "key", F.expr(f"cast(ceil(n / {block}) as int)").alias("blocks")), "crowds")
+    # a row of block b goes to the pairs of blocks (b, o) and (o, b); alone in its cell it goes nowhere
+    placed = cells.join(counts, ["pass", "d", "key"]).withColumn("block", F.expr(f"cast(pmod(xxhash64({ROW}), blocks) as int)"))
+    placed = placed.select(ROW, "pass", "key", "block", F.explode(F.expr("sequence(0, blocks - 1)")).alias("o"))
+    placed = written(placed.select(ROW, "pass", "key", "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j")), "blocks")
+    order = ["pass", "d", "key", "i", "j"]
+    dealt = placed.join(named, ROW).repartition(*order).sortWithinPartitions(*order)
+    return dealt.select(*order, "block", ROW, "size", "v", "keys").mapInArrow(_compared(threshold, passes), "a long, b long, others long")
 
 
 def embedding_dedup(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95,
@@ -131,12 +187,10 @@ def embedding_dedup(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     named = written(rows.mapInArrow(_digests, f"{ROW} long, vec_id long, digest binary"), "named")
     classes = written(named.where("digest is not null").groupBy("digest").agg(F.min(first_row("vec_id")).alias("rep"), F.count(F.lit(1)).alias("size")), "classes")
     reps = classes.select("digest", F.col("rep.row").alias(ROW), F.col("rep.doc_id").alias("rep_id"), "size")
-    vectors = written(rows.select(ROW, "v").join(reps.select(ROW), ROW), "vectors")
-    links = written(linked_pairs(vectors, threshold, window, block, miss), "links")
-    both = written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both")
-    others = written(both.join(reps.select(F.col(ROW).alias("b"), "size"), "b").select("a", "size"), "others")
-    degrees = written(others.groupBy("a").agg(F.sum("size").alias("others")), "degrees")
-    labels = connected_components(links).withColumnRenamed("node", ROW)
+    vectors = written(rows.select(ROW, "v").join(reps.select(ROW, "size"), ROW), "vectors")
+    links = written(linked(vectors, threshold, window, block, miss), "links")
+    degrees = written(links.where("b is null").groupBy("a").agg(F.sum("others").alias("others")), "degrees")
+    labels = connected_components(links.where("b is not null").select("a", "b")).withColumnRenamed("node", ROW)
     grouped = (reps.join(labels, ROW, "left").select("digest", ROW, "rep_id", "size", F.coalesce("component", ROW).alias("component")))
     grouped = written(grouped.join(degrees.withColumnRenamed("a", ROW), ROW, "left")
                       .select("digest", ROW, "rep_id", "component", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "grouped")

@@ -222,3 +222,25 @@ def test_recall_at_the_threshold_itself(spark):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([a, b]))], "vec_id long, embedding array<double>")
     found = embedding_dedup(df).where("n_links > 0").count() / 6000
     assert found >= 0.99 and passes_for(10**9, 0.95) < 120
+
+
+def test_recall_and_links_where_a_third_lies_around_one_centre(spark):
+    rng = np.random.default_rng(4)
+    centre = rng.standard_normal(64)
+    centre /= np.linalg.norm(centre)
+    side = rng.standard_normal((1000, 64))
+    side -= (side @ centre)[:, None] * centre
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    x = np.concatenate([0.96 * centre + 0.28 * side, rng.standard_normal((2000, 64))])
+    family = rng.standard_normal(64) + 0.1 * rng.standard_normal((400, 64))
+    x = np.concatenate([x, family])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embedding_dedup(df, block=256).collect()}
+    degrees = near.sum(axis=1)
+    assert degrees[:1000].sum() > 500 and (degrees[3000:] == 399).all()
+    n_links = np.array([got[i].n_links for i in range(len(x))])
+    assert (n_links <= degrees).all() and n_links.sum() >= 0.998 * degrees.sum() and n_links[:1000].sum() >= 0.995 * degrees[:1000].sum()
+    assert (n_links[3000:] == 399).all() and all(got[i].component_id == 3000 for i in range(3000, 3400))
