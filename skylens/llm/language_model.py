@@ -5,10 +5,10 @@ size and a softmax each; all other words belong to a class by their last two byt
 mass by smoothed corpus counts, one share kept for words never seen. The recurrent state goes from
 window to window, so a document's log-likelihood is that of the whole text.
 
-Counts, N, V and class masses come from all training documents. Weights come from a share of them
-(``SHARE``, at least about ``LEAST_DOCS`` documents): trainers on the executors start from the same
-weights, learn from their own documents, and their weights are averaged by tokens, ``ROUNDS`` times.
-The driver holds the weights of at most ``MOST_TRAINERS`` trainers and a head of ``HEAD`` words.
+Counts, N, V and class masses come from all training documents, and so do weights: trainers on the
+executors start from the same weights, stream over their own documents, and their weights are averaged
+by tokens, ``ROUNDS`` times. Averages are taken on the executors, ``MERGED`` at a time; the driver
+holds one set of weights and a head of ``HEAD`` words.
 
 Scale: every pass streams over its rows. Words beyond the head are joined with their counts by a
 shuffle; none of those is frequent, so no key is hot.
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from skylens.llm import spans
@@ -30,7 +31,7 @@ from skylens.llm.toxicity import fold
 
 HEAD = 100_000
 HIDDEN, HEAD_CLASSES, CLASS_WORDS, TAIL_CLASSES = 24, 16, 64, 32
-SHARE, LEAST_DOCS, DOCS_EACH, MOST_TRAINERS, ROUNDS = 1 / 16, 4000, 500, 16, 2
+DOCS_EACH, FEW_TRAINERS, MOST_DOCS_EACH, MERGED, ROUNDS = 500, 16, 10_000, 16, 2
 LANES, TRAIN_LANES, WINDOW = 512, 48, 24
 FLUSH_TOKENS, LONG = 1_000_000, 4096  # tokens scored side by side; longer documents are gathered apart
 END = np.uint64(0)  # the end token's hash
@@ -259,17 +260,38 @@ def _train(vocabulary: Vocabulary, weights: dict[str, np.ndarray]):
                 x = np.where(grid == 0, 0, ids[grid - 1])
                 state = network.train_window(state[:width], x, ids[grid])
                 seen += grid.size
-        yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([pickle.dumps(network.w)], pa.binary())], names=["tokens", "weights"])
+        part = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([seen], pa.int64()), pa.array([pickle.dumps(network.w)], pa.binary())],
+                                         names=["part", "tokens", "weights"])
 
     return run
 
 
+def _merge(table: pa.Table) -> pa.Table:
+    """One set of weights: the average of some trainers' by the tokens that they have seen."""
+    table = table.sort_by("part")
+    seen, total, w = table["tokens"].to_pylist(), sum(table["tokens"].to_pylist()), {}
+    for n, own in zip(seen, table["weights"]):
+        for k, x in pickle.loads(own.as_py()).items():
+            w[k] = w.get(k, 0) + np.float32(n / total) * x
+    return pa.table({"part": pa.array([table["part"][0].as_py() // MERGED], pa.int64()), "tokens": pa.array([total], pa.int64()), "weights": pa.array([pickle.dumps(w)], pa.binary())})
+
+
+def averaged(learned: DataFrame) -> dict[str, np.ndarray] | None:
+    """Average of trainers' weights (part, tokens, weights), taken in a tree; none if no token was seen."""
+    learned = written(learned.where("tokens > 0"), "learned")
+    while learned.count() > 1:
+        learned = written(learned.groupBy(F.expr(f"part div {MERGED}")).applyInArrow(_merge, "part long, tokens long, weights binary"), "merged")
+    one = learned.first()
+    return pickle.loads(one.weights) if one else None
+
+
 class Model:
     def __init__(self, vocabulary: Vocabulary, network: Network, counts: DataFrame):
         self.vocabulary, self.network, self.counts = vocabulary, network, counts
 
 
-def train(docs: DataFrame, head: int = HEAD, rounds: int = ROUNDS, share: float = SHARE, least_docs: int = LEAST_DOCS) -> Model:
+def train(docs: DataFrame, head: int = HEAD, rounds: int = ROUNDS) -> Model:
     """Learns from all rows of ``docs`` (_row, doc_id, text); no rows leave a model of the unseen alone."""
     counts = written(docs.select("text").mapInArrow(_count, "h long, class long, c long").groupBy("h")
                      .agg(F.min("class").alias("class"), F.sum("c").alias("c")), "counts")
@@ -294,16 +316,11 @@ def train(docs: DataFrame, head: int = HEAD, rounds: int = ROUNDS, share: float
     network = Network()
     network.start_from(vocabulary)
     rows = docs.count() if n else 0
-    share = min(1.0, max(share, least_docs / max(rows, 1)))
-    chosen = docs.where(F.pmod(F.xxhash64(F.coalesce("doc_id", ROW), F.lit("train")), F.lit(1 << 20)) < int(share * (1 << 20)))
-    trainers = max(1, min(MOST_TRAINERS, round(rows * share / DOCS_EACH)))
+    trainers = max(1, min(FEW_TRAINERS, round(rows / DOCS_EACH)), round(rows / MOST_DOCS_EACH))
     for _ in range(rounds if rows else 0):
-        learned = chosen.repartition(trainers, F.xxhash64(ROW)).select("text").mapInArrow(_train(vocabulary, network.w), "tokens long, weights binary").collect()
-        learned = [(r.tokens, pickle.loads(r.weights)) for r in learned if r.tokens]
-        total = sum(t for t, _ in learned)
-        if total:
-            network.w = {k: sum(np.float32(t / total) * w[k] for t, w in learned) for k in network.w}
-        del learned
+        dealt = docs.repartition(trainers, F.xxhash64(ROW)).select("text")
+        learned = dealt.mapInArrow(_train(vocabulary, network.w), "part long, tokens long, weights binary")
+        network.w = averaged(learned) or network.w
     return Model(vocabulary, network, counts)
 
 

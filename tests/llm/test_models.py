@@ -104,6 +104,27 @@ def test_language_model_counts_and_beats_them(spark, monkeypatch):
     assert lm.language_model(empty).count() == 0
 
 
+def test_weights_learn_from_every_document(spark, monkeypatch):
+    docs = lm.keyed(spark.createDataFrame([(i, "one two three " * 40, 1, "x") for i in range(6000)], "doc_id long, text string, h int, c string"))
+    seen = []
+    merge = lm.averaged
+
+    def counted(learned):
+        learned = lm.written(learned, "counted")
+        seen.append(learned.agg(F.sum("tokens")).first()[0])
+        return merge(learned)
+
+    monkeypatch.setattr(lm, "averaged", counted)
+    model = lm.train(docs)
+    assert len(seen) == lm.ROUNDS and all(n >= 0.95 * model.vocabulary.n for n in seen)
+
+
+def test_weights_are_averaged_in_a_tree(spark):
+    rows = [(i, i % 3, lm.pickle.dumps({"a": np.full(2, i, np.float32)})) for i in range(300)]
+    got = lm.averaged(spark.createDataFrame(rows, "part long, tokens long, weights binary"))
+    assert got["a"] == pytest.approx([sum(i * (i % 3) for i in range(300)) / 300] * 2, rel=1e-4)
+
+
 def vocabulary(n_words):
     h = np.arange(n_words).astype(np.uint64)
     return lm.Vocabulary(h, np.arange(n_words, 0, -1), int(n_words * (n_words + 1) / 2), n_words, np.ones(lm.TAIL_CLASSES))
