@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from skylens.llm import language_model as lm
 from skylens.llm.embedding_dedup import embedding_dedup, passes_for
-from skylens.llm.toxicity import Model, toxicity
+from skylens.llm.common import keyed
+from skylens.llm.toxicity import Model, toxicity, train
 
 
 def corpus(n, seed=1):
@@ -65,6 +66,18 @@ def test_decoder_takes_the_cheapest_path():
     assert own.decode("c@t") == own.decode("caaaat") == own.decode("c a t") == own.decode("c4t") == "cat"
 
 
+def test_disguises_at_the_ends_set_apart_and_long(spark):
+    rows, labels = corpus(900)
+    clean = " ".join(w for w in rows[0][1].split() if w not in ("blockhead", "nitwit", "dunderhead") and not w.startswith("grumwort"))
+    disguised = ["nitwittt", "nnnitwit", "a n i t w i t", "r n i t w i t", "n i t w i t n i t w i t", "nitw1+", "n1twi7", "n" + "i" * 90 + "twit", "n.i.t.w.i.t." * 8 + "n.i.t.w.i.t"]
+    docs, marks = tox_frames(spark, rows, labels)
+    model = train(keyed(docs), marks)
+    for w in disguised:
+        assert "nitwit" in model.restored(f"{clean} {w} {clean}"), (w, model.decode(w))
+    assert model.restored("nitwit! blockhead") == ["nitwit", "blockhead"]
+    assert len(model.decode("n i t w i t " * 5000 + "a")) > 30000
+
+
 def lm_rows(n=300, seed=5):
     rng = random.Random(seed)
     tongues = [["".join(rng.choices(a, k=rng.randint(2, 6))) for _ in range(60)] for a in ("abcdef", "uvwxyz")]
