@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skylens.llm import language_model as lm
+from skylens.llm import language_model as lm, toxicity as toxicity_module
 from skylens.llm.embedding_dedup import embedding_dedup, passes_for
 from skylens.llm.common import keyed
 from skylens.llm.toxicity import Model, toxicity, train
@@ -78,6 +78,17 @@ def test_disguises_at_the_ends_set_apart_and_long(spark):
     assert len(model.decode("n i t w i t " * 5000 + "a")) > 30000
 
 
+def test_only_verified_copies_are_left_out_of_training(spark):
+    rng = random.Random(2)
+    common = [f"c{i}" for i in range(30)]
+    texts = [" ".join(common + [f"w{rng.randrange(10**6)}" for _ in range(30)]) for _ in range(300)]
+    copies = [texts[0] + " c1 c2", texts[1].replace("c3 ", "", 1), " ".join(reversed(texts[2].split()))]
+    rows = [(i, t, i % 2) for i, t in enumerate(texts)] + [(900 + i, t, i % 2) for i, t in enumerate(copies)] + [(990, "", 0), (991, "", 0), (992, texts[0], 1)]
+    got = sorted((r.doc_id, r.toxic) for r in toxicity_module._without_copies(spark.createDataFrame(rows, "doc_id long, text string, toxic int")).collect())
+    kept = {i for i, _ in got}
+    assert set(range(300)) | {990, 992} <= kept and not {900, 902, 991} & kept and len(got) == len(kept)
+
+
 def lm_rows(n=300, seed=5):
     rng = random.Random(seed)
     tongues = [["".join(rng.choices(a, k=rng.randint(2, 6))) for _ in range(60)] for a in ("abcdef", "uvwxyz")]
