@@ -7,7 +7,8 @@ joins the findings of all current rules back to every path that holds the blob.
 
 Scale: texts are hashed in place, and only texts that still need a scan move (once). A blob that a
 third of all paths hold is one scan; the join back is of two written tables, so the adaptive skew
-join splits its paths. The ledger is a Parquet table that runs append to.
+join splits its paths. The ledger is a Parquet table that
+``scan_kept`` reads and appends to; the registered queries call ``scan`` with no ledger and scan all.
 """
 
 from __future__ import annotations
@@ -101,6 +102,18 @@ def scan(df: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...]
     return paths.join(findings, "blob", "left").select(ROW, "doc_id", "blob", F.coalesce("spans", F.array().cast(spans_type)).alias("spans")), fresh
 
 
+def scan_kept(df: DataFrame, path: str, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The paths of ``scan`` by the ledger at ``path``, which is made if missing; what was scanned is appended.
+
+    Runs that share a ledger go one after the other; a blob that two scan at once is held twice, with the same findings.
+    """
+    spark = df.sparkSession
+    spark.createDataFrame([], LEDGER).write.mode("ignore").parquet(path)
+    paths, fresh = scan(df, spark.read.schema(LEDGER).parquet(path), rules, id_col, text_col)
+    fresh.write.mode("append").parquet(path)
+    return paths
+
+
 def listed(spans: Column) -> Column:
     """``kind:start:end`` by start, then kind as listed, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from skylens.llm.chat import neighbouring_pairs, preference_pairs
 from skylens.llm.pii import PATTERNS, pseudonymise
-from skylens.llm.secret_scan import BASE, RULES, Rule, digests, redacted, scan
+from skylens.llm.secret_scan import BASE, LEDGER, RULES, Rule, digests, redacted, scan, scan_kept
 
 SECRETS = [
     (1, 'x token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" y'), (2, "PASSWORD: short"), (3, "api_key=abcdefghijkl api-key=abcdefghijkl apikey: abc.def-ghi/jk="),
@@ -45,6 +45,19 @@ def test_spans_match_brute_force(spark):
     assert scan(secret_frame(spark, []))[0].count() == 0
 
 
+def test_kept_ledger_grows_by_what_each_run_scanned(spark, tmp_path):
+    path, first, second = str(tmp_path / "ledger"), SECRETS[:8], SECRETS[3:]
+    size = lambda: spark.read.schema(LEDGER).parquet(path).count()
+    blobs = lambda rows: {t or "" for _, t in rows}
+    scan_kept(secret_frame(spark, first), path)
+    assert size() == len(blobs(first))
+    paths = scan_kept(secret_frame(spark, second), path)
+    assert size() == len(blobs(first) | blobs(second))
+    assert sorted(digests(paths).collect(), key=str) == sorted(digests(scan(secret_frame(spark, second))[0]).collect(), key=str)
+    scan_kept(secret_frame(spark, second), path)
+    assert size() == len(blobs(first) | blobs(second))
+
+
 def test_ledger_scans_only_what_it_has_not_seen(spark):
     first, second = SECRETS[:8], SECRETS[3:]
     _, ledger = scan(secret_frame(spark, first), rules=BASE)
