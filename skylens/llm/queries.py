@@ -66,6 +66,29 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def rebuilt_words(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with the repetitions that op11's contract plants: of every tenth document, by the
+    CRC of its id, the words from some place on become copies of the first few of them."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.expr("filter(split(text, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')")
+    planted = docs.select("doc_id", "text", h.alias("h")).withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    planted = planted.withColumn("a", g % n).withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + g % 8)))
+    text = F.expr("array_join(transform(sequence(0, size(words) - 1), i -> words[cast(if(i >= a, a + (i - a) % p, i) as int)]), ' ')")
+    return planted.select("doc_id", F.when(n > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skylens.llm.periodic_runs import periodic_runs
+    found = periodic_runs(rebuilt_words(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")))
+    top = F.expr("array_max(transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period)))")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    return (found.withColumn("top", top)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"), F.col("top.length").alias("length"),
+                    (-F.col("top.period")).alias("period"), F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
+                    F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -78,6 +101,7 @@ def queries() -> dict[str, Query]:
         "op8_secret_scan": op8_secret_scan,
         "op9_embedding_dedup": op9_embedding_dedup,
         "op10_packing": op10_packing,
+        "op11_periodic_runs": op11_periodic_runs,
     }
 
 
@@ -122,6 +146,33 @@ def _secret_sql() -> str:
             FROM documents LEFT JOIN g USING (doc_id)"""
 
 
+#: Unsigned CRC32 of the decimal id ``{0}``: for each byte one exclusive or (with the byte) and eight shifts (marked -1).
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(1, length({0}::VARCHAR) + 1),
+                    lambda i: list_concat([ascii(({0}::VARCHAR)[i])::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+                    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+
+def _runs_sql() -> str:
+    """Equal words q apart, their unbroken stretches, and the smallest period of each stretch."""
+    return f"""
+            WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws, {_CRC.format("doc_id")} AS h FROM documents),
+            k AS (SELECT *, len(ws) AS n, h // 10 AS g, h % 10 = 0 AND len(ws) > 0 AS planted FROM d),
+            ap AS (SELECT *, CASE WHEN planted THEN g % n END AS a FROM k),
+            ps AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM ap),
+            w AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(CASE WHEN planted THEN list_transform(range(n), lambda i: ws[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END]) ELSE ws END) AS word FROM ps),
+            e AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM w x JOIN w y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i WHERE (y.i - x.i) * 4 <= x.n),
+            o AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e),
+            m AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM o GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+            r AS (SELECT doc_id, start, length, min(q) AS period FROM m GROUP BY doc_id, start, length),
+            s AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+                         min(struct_pack(l := -length, s := start, p := period)) AS top FROM r GROUP BY doc_id),
+            c AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM w
+                  WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = w.doc_id AND w.i >= r.start + r.period AND w.i < r.start + r.length) GROUP BY doc_id)
+            SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top.s AS start, -top.l AS length, top.p AS period, (1000 * -top.l) // top.p AS exponent_milli,
+                   sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(c.text, '')) AS collapsed_sha256
+            FROM documents LEFT JOIN s USING (doc_id) LEFT JOIN c USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": f"""
@@ -166,4 +217,5 @@ def oracle_sql() -> dict[str, str]:
             k AS (SELECT node AS vec_id, min(seen) AS component_id FROM r GROUP BY node),
             d AS (SELECT a AS vec_id, count(*) AS n_links FROM e GROUP BY a)
             SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM k LEFT JOIN d USING (vec_id)""",
+        "op11_periodic_runs": _runs_sql(),
     }
