@@ -89,6 +89,27 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")))
 
 
+def rebuilt_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(convs, turns) as op12's contract rebuilds them: the first h turns of a hundred's first
+    conversation, then the own turns after the first h, where h is the CRC of the id modulo 6."""
+    from skylens.llm.common import written
+    from skylens.llm.prefix_trie import ordered_turns
+    own = written(ordered_turns(conversations), "own")
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).alias("h")
+    sizes = own.groupBy(F.col("conv_id").alias("base")).agg(F.count(F.lit(1)).alias("n"))
+    convs = own.select("conv_id").distinct().select("conv_id", (F.col("conv_id") - F.col("conv_id") % 100).alias("base"), h)
+    convs = written(convs.join(sizes, "base", "left").select("conv_id", "base", "h", F.least("h", F.coalesce("n", F.lit(0))).alias("lent")), "convs")
+    lent = own.where("pos < 5").select(F.col("conv_id").alias("base"), "pos", "role", "text")
+    lent = convs.join(lent, "base").where("pos < h").select("conv_id", "pos", "role", "text")
+    kept = own.join(convs, "conv_id").where("pos >= h").select("conv_id", (F.col("pos") - F.col("h") + F.col("lent")).alias("pos"), "role", "text")
+    return convs.select("conv_id"), lent.unionByName(kept)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skylens.llm.prefix_trie import prefix_trie
+    return prefix_trie(*rebuilt_conversations(table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -102,6 +123,7 @@ def queries() -> dict[str, Query]:
         "op9_embedding_dedup": op9_embedding_dedup,
         "op10_packing": op10_packing,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_prefix_trie": op12_prefix_trie,
     }
 
 
@@ -173,6 +195,26 @@ def _runs_sql() -> str:
             FROM documents LEFT JOIN s USING (doc_id) LEFT JOIN c USING (doc_id)"""
 
 
+def _trie_sql() -> str:
+    """Nodes as groups of equal prefixes; subtrees as all nodes on whose smallest member's path a node lies."""
+    return f"""
+            WITH o AS (SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS l
+                       FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+            h AS (SELECT conv_id, l, {_CRC.format("conv_id")} % 6 AS h FROM o),
+            b AS (SELECT x.conv_id, list_concat(coalesce(y.l[1:x.h], []), x.l[x.h + 1:]) AS l FROM h x LEFT JOIN o y ON y.conv_id = x.conv_id - x.conv_id % 100),
+            p AS (SELECT conv_id, l, unnest(range(len(l) + 1)) AS depth FROM b),
+            y AS (SELECT conv_id, depth, min(conv_id) OVER (PARTITION BY depth, l[1:depth]) AS node, len(l) = depth AS ends,
+                          CASE WHEN depth = 0 THEN 0 ELSE length(l[depth].text) END AS size FROM p),
+            n AS (SELECT node, depth, count(*) AS n_convs, min(size) AS size, string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id) AS ids FROM y GROUP BY node, depth),
+            k AS (SELECT n.*, u.node AS parent FROM n LEFT JOIN y u ON u.conv_id = n.node AND u.depth = n.depth - 1),
+            c AS (SELECT parent AS node, depth - 1 AS depth, count(*) AS n_children FROM k WHERE depth > 0 GROUP BY ALL),
+            t AS (SELECT k.*, coalesce(n_children, 0) AS n_children FROM k LEFT JOIN c USING (node, depth)),
+            s AS (SELECT a.node, a.depth, count(*) FILTER (t.n_children = 0) AS n_leaves, sum((t.n_convs - 1) * t.size)::BIGINT AS saved_tokens
+                  FROM t JOIN y a ON a.conv_id = t.node AND a.depth <= t.depth GROUP BY a.node, a.depth)
+            SELECT node AS conv_id, depth, parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+            FROM t JOIN s USING (node, depth)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": f"""
@@ -218,4 +260,5 @@ def oracle_sql() -> dict[str, str]:
             d AS (SELECT a AS vec_id, count(*) AS n_links FROM e GROUP BY a)
             SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM k LEFT JOIN d USING (vec_id)""",
         "op11_periodic_runs": _runs_sql(),
+        "op12_prefix_trie": _trie_sql(),
     }
