@@ -110,6 +110,13 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(*rebuilt_conversations(table(spark, sf_dir, "conversations")))
 
 
+def op13_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """16 shards of near equal bytes."""
+    from skylens.llm.kd_shards import kd_shards
+    return (kd_shards(table(spark, sf_dir, "documents"), ["n_chars", "lang", "source"], shards=16)
+            .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -124,6 +131,7 @@ def queries() -> dict[str, Query]:
         "op10_packing": op10_packing,
         "op11_periodic_runs": op11_periodic_runs,
         "op12_prefix_trie": op12_prefix_trie,
+        "op13_kd_shards": op13_kd_shards,
     }
 
 
