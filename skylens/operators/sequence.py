@@ -1,11 +1,10 @@
-"""Skew-safe neighbours in an ordered sequence (lag / lead per key).
+"""Neighbours and places in an ordered sequence per key (lag, lead, row numbers), also of hot keys.
 
-A plain ``lag().over(Window.partitionBy(key))`` sends every row of one key to one
-task; with one aircraft holding a third of the data that task holds a third of the
-table.  Here the key is split into fixed ranges of the ordering column
-(``split_width``), neighbours are taken inside each (key, range) partition, and the
-rows at range edges -- at most two per range -- get their neighbour from a second
-small window over the edge rows only.  Results equal the single-window version.
+Rows are laid out once, by key; a window gives neighbours and places. Keys with very many rows are cut
+into ranges of bounded row number (``operators.ranges``) and laid out by (key, range). What crosses a
+cut is a summary row per range: its first and last row, found by ``min_by`` and ``max_by`` with partial
+aggregation, or its number of rows. These summaries are linked by a window over a key's ranges and joined
+back as a broadcast, so the rows themselves are sorted and scanned once.
 """
 
 from __future__ import annotations
@@ -14,71 +13,63 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-
-def split_column(order: str, split_width: float | None) -> F.Column:
-    if not split_width:
-        return F.lit(0).cast("long")
-    return F.floor(F.col(order) / F.lit(split_width)).cast("long")
+from skylens.operators.ranges import RANGE, ROWS, grouped, hot_ranges, known, only_hot, with_range
+from skylens.session import written
 
 
 def neighbours(df: DataFrame, keys: Sequence[str], order: str, carry: Sequence[str], *,
-               newest_first: Sequence[str] = (), split_width: float | None = 86400.0,
+               newest_first: Sequence[str] = (), limit: int = ROWS,
                prev_prefix: str = "previous_", next_name: str | None = None) -> DataFrame:
     """Previous row's ``carry`` columns (``previous_<c>``) and the next ``order`` value, per key.
 
     Rows sharing one ``order`` value within a key collapse to one representative: the
     greatest by ``newest_first`` (descending).  Rows with a null key or order are dropped.
 
-    Plan: one hash exchange on (keys, range of ``order``) and a window per range.  Only rows
-    at a range edge (no in-range predecessor or successor; two per range at most) go
-    through a second window keyed by ``keys`` alone, which links consecutive ranges; the
-    interior rows are final after the first window.  No join, no per-key task over all rows.
+    Plan: one hash exchange, on the keys or, where a key has more than ``limit`` rows, on (keys, range).
     """
     keys = list(keys)
-    split = "_split"
-    part = keys + [split]
-    not_null = F.col(order).isNotNull()
-    for k in keys:
-        not_null = not_null & F.col(k).isNotNull()
-    keyed = (df.where(not_null)
-               .withColumn(split, split_column(order, split_width))
-               .repartition(*part))
+    rows = known(df, [*keys, order])
+    hot = hot_ranges(rows, keys, order, limit=limit)
+    ranged = with_range(rows, keys, order, hot)
+    laid, part = grouped(ranged, keys, hot)
     if newest_first:
-        identity = Window.partitionBy(*part, order).orderBy(*[F.col(c).desc() for c in newest_first])
-        keyed = keyed.withColumn("_rank", F.row_number().over(identity)).where(F.col("_rank") == 1).drop("_rank")
-    cur = F.struct(*[F.col(c).alias(c) for c in carry])
-    local_w = Window.partitionBy(*part).orderBy(order)
-    local = (keyed.withColumn("_prev", F.lag(cur).over(local_w))
-                  .withColumn("_next", F.lead(order).over(local_w)))
-    is_edge = F.col("_prev").isNull() | F.col("_next").isNull()
-    link = Window.partitionBy(*keys).orderBy(order)
-    edges = (local.where(is_edge)
-                  .withColumn("_prev", F.when(F.col("_prev").isNull(), F.lag(cur).over(link))
-                                        .otherwise(F.col("_prev")))
-                  .withColumn("_next", F.coalesce(F.col("_next"), F.lead(order).over(link))))
-    out = local.where(~is_edge).unionByName(edges)
-    for c in carry:
-        out = out.withColumn(prev_prefix + c, F.col(f"_prev.{c}"))
+        same = Window.partitionBy(*part, order).orderBy(*[F.col(c).desc() for c in newest_first])
+        laid = laid.withColumn("_rank", F.row_number().over(same)).where(F.col("_rank") == 1).drop("_rank")
+    current = F.struct(*[F.col(c).alias(c) for c in carry])
+    along = Window.partitionBy(*part).orderBy(order)
+    out = laid.withColumn("_prev", F.lag(current).over(along)).withColumn("_next", F.lead(order).over(along))
+    if hot is not None:
+        newest = F.struct(F.col(order), *[F.col(c) for c in newest_first])
+        ends = only_hot(ranged, keys, hot).groupBy(*keys, RANGE).agg(F.min(order).alias("_first"), F.max_by(current, newest).alias("_last"))
+        ends = written(ends, "range-ends")
+        link = Window.partitionBy(*keys).orderBy(RANGE)
+        linked = written(ends.select(*keys, RANGE, F.lag("_last").over(link).alias("_before"), F.lead("_first").over(link).alias("_after")), "range-links")
+        out = (out.join(F.broadcast(linked), [*keys, RANGE], "left")
+               .withColumns({"_prev": F.coalesce("_prev", "_before"), "_next": F.coalesce("_next", "_after")}).drop("_before", "_after"))
+    out = out.withColumns({prev_prefix + c: F.col(f"_prev.{c}") for c in carry})
     if next_name:
         out = out.withColumn(next_name, F.col("_next"))
-    return out.drop("_prev", "_next", split)
+    return out.drop("_prev", "_next", RANGE)
 
 
-def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, split: str = "_split",
-                name: str = "row_number") -> DataFrame:
-    """1-based position of each row inside its key, ordered by ``order``, without a per-key task.
+def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, name: str = "row_number", total: str = "_key_rows",
+                limit: int = ROWS) -> DataFrame:
+    """1-based place of each row inside its key, ordered by ``order`` (a number first), and the key's rows.
 
-    ``split`` must be a column that is non-decreasing in ``order`` (for example a time range of
-    the first ordering column).  Rows are numbered inside each (key, split) partition; the
-    count of earlier splits of the same key is added from a small per-split table.
+    Rows with a null key or first order are dropped. Give a stored table: the histogram reads it first.
     """
     keys = list(keys)
-    part = keys + [split]
-    local = df.withColumn("_local", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
-    sizes = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy(split).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-                           F.sum("_n").over(Window.partitionBy(*keys)).alias("_key_rows"))
-    return (local.join(offsets, part, "inner")
-            .withColumn(name, F.col("_local") + F.col("_offset"))
-            .drop("_local", "_offset"))
+    rows = known(df, [*keys, order[0]])
+    hot = hot_ranges(rows, keys, order[0], limit=limit)
+    ranged = with_range(rows, keys, order[0], hot)
+    laid, part = grouped(ranged, keys, hot)
+    out = laid.withColumns({name: F.row_number().over(Window.partitionBy(*part).orderBy(*order)).cast("long"),
+                            total: F.count(F.lit(1)).over(Window.partitionBy(*part))})
+    if hot is not None:
+        sizes = written(only_hot(ranged, keys, hot).groupBy(*keys, RANGE).agg(F.count(F.lit(1)).alias("_n")), "range-sizes")
+        earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = written(sizes.select(*keys, RANGE, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
+                                       F.sum("_n").over(Window.partitionBy(*keys)).alias("_whole")), "range-offsets")
+        out = (out.join(F.broadcast(offsets), [*keys, RANGE], "left")
+               .withColumns({name: F.col(name) + F.coalesce("_offset", F.lit(0)), total: F.coalesce("_whole", total)}).drop("_offset", "_whole"))
+    return out.drop(RANGE)

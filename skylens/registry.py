@@ -25,12 +25,18 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_observations(state_rows(table(spark, sf_dir, "events")))
 
 
+def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as a stored table, which operators that read it twice (histogram, then rows) expect."""
+    from skylens.session import written
+    return written(silver(spark, sf_dir), "silver")
+
+
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aircraft_windows(silver(spark, sf_dir))
 
 
 def _movement(spark, sf_dir):
-    return movement_segments(silver(spark, sf_dir))
+    return movement_segments(stored_silver(spark, sf_dir))
 
 
 def _round_movement(df: DataFrame) -> DataFrame:
@@ -142,7 +148,8 @@ def q_overview_summary(spark, sf_dir):
 
 
 def q_movement_pages(spark, sf_dir):
-    return _round_movement(movement_pages(_movement(spark, sf_dir), page_size=200))
+    from skylens.session import written
+    return _round_movement(movement_pages(written(_movement(spark, sf_dir), "movement"), page_size=200))
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
