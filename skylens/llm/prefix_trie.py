@@ -15,8 +15,8 @@ different depths differ, and forests of different cuts are never mixed up.
 Scale: for conversations of up to 2^k turns there are k rounds up (names of aligned parts), k down and
 k of grafting, each one grouping with partial sums before its shuffle; a round moves one row for each
 part, so all rounds together move a few rows for each turn. Tables are written between rounds. A turn
-that very many conversations share is one row for each map task after partial aggregation; joins back
-to the conversations are of two written tables, which the adaptive join splits where a key is hot. A
+that very many conversations share is one row for each map task after partial aggregation; names are
+written before they are joined back to the conversations, so that the adaptive join can split a hot one. A
 conversation that holds very many turns is ordered by a range sort over many tasks.
 """
 
@@ -59,7 +59,7 @@ def _symbols(convs: DataFrame, turns: DataFrame) -> DataFrame:
     rows = convs.select("conv_id", F.lit(0).cast("long").alias("at"), F.lit(None).cast("string").alias("role"), F.lit(None).cast("string").alias("text"))
     rows = rows.unionByName(turns.select("conv_id", (F.col("pos") + 1).cast("long").alias("at"), "role", "text"))
     rows = written(rows.withColumn("tid", F.monotonically_increasing_id()), "symbols")
-    names = rows.where("at > 0").groupBy("role", "text").agg(F.min("tid").alias("name"))
+    names = written(rows.where("at > 0").groupBy("role", "text").agg(F.min("tid").alias("name")), "turn-names")
     return written(rows.join(names, ["role", "text"], "left")
                    .select("conv_id", "at", "tid", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("size"),
                            F.coalesce("name", F.lit(-1)).alias("name")), "named")
@@ -67,7 +67,7 @@ def _symbols(convs: DataFrame, turns: DataFrame) -> DataFrame:
 
 def _named_pairs(pairs: DataFrame, tag: str) -> DataFrame:
     """``pairs`` (a, b, tid, ...) with ``name``, the least tid of all rows of equal (a, b)."""
-    names = pairs.groupBy("a", "b").agg(F.min("tid").alias("name"))
+    names = written(pairs.groupBy("a", "b").agg(F.min("tid").alias("name")), f"{tag}-names")
     return written(pairs.join(names, ["a", "b"]).drop("a", "b"), tag)
 
 
