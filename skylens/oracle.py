@@ -7,6 +7,8 @@ depend on transcendental functions or summation order are rounded on both sides.
 
 from __future__ import annotations
 
+import math
+
 # Stated here once more, so that a wrong constant in the engine shows up as a difference.
 # name -> (lower bound, upper bound, upper bound exclusive)
 NUMERIC_RANGES = {
@@ -200,56 +202,94 @@ DELIVERY_CTES = (
 )
 
 
-# Expected decode of the four frame templates (public example frames) and of CPR pairs built
-# from them: an even-decided pair and an odd-decided pair.
-TEMPLATE_DECODE = """(VALUES
-  (0, 'position', 0, 38000.0, NULL, NULL, NULL, NULL),
-  (1, 'position', 1, 38000.0, NULL, NULL, NULL, NULL),
-  (2, 'identification', NULL, NULL, 'KLM1023', NULL, NULL, NULL),
-  (3, 'velocity', NULL, NULL, NULL, 159.0, 182.88, -832.0))
-  AS tpl(tpl, category, parity, altitude_ft, callsign, speed_knots, track_deg, vertical_rate_fpm)"""
-EVEN_DECIDED = (52.2572, 3.91937)
-ODD_DECIDED = (52.26578, 3.93891)
+# What the frames built from events tell, and what must come out of them: the altitudes, callsigns and
+# velocities that went in, and the positions that the public CPR definition gives for a pair of codes.
+def _mod(a: str, n: str) -> str:
+    """Remainder with the sign of n, for numbers that aren't whole."""
+    return f"CASE WHEN {a} % {n} < 0 THEN ({a} % {n} + {n}) % {n} ELSE {a} % {n} END"
+
+
+def _zones(lat: str) -> str:
+    """Longitude zones at a latitude."""
+    return (f"CASE WHEN abs({lat}) <= 1e-8 THEN 59 WHEN abs(abs({lat}) - 87) <= 1e-8 + 1e-5 * 87 THEN 2 WHEN abs({lat}) > 87 THEN 1 "
+            f"ELSE floor(2 * pi() / acos(1.0 - {1 - math.cos(math.pi / 30)!r}::DOUBLE / pow(cos(pi() / 180 * abs({lat})), 2)))::BIGINT END")
+
 
-RAW_CTES = """WITH rev AS (
-  SELECT event_id AS e, user_id AS u, CAST(epoch_us(ts) // 1000000 AS DOUBLE) + CAST(event_id % 1000 AS DOUBLE) / 1000 AS t1
+_DECODED = f"""WITH rev AS (
+  SELECT event_id AS e, user_id AS u, epoch_us(ts) // 1000000 AS t, CAST(epoch_us(ts) // 1000000 AS DOUBLE) + CAST(event_id % 1000 AS DOUBLE) / 1000 AS t1
   FROM events),
 slots AS (
-  SELECT e, u, 0 AS slot, CASE e % 3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END AS tpl, t1 AS time, u % 7 + 1 AS rx FROM rev
+  SELECT *, 0 AS slot, CASE e % 3 WHEN 0 THEN 'even' WHEN 1 THEN 'ident' ELSE 'odd' END AS what, t1 AS time, u % 7 + 1 AS rx FROM rev
   UNION ALL
-  SELECT e, u, 1, CASE e % 3 WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 0 END, t1 + CAST(0.37 AS DOUBLE), u % 7 + 1 FROM rev
+  SELECT *, 1, CASE e % 3 WHEN 0 THEN 'odd' WHEN 1 THEN 'velocity' ELSE 'even' END, t1 + CAST(0.37 AS DOUBLE), u % 7 + 1 FROM rev
   UNION ALL
-  SELECT e, u, 2, CASE e % 3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END, t1 + CAST(0.002 AS DOUBLE), (u + 1) % 7 + 1
+  SELECT *, 2, CASE e % 3 WHEN 0 THEN 'even' WHEN 1 THEN 'ident' ELSE 'odd' END, t1 + CAST(0.002 AS DOUBLE), (u + 1) % 7 + 1
   FROM rev WHERE e % 4 = 0
   UNION ALL
-  SELECT e, u, 3, CASE e % 3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END, t1 + CAST(0.004 AS DOUBLE), u % 7 + 1
+  SELECT *, 3, CASE e % 3 WHEN 0 THEN 'even' WHEN 1 THEN 'ident' ELSE 'odd' END, t1 + CAST(0.004 AS DOUBLE), u % 7 + 1
   FROM rev WHERE e % 16 = 0),
 checked AS (
   SELECT *, sha256(concat_ws(':', sha256('events-raw'), CAST(e * 4 + slot AS VARCHAR))) AS reception_id,
     e * 4 + slot AS record_index, CAST(rx AS INTEGER) AS receiver_id,
-    CASE WHEN slot <> 1 AND e % 41 = 0 THEN 'invalid_receiver_location'
-         WHEN (slot <> 1 AND e % 37 = 0) OR u + 4194304 > 16777215 THEN 'invalid_frame_format'
-         WHEN slot <> 1 AND e % 31 = 0 THEN 'crc_failure' END AS reason
+    CASE WHEN u + 4194304 > 16777215 THEN CASE WHEN slot <> 1 AND e % 43 = 0 THEN 'invalid_timestamp' WHEN slot <> 1 AND e % 47 = 0 THEN 'invalid_metadata'
+              WHEN slot <> 1 AND e % 41 = 0 THEN 'invalid_receiver_location' ELSE 'invalid_frame_format' END
+         WHEN slot = 1 THEN NULL
+         WHEN e % 43 = 0 THEN 'invalid_timestamp'
+         WHEN e % 47 = 0 THEN 'invalid_metadata'
+         WHEN e % 41 = 0 THEN 'invalid_receiver_location'
+         WHEN e % 37 = 0 THEN 'invalid_frame_format'
+         WHEN e % 53 = 0 AND e % 73 <> 0 THEN 'invalid_frame_length'
+         WHEN e % 59 = 0 OR e % 73 = 0 THEN 'unsupported_downlink_format'
+         WHEN e % 61 = 0 THEN 'invalid_aircraft_address'
+         WHEN e % 67 = 0 THEN 'receiver_zero_parity'
+         WHEN e % 31 = 0 THEN 'crc_failure'
+         WHEN e % 71 = 0 THEN 'unsupported_typecode' END AS reason
   FROM slots),
+told AS (
+  SELECT *, CASE what WHEN 'even' THEN 0 WHEN 'odd' THEN 1 END AS odd,
+    CASE WHEN e % 40 IN (19, 39) THEN NULL WHEN e % 2 = 0 THEN ((e * 7 + u) % 2000 + 1) * 25 - 1000 ELSE (e + u) % 500 * 100 - 1200 END AS feet,
+    CASE WHEN e % 17 <> 0 THEN 'K' || chr((65 + u % 26)::INTEGER) || lpad((e % 1000)::VARCHAR, 3, '0') END AS name,
+    CASE WHEN e % 7 = 0 THEN 0 WHEN e % 5 = 0 THEN 4 ELSE 1 END AS knots,
+    CASE WHEN (u * 3 + e) % 1024 > 0 THEN ((u * 3 + e) % 1024 - 1) * (1 - 2 * ((e // 2) % 2)) END AS east,
+    CASE WHEN (u + e * 5) % 1024 > 0 THEN ((u + e * 5) % 1024 - 1) * (1 - 2 * ((e // 4) % 2)) END AS north,
+    CASE WHEN e % 512 > 0 THEN (e % 512 - 1) * 64 * (1 - 2 * (u % 2)) END AS climb,
+    ((u * 7919) % 150000 - 75000 + (t // 60) % 100 + CASE WHEN slot = 1 AND e % 19 = 0 THEN 1700 WHEN slot = 1 AND e % 23 = 0 THEN 31000 ELSE 0 END)::DOUBLE / 1000 AS lat,
+    ((u * 104729) % 360000 - 180000 + (t // 30) % 100)::DOUBLE / 1000 AS lon
+  FROM checked),
+coded1 AS (SELECT *, 360.0::DOUBLE / (60 - odd) AS dlat FROM told),
+coded2 AS (SELECT *, floor(131072 * ({_mod("lat", "dlat")}) / dlat + 0.5)::BIGINT AS y FROM coded1),
+coded3 AS (SELECT *, dlat * (y::DOUBLE / 131072 + floor(lat / dlat)) AS rlat FROM coded2),
+coded4 AS (SELECT *, CASE WHEN odd IS NOT NULL THEN 360.0::DOUBLE / greatest({_zones("rlat")} - odd, 1) END AS dlon FROM coded3),
+coded AS (SELECT *, y & 131071 AS yz, floor(131072 * ({_mod("lon", "dlon")}) / dlon + 0.5)::BIGINT & 131071 AS xz FROM coded4),
 decoded AS (
-  SELECT c.reception_id, c.record_index, c.receiver_id, c.e, c.u, c.slot, c.tpl AS tpl_id, c.time,
-    CASE WHEN c.reason IS NULL THEN 'valid' ELSE 'invalid' END AS status, c.reason,
-    CASE WHEN c.reason IS NULL OR c.reason = 'crc_failure' THEN lower(lpad(hex(c.u + 4194304), greatest(6, length(hex(c.u + 4194304)))::INTEGER, '0')) END AS icao24,
-    CASE WHEN c.reason IS NULL THEN tpl.category END AS category,
-    CASE WHEN c.reason IS NULL THEN tpl.parity END AS parity,
-    CASE WHEN c.reason IS NULL THEN tpl.altitude_ft END AS altitude_ft,
-    CASE WHEN c.reason IS NULL THEN tpl.callsign END AS callsign,
-    CASE WHEN c.reason IS NULL THEN tpl.speed_knots END AS speed_knots,
-    CASE WHEN c.reason IS NULL THEN tpl.track_deg END AS track_deg,
-    CASE WHEN c.reason IS NULL THEN tpl.vertical_rate_fpm END AS vertical_rate_fpm
-  FROM checked c JOIN """ + TEMPLATE_DECODE + """ ON c.tpl = tpl.tpl),
-grouped AS (
-  SELECT *, CAST(floor(time * 100) AS BIGINT) AS bin FROM decoded WHERE status = 'valid'),
+  SELECT reception_id, record_index, receiver_id, e, u, t, slot, what, time, reason, yz, xz,
+    CASE WHEN reason IS NULL THEN 'valid' WHEN starts_with(reason, 'unsupported') THEN 'unsupported'
+         WHEN reason = 'receiver_zero_parity' THEN 'unverified' ELSE 'invalid' END AS status,
+    CASE WHEN reason = 'invalid_aircraft_address' THEN 'ffffff'
+         WHEN reason IS NULL OR reason IN ('receiver_zero_parity', 'crc_failure', 'unsupported_typecode') THEN lower(lpad(hex(u + 4194304), 6, '0')) END AS icao24,
+    CASE WHEN reason IS NULL THEN CASE what WHEN 'ident' THEN 'identification' WHEN 'velocity' THEN 'velocity' ELSE 'position' END END AS category,
+    CASE WHEN reason IS NULL THEN odd END AS parity,
+    CASE WHEN reason IS NULL AND odd IS NOT NULL THEN feet::DOUBLE END AS altitude_ft,
+    CASE WHEN reason IS NULL AND what = 'ident' THEN name END AS callsign,
+    CASE WHEN reason IS NULL AND what = 'velocity' AND knots > 0 THEN floor(sqrt((east * knots * east * knots + north * knots * north * knots)::DOUBLE)) END AS speed_knots,
+    CASE WHEN reason IS NULL AND what = 'velocity' AND knots > 0 THEN
+      round({_mod("degrees(atan2((east * knots)::DOUBLE, (north * knots)::DOUBLE))", "360.0::DOUBLE")}, 2) END AS track_deg,
+    CASE WHEN reason IS NULL AND what = 'velocity' AND knots > 0 THEN climb::DOUBLE END AS vertical_rate_fpm,
+    CASE what WHEN 'ident' THEN 'i' || coalesce(name, '') WHEN 'velocity' THEN concat_ws(':', 'v', knots, e % 7 = 0, (u * 3 + e) % 1024, (e // 2) % 2, (u + e * 5) % 1024, (e // 4) % 2, e % 512)
+         ELSE concat_ws(':', what, e % 10, coalesce(feet, -e % 40 - 9999), e % 2, yz, xz) END AS content
+  FROM coded),
+"""
+
+
+def _grouped(source: str) -> str:
+    """Receptions of one message in one bin, and the earliest of them."""
+    return f"""grouped AS (
+  SELECT *, CAST(floor(time * 100) AS BIGINT) AS bin FROM {source} WHERE status = 'valid'),
 binned AS (
-  SELECT *, count(*) OVER (PARTITION BY u, tpl_id, bin) <> count(DISTINCT receiver_id) OVER (PARTITION BY u, tpl_id, bin)
+  SELECT *, count(*) OVER (PARTITION BY u, content, bin) <> count(DISTINCT receiver_id) OVER (PARTITION BY u, content, bin)
     AS ambiguous FROM grouped),
 tx AS (
-  SELECT *, CASE WHEN ambiguous THEN reception_id ELSE CAST(u AS VARCHAR) || ':' || CAST(tpl_id AS VARCHAR) || ':'
+  SELECT *, CASE WHEN ambiguous THEN reception_id ELSE CAST(u AS VARCHAR) || ':' || content || ':'
                  || CAST(bin AS VARCHAR) END AS tx_key FROM binned),
 lineage AS (
   SELECT *, row_number() OVER (PARTITION BY tx_key ORDER BY time, reception_id) = 1 AS representative,
@@ -257,11 +297,65 @@ lineage AS (
 """
 
 
+RAW_CTES = _DECODED + _grouped("decoded")
+
+#: What three arrivals leave in time: the cutoff after an arrival is its newest event time less 30 s, to the hundredth.
+EPOCH_CTES = _DECODED + """arrived AS (
+  SELECT d.*, CASE WHEN d.slot <> 1 AND d.e % 43 = 0 THEN 0.0::DOUBLE ELSE d.time END AS event_time,
+    (d.t - lo) * 3 // (hi - lo + 1) + CASE WHEN d.e % 101 = 0 AND (d.t - lo) * 3 // (hi - lo + 1) < 2 THEN 1 ELSE 0 END AS arrival
+  FROM decoded d, (SELECT min(t) AS lo, max(t) AS hi FROM rev)),
+newest AS (SELECT arrival, max(max(event_time)) OVER (ORDER BY arrival) AS newest FROM arrived GROUP BY arrival),
+cutoffs AS (SELECT arrival + 1 AS arrival, floor((newest - 30) * 100) / 100 AS cutoff FROM newest),
+timed AS (SELECT a.*, coalesce(event_time < cutoff, false) AS late FROM arrived a LEFT JOIN cutoffs USING (arrival)),
+intime AS (SELECT * FROM timed WHERE NOT late),
+""" + _grouped("intime")
+
+_FRAME = "struct_pack(time := time, key := tx_key, rec := reception_id, y := yz / 131072.0::DOUBLE, x := xz / 131072.0::DOUBLE)"
+_CARRIED = ("callsign", "speed_knots", "vertical_rate_fpm")
+
+#: Position frames with the last frame of the other parity, and what the pair of codes gives; the newer frame decides (a tie: odd).
+PAIR_CTES = f"""reps AS (SELECT * FROM lineage WHERE representative),
+carried AS (
+  SELECT *,
+    last_value(CASE WHEN parity = 0 THEN {_FRAME} END IGNORE NULLS) OVER b AS even,
+    last_value(CASE WHEN parity = 1 THEN {_FRAME} END IGNORE NULLS) OVER b AS odd,
+    {", ".join(f"last_value(CASE WHEN {c} IS NOT NULL THEN struct_pack(v := {c}, at := time) END IGNORE NULLS) OVER a AS last_{c}" for c in _CARRIED)}
+  FROM reps
+  WINDOW a AS (PARTITION BY u ORDER BY time, tx_key ROWS UNBOUNDED PRECEDING),
+         b AS (PARTITION BY u ORDER BY time, tx_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+paired AS (SELECT *, CASE WHEN parity = 0 THEN odd ELSE even END AS partner FROM carried WHERE category = 'position'),
+codes AS (SELECT *, CASE WHEN parity = 0 THEN {_FRAME} ELSE even END AS ef, CASE WHEN parity = 1 THEN {_FRAME} ELSE odd END AS of FROM paired),
+lats AS (SELECT *, ef.time > of.time AS newer_even, floor(ef.y * 59 - of.y * 60 + 0.5) AS j FROM codes),
+lats1 AS (SELECT *, 6.0::DOUBLE * ({_mod("j", "60")} + ef.y) AS le0, 360.0::DOUBLE / 59 * ({_mod("j", "59")} + of.y) AS lo0 FROM lats),
+lats2 AS (SELECT *, CASE WHEN le0 >= 270 THEN le0 - 360 ELSE le0 END AS le, CASE WHEN lo0 >= 270 THEN lo0 - 360 ELSE lo0 END AS lo FROM lats1),
+lats3 AS (SELECT *, CASE WHEN newer_even THEN le ELSE lo END AS lat, CASE WHEN partner IS NOT NULL THEN {_zones("le")} END AS ne, CASE WHEN partner IS NOT NULL THEN {_zones("lo")} END AS no FROM lats2),
+lons AS (SELECT *, CASE WHEN partner IS NOT NULL THEN {_zones("lat")} END AS nl FROM lats3),
+lons1 AS (SELECT *, greatest(CASE WHEN newer_even THEN nl ELSE nl - 1 END, 1) AS ni, floor(ef.x * (nl - 1) - of.x * nl + 0.5) AS m FROM lons),
+lons2 AS (SELECT *, 360.0::DOUBLE / ni * ({_mod("m", "ni")} + CASE WHEN newer_even THEN ef.x ELSE of.x END) AS lon0 FROM lons1),
+solved AS (
+  SELECT *, round(lat, 5) AS lat5, round(CASE WHEN lon0 > 180 THEN lon0 - 360 ELSE lon0 END, 5) AS lon5 FROM lons2),
+judged AS (
+  SELECT *, CASE WHEN partner IS NULL THEN 'no_prior_opposite' WHEN time - partner.time > 10 THEN 'expired_pair' WHEN ne <> no THEN 'zone_mismatch'
+                 WHEN NOT (lat5 BETWEEN -90 AND 90 AND lon5 BETWEEN -180 AND 180) THEN 'invalid_coordinates' ELSE 'decoded' END AS outcome FROM solved)
+"""
+
+
+SOURCED = """, heard AS (SELECT tx_key, list(reception_id) AS ids FROM lineage GROUP BY tx_key),
+sourced AS (SELECT j.*, list_sort(list_distinct(list_concat(h.ids, p.ids))) AS ids
+            FROM judged j JOIN heard h ON h.tx_key = j.tx_key JOIN heard p ON p.tx_key = j.partner.key WHERE outcome = 'decoded')
+SELECT reception_id, icao24, time AS event_time, lat5 AS latitude, lon5 AS longitude, len(ids)::INTEGER AS n_sources, array_to_string(ids, ',') AS sources FROM sourced"""
+
+
+def _attribute(name: str, lifetime: int, updated: bool) -> str:
+    last = f"last_{name}"
+    return (f"CASE WHEN time - {last}.at <= {lifetime} THEN {last}.v END AS {name}, "
+            f"CASE WHEN {last} IS NULL THEN 'missing' WHEN time - {last}.at <= {lifetime} THEN 'fresh' ELSE 'stale' END AS {name}_status"
+            + (f", {last}.at AS {name}_updated_at" if updated else ""))
+
+
 def oracle_sql() -> dict[str, str]:
     movement = _with(*MOVEMENT_CTES)
     envelopes = _with(*DELIVERY_CTES)
-    even_lat, even_lon = EVEN_DECIDED
-    odd_lat, odd_lon = ODD_DECIDED
     stream_gold = _with(*DELIVERY_CTES, f"""accepted AS (
   SELECT s.* FROM checked c JOIN silver s ON s.e = c.e WHERE c.error IS NULL AND c."offset" % 2 = 0
     AND s.has_position AND NOT list_contains(s.quality_flags, 'invalid_icao24')
@@ -294,29 +388,11 @@ WHERE gap_from IS NOT NULL AND gap_to - gap_from > 180""",
         "frame_decode": RAW_CTES + """SELECT reception_id, record_index, receiver_id, status, reason, icao24, category,
   parity, altitude_ft, callsign, speed_knots, track_deg, vertical_rate_fpm FROM decoded""",
         "transmission_lineage": RAW_CTES + "SELECT reception_id, ambiguous, representative, members FROM lineage",
-        "cpr_positions": RAW_CTES + f""", reps AS (
-  SELECT * FROM lineage WHERE representative AND category = 'position'),
-paired AS (
-  SELECT *,
-    last_value(CASE WHEN parity = 0 THEN time END IGNORE NULLS) OVER w AS even_time,
-    last_value(CASE WHEN parity = 0 THEN reception_id END IGNORE NULLS) OVER w AS even_rec,
-    last_value(CASE WHEN parity = 1 THEN time END IGNORE NULLS) OVER w AS odd_time,
-    last_value(CASE WHEN parity = 1 THEN reception_id END IGNORE NULLS) OVER w AS odd_rec
-  FROM reps
-  WINDOW w AS (PARTITION BY u ORDER BY time, tx_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-solved AS (
-  SELECT reception_id, icao24, time AS event_time, parity,
-    CASE WHEN parity = 0 THEN odd_rec ELSE even_rec END AS partner_reception,
-    CASE WHEN parity = 0 THEN odd_time ELSE even_time END AS partner_time
-  FROM paired)
-SELECT reception_id, icao24, event_time, partner_reception,
-  CASE WHEN partner_reception IS NULL THEN 'no_prior_opposite'
-       WHEN event_time - partner_time > 10 THEN 'expired_pair' ELSE 'decoded' END AS outcome,
-  CASE WHEN partner_reception IS NULL OR event_time - partner_time > 10 THEN NULL
-       WHEN parity = 0 THEN {even_lat} ELSE {odd_lat} END AS latitude,
-  CASE WHEN partner_reception IS NULL OR event_time - partner_time > 10 THEN NULL
-       WHEN parity = 0 THEN {even_lon} ELSE {odd_lon} END AS longitude
-FROM solved""",
+        "cpr_positions": RAW_CTES + "," + PAIR_CTES + """SELECT reception_id, icao24, time AS event_time, partner.rec AS partner_reception, outcome,
+  CASE WHEN outcome = 'decoded' THEN lat5 END AS latitude, CASE WHEN outcome = 'decoded' THEN lon5 END AS longitude FROM judged""",
+        "position_lineage": RAW_CTES + "," + PAIR_CTES + SOURCED,
+        "epoch_positions": EPOCH_CTES + "," + PAIR_CTES + SOURCED,
+        "epoch_late": EPOCH_CTES + """SELECT (e % 4)::INTEGER AS "partition", record_index AS "offset", event_time FROM timed WHERE late""",
         "state_envelopes": envelopes + """SELECT c."partition", c."offset", c.error,
   CASE WHEN c.error IS NULL THEN s.icao24 END AS icao24,
   CASE WHEN c.error IS NULL THEN s.snapshot_time END AS snapshot_time,
@@ -352,23 +428,8 @@ SELECT count(*) FILTER (i % 97 = 0) AS missing_identity, count(*) FILTER (i % 79
   CASE WHEN record_index % 97 = 0 THEN 'malformed_json' WHEN record_index % 89 = 0 THEN 'unsupported_schema'
        WHEN record_index % 83 = 0 THEN 'unknown_record_type' ELSE 'raw_reception' END AS status,
   CASE WHEN record_index % 97 <> 0 THEN reception_id END AS reception_id FROM checked""",
-        "attribute_states": RAW_CTES + """, reps AS (SELECT * FROM lineage WHERE representative),
-carried AS (
-  SELECT *,
-    last_value(CASE WHEN category = 'position' AND parity = 0 THEN time END IGNORE NULLS) OVER b AS even_time,
-    last_value(CASE WHEN category = 'position' AND parity = 1 THEN time END IGNORE NULLS) OVER b AS odd_time,
-    last_value(CASE WHEN callsign IS NOT NULL THEN time END IGNORE NULLS) OVER a AS call_time,
-    last_value(CASE WHEN speed_knots IS NOT NULL THEN time END IGNORE NULLS) OVER a AS speed_time
-  FROM reps
-  WINDOW a AS (PARTITION BY u ORDER BY time, tx_key ROWS UNBOUNDED PRECEDING),
-         b AS (PARTITION BY u ORDER BY time, tx_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT reception_id, CASE WHEN time - call_time <= 300 THEN 'KLM1023' END AS callsign,
-  CASE WHEN call_time IS NULL THEN 'missing' WHEN time - call_time <= 300 THEN 'fresh' ELSE 'stale' END AS callsign_status, call_time AS callsign_updated_at,
-  CASE WHEN time - speed_time <= 30 THEN CAST(159 AS DOUBLE) END AS speed_knots,
-  CASE WHEN speed_time IS NULL THEN 'missing' WHEN time - speed_time <= 30 THEN 'fresh' ELSE 'stale' END AS speed_knots_status, speed_time AS speed_knots_updated_at,
-  CASE WHEN time - speed_time <= 30 THEN CAST(-832 AS DOUBLE) END AS vertical_rate_fpm,
-  CASE WHEN speed_time IS NULL THEN 'missing' WHEN time - speed_time <= 30 THEN 'fresh' ELSE 'stale' END AS vertical_rate_fpm_status
-FROM carried WHERE category = 'position' AND time - CASE WHEN parity = 0 THEN odd_time ELSE even_time END <= 10""",
+        "attribute_states": RAW_CTES + "," + PAIR_CTES + f"""SELECT reception_id, {_attribute("callsign", 300, True)}, {_attribute("speed_knots", 30, True)},
+  {_attribute("vertical_rate_fpm", 30, False)} FROM judged WHERE outcome = 'decoded'""",
         "overview_summary": _with(OVERVIEW_CTE) + """SELECT scope_id,
   CAST(sum(observations) AS BIGINT) AS observations, CAST(sum(with_position) AS BIGINT) AS with_position,
   CAST(sum(stale_positions) AS BIGINT) AS stale_positions, max(distinct_aircraft) AS peak_window_aircraft,

@@ -254,6 +254,69 @@ def q_stream_windows(spark, sf_dir):
     return spark.read.parquet(root + "/lake/gold")
 
 
+def q_position_lineage(spark, sf_dir):
+    """JN-2 / JN-3 / SET-6: every position with the receptions that it rests on."""
+    from skylens.plans.preprocess import preprocess
+    from skylens.session import written
+    from skylens.sources.events import raw_receptions
+    raw = written(raw_receptions(table(spark, sf_dir, "events")).repartition("partition", "offset"), "raw")
+    made = preprocess(raw, lambda name, frame: written(frame, name))
+    return _sourced(made["positions"], made["transmissions"])
+
+
+def _sourced(positions: DataFrame, transmissions: DataFrame) -> DataFrame:
+    return (positions.join(transmissions.select("transmission_id", "reception_id"), "transmission_id")
+            .select("reception_id", "icao24", "event_time", "latitude", "longitude", F.size("source_reception_ids").alias("n_sources"),
+                    F.array_join("source_reception_ids", ",").alias("sources")))
+
+
+def arrivals(events: DataFrame) -> DataFrame:
+    """Raw Kafka rows of ``events`` with ``arrival`` 0, 1 or 2: the third of the table's time span that an
+    event lies in; every 101st event comes one arrival later."""
+    from skylens.operators.envelope import archive_rows, raw_kafka_rows
+    from skylens.sources.events import epoch_seconds_ntz, raw_receptions
+    timed = events.select("event_id", epoch_seconds_ntz("ts").alias("t"))
+    low, high = timed.agg(F.min("t"), F.max("t")).first()
+    low, high = (0, 0) if low is None else (low, high)
+    third = F.floor((F.col("t") - low) * 3 / (high - low + 1)).cast("int")
+    when = timed.select("event_id", (third + F.when((third < 2) & (F.col("event_id") % 101 == 0), 1).otherwise(0)).alias("arrival"))
+    rows = archive_rows(raw_kafka_rows(raw_receptions(events)))
+    return rows.join(when, F.floor(F.col("offset") / 4) == F.col("event_id")).drop("event_id")
+
+
+_EPOCHS: dict[tuple[str, str], str] = {}
+
+
+def _epochs(spark: SparkSession, sf_dir: str) -> str:
+    """STR-6..9: folder of the epochs that three arrivals made, each a run of one stream resumed from its
+    checkpoint by a new process's sink; the last completes the declared number of deliveries. Once a session."""
+    import uuid
+    from skylens.session import checkpoint_dir, written
+    from skylens.streaming.epochs import StreamingEpochs, start_epochs
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _EPOCHS:
+        root = f"{checkpoint_dir(spark).rstrip('/')}/epochs-{uuid.uuid4().hex}"
+        rows = written(arrivals(table(spark, sf_dir, "events")), "arrivals")
+        total = rows.count()
+        for n in range(3):
+            rows.where(F.col("arrival") == n).drop("arrival").write.mode("append").parquet(root + "/incoming")
+            source = spark.readStream.schema(rows.drop("arrival").schema).parquet(root + "/incoming")
+            start_epochs(source, StreamingEpochs(spark, root + "/out", "events", expected=total), root + "/checkpoint").awaitTermination()
+        _EPOCHS[key] = root + "/out"
+    return _EPOCHS[key]
+
+
+def q_epoch_positions(spark, sf_dir):
+    from skylens.streaming.epochs import epoch_union
+    out = _epochs(spark, sf_dir)
+    return _sourced(epoch_union(spark, out, "positions"), epoch_union(spark, out, "transmissions"))
+
+
+def q_epoch_late(spark, sf_dir):
+    from skylens.streaming.epochs import epoch_union
+    return epoch_union(spark, _epochs(spark, sf_dir), "late_deliveries").select("partition", "offset", F.col("envelope.event_time").alias("event_time"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "normalize_flags": q_normalize_flags,
@@ -278,6 +341,9 @@ def queries() -> dict[str, Query]:
         "frame_decode": q_frame_decode,
         "transmission_lineage": q_transmission_lineage,
         "cpr_positions": q_cpr_positions,
+        "position_lineage": q_position_lineage,
+        "epoch_positions": q_epoch_positions,
+        "epoch_late": q_epoch_late,
         "archive_report": q_archive_report,
         "snapshot_gaps": q_snapshot_gaps,
         "stream_windows": q_stream_windows,

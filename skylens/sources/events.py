@@ -143,57 +143,95 @@ def state_deliveries(events: DataFrame, topic: str = "states") -> DataFrame:
                     F.col("value").cast("binary").alias("value")))
 
 
-# Frame templates (public example frames; the address and parity are replaced per aircraft).
-# FIXED VALUES: even position, odd position, identification, velocity.
-FRAME_TEMPLATES = ("8D40621D58C382D690C8AC2863A7", "8D40621D58C386435CC412692AD6",
-                   "8D4840D6202CC371C32CE0576098", "8D485020994409940838175B284F")
 RAW_SOURCE = "events-raw"
 
 
+def _messages(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_me``, the 56-bit message of what each frame tells (``what``: even, odd, ident, velocity)."""
+    from skylens.sources import frames
+
+    e, u, what = F.col("event_id"), F.col("user_id"), F.col("what")
+    odd = (what == "odd").cast("int")
+    jump = F.when((F.col("slot") == 1) & (e % 19 == 0), 1700).when((F.col("slot") == 1) & (e % 23 == 0), 31000).otherwise(0)
+    placed = rows.withColumns({
+        "_odd": odd,
+        "_lat": ((u * 7919) % 150000 - 75000 + F.expr("_t div 60") % 100 + jump).cast("double") / 1000,
+        "_lon": ((u * 104729) % 360000 - 180000 + F.expr("_t div 30") % 100).cast("double") / 1000})
+    coded = frames.cpr_encoded(placed, "_lat", "_lon", "_odd")
+    altitude = (F.when(e % 40 == 39, F.lit(0).cast("long"))
+                .when(e % 2 == 0, frames.quarter_altitude((e * 7 + u) % 2000 + 1))
+                .otherwise(frames.hundreds_altitude((e + u) % 500, e % 40 != 19)))
+    number = F.lpad((e % 1000).cast("string"), 3, "0")
+    name = F.when(e % 17 == 0, F.lit("")).otherwise(F.concat(F.lit("K"), F.chr(65 + u % 26), number))
+    told = frames.velocity(F.when(e % 7 == 0, 3).when(e % 5 == 0, 2).otherwise(1), F.expr("event_id div 2") % 2, (u * 3 + e) % 1024,
+                           F.expr("event_id div 4") % 2, (u + e * 5) % 1024, u % 2, e % 512)
+    me = (F.when(what == "ident", frames.identification(name)).when(what == "velocity", told)
+          .otherwise(frames.airborne_position(9 + e % 10, altitude, F.col("_odd"), F.col("cpr_lat"), F.col("cpr_lon"))))
+    other = F.lit(28 << 51)  # type code 28: aircraft status
+    return coded.withColumn("_me", F.when((F.col("slot") != 1) & (e % 71 == 0), other).otherwise(me)).drop("_odd", "_lat", "_lon", "cpr_lat", "cpr_lon")
+
+
 def raw_receptions(events: DataFrame) -> DataFrame:
     """Bronze-shaped raw receptions derived from ``events`` (two frames per event).
 
     kind = e % 3: 0 -> even then odd position, 1 -> identification then velocity,
     2 -> odd then even; frames 0.37 s apart, first at t + (e % 1000) / 1000.  Address =
-    hex(u + 0x400000).  The first frame is also heard by a second receiver 2 ms later when
-    e % 4 = 0, and again by the same receiver 4 ms later when e % 16 = 0.  Defects on the
-    first frame: e % 31 = 0 corrupted last digit, e % 37 = 0 not hex, e % 41 = 0 receiver
-    latitude 91.  A user_id whose address needs more than 24 bits gets the text that is no
-    frame, so no two aircraft share an address.
+    hex(u + 0x400000).  What the frames tell follows from e, u and t:
+      position      latitude ((u * 7919) % 150000 - 75000 + t div 60 % 100) / 1000 (the second frame jumps
+                    by 1.7 degrees where e % 19 = 0, else by 31 where e % 23 = 0), longitude
+                    ((u * 104729) % 360000 - 180000 + t div 30 % 100) / 1000, type code 9 + e % 10
+      altitude      even e: ((e * 7 + u) % 2000 + 1) * 25 - 1000; odd e: (e + u) % 500 * 100 - 1200 in the
+                    100 ft code; none where e % 40 = 19 (hundreds that don't occur) or 39 (empty field)
+      callsign      K, a letter (65 + u % 26), e % 1000 in three digits; blank where e % 17 = 0
+      velocity      subtype 3 where e % 7 = 0, 2 where e % 5 = 0, else 1; raw east-west speed (u * 3 + e) % 1024
+                    (west where e div 2 is odd), north-south (u + e * 5) % 1024 (south where e div 4
+                    is odd), vertical rate e % 512 (down where u is odd)
+    The first frame is also heard by a second receiver 2 ms later when e % 4 = 0, and again by the same
+    receiver 4 ms later when e % 16 = 0.  Defects on the first frame: e % 31 = 0 corrupted last digit,
+    e % 67 = 0 zeroed parity of an SBS-3 sensor, e % 61 = 0 address ffffff, e % 71 = 0 type code 28,
+    e % 59 = 0 downlink format 18, e % 73 = 0 a short all-call reply, e % 53 = 0 cut in half, e % 37 = 0
+    not hex, e % 41 = 0 receiver latitude 91, e % 47 = 0 metadata a list, e % 43 = 0 time 0.
+    A user_id whose address needs more than 24 bits gets the text that is no frame, so no two aircraft
+    share an address.
     """
-    from skylens.functions.modes import with_parity
+    from skylens.sources.frames import extended_squitter, frame_text
 
     e, u = F.col("event_id"), F.col("user_id")
     base = events.select("event_id", "user_id", epoch_seconds_ntz("ts").alias("_t"))
     kind = e % 3
-    first_tpl = F.when(kind == 0, F.lit(FRAME_TEMPLATES[0])).when(kind == 1, F.lit(FRAME_TEMPLATES[2])) \
-        .otherwise(F.lit(FRAME_TEMPLATES[1]))
-    second_tpl = F.when(kind == 0, F.lit(FRAME_TEMPLATES[1])).when(kind == 1, F.lit(FRAME_TEMPLATES[3])) \
-        .otherwise(F.lit(FRAME_TEMPLATES[0]))
-    address = padded_hex(u + 0x400000)
+    one = F.when(kind == 0, "even").when(kind == 1, "ident").otherwise("odd")
+    two = F.when(kind == 0, "odd").when(kind == 1, "velocity").otherwise("even")
     t1 = F.col("_t").cast("double") + (e % 1000).cast("double") / 1000
     receiver = (u % 7 + 1).cast("int")
     other = ((u + 1) % 7 + 1).cast("int")
-    slots = F.array(
-        F.struct(F.lit(0).alias("slot"), first_tpl.alias("tpl"), t1.alias("time"), receiver.alias("rx")),
-        F.struct(F.lit(1).alias("slot"), second_tpl.alias("tpl"), (t1 + 0.37).alias("time"), receiver.alias("rx")),
-        F.struct(F.lit(2).alias("slot"), first_tpl.alias("tpl"), (t1 + 0.002).alias("time"), other.alias("rx")),
-        F.struct(F.lit(3).alias("slot"), first_tpl.alias("tpl"), (t1 + 0.004).alias("time"), receiver.alias("rx")))
-    rows = base.select("event_id", "user_id", address.alias("_addr"), F.inline(slots))
+    slots = F.array(*[F.struct(F.lit(slot).alias("slot"), what.alias("what"), (t1 + later).alias("time"), rx.alias("rx"))
+                      for slot, what, later, rx in ((0, one, 0.0, receiver), (1, two, 0.37, receiver), (2, one, 0.002, other), (3, one, 0.004, receiver))])
+    rows = base.select("event_id", "user_id", "_t", F.inline(slots))
     rows = rows.where((F.col("slot") < 2) | ((F.col("slot") == 2) & (e % 4 == 0)) | ((F.col("slot") == 3) & (e % 16 == 0)))
-    frame = with_parity(F.col("tpl"), F.col("_addr"))
     first = F.col("slot") != 1
-    last = F.substring(frame, 28, 1)
-    frame = (F.when((first & (e % 37 == 0)) | (F.length("_addr") > 6), F.lit("not-a-frame"))
-             .when(first & (e % 31 == 0), F.concat(F.substring(frame, 1, 27),
-                                                    F.when(last == "0", F.lit("1")).otherwise(F.lit("0"))))
-             .otherwise(frame))
-    sensor_lat = F.when(first & (e % 41 == 0), F.lit("91")).otherwise(F.lit("10.5"))
+    defect = lambda n: first & (e % n == 0)
+    address = F.when(defect(61), F.lit(0xFFFFFF)).otherwise((u + 0x400000).bitwiseAND(F.lit(0xFFFFFF)))
+    rows = _messages(rows)
+    upper, lower = extended_squitter(F.when(defect(59), 0x95).otherwise(0x8D), address, F.col("_me"))
+    rows = rows.withColumns({"_upper": upper, "_lower": lower}).withColumn("_text", frame_text(F.col("_upper"), F.col("_lower")))
+    text = F.col("_text")
+    digit = F.when(F.substring(text, 28, 1) == "0", F.lit("1")).otherwise(F.lit("0"))
+    reply = F.concat(F.lit("5D"), F.substring(text, 3, 6), F.lit("000000"))
+    frame = (F.when(defect(37) | (u + 0x400000 > 0xFFFFFF), F.lit("not-a-frame"))
+             .when(defect(73), reply)
+             .when(defect(53), F.substring(text, 1, 14))
+             .when(defect(67), F.concat(F.substring(text, 1, 22), F.lit("000000")))
+             .when(defect(31), F.concat(F.substring(text, 1, 27), digit))
+             .otherwise(text))
+    sensor_lat = F.when(defect(41), F.lit("91")).otherwise(F.lit("10.5"))
+    sensor = F.when(defect(67), F.lit("SBS-3")).otherwise(F.lit("dump1090"))
     index = e * 4 + F.col("slot")
     source_sha = F.sha2(F.lit(RAW_SOURCE), 256)
     rows = rows.withColumn("_msg", frame)
-    meta = F.concat(F.lit('{"rawMessage":"'), F.col("_msg"), F.lit('","sensorSerialNumber":'), F.col("rx").cast("string"),
-                    F.lit(',"sensorLatitude":'), sensor_lat, F.lit(',"sensorType":"dump1090"}'))
+    told = F.concat(F.lit('{"rawMessage":"'), F.col("_msg"), F.lit('","sensorSerialNumber":'), F.col("rx").cast("string"),
+                    F.lit(',"sensorLatitude":'), sensor_lat, F.lit(',"sensorType":"'), sensor, F.lit('"}'))
+    meta = F.when(defect(47), F.lit("[]")).otherwise(told)
+    time = F.when(defect(43), F.lit(0.0)).otherwise(F.col("time"))
     envelope = F.struct(
         F.lit(1).alias("schema_version"), F.lit("raw_reception").alias("record_type"), F.lit("replay").alias("mode"),
         F.lit("events").alias("run_id"), F.lit(RAW_SOURCE).alias("dataset_id"),
@@ -201,7 +239,7 @@ def raw_receptions(events: DataFrame) -> DataFrame:
         F.concat(F.lit("delivery-"), index.cast("string")).alias("delivery_id"),
         source_sha.alias("source_sha256"), F.lit("testdata/events.parquet").alias("source_url"),
         index.alias("record_index"), F.col("_msg").alias("raw_message"), F.col("rx").alias("receiver_id"),
-        F.col("time").alias("source_reception_time"), F.col("time").alias("event_time"),
+        time.alias("source_reception_time"), time.alias("event_time"),
         F.lit("timeAtServer").alias("event_time_basis"), F.col("time").alias("replay_released_at"),
         meta.alias("source_record_json"), F.sha2(meta, 256).alias("source_payload_sha256"))
     return rows.select(F.lit("raw").alias("topic"), (e % 4).cast("int").alias("partition"),
