@@ -13,7 +13,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 SPACES = "[\\x20\\x09-\\x0D]+"
 ROW = "_row"
@@ -62,16 +62,30 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Plans of these nodes alone give every row the same place at every reading, whatever columns are read.
-_STEADY = {"Relation", "LocalRelation", "LogicalRDD", "Project", "Filter", "Union"}
+#: Plans of these nodes alone read stored rows one by one, so a row has a file and a place in it.
+_STORED = {"Relation", "Project", "Filter"}
 
 
 def steady(df: DataFrame) -> DataFrame:
-    """``df`` itself if it is read from stored rows one by one; else (a shuffle may deal rows out
+    """``df`` itself if it is read from the files of one table, row by row; else (a shuffle may deal rows out
     differently each time) a written copy."""
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    nodes = {m.group(1) for m in re.finditer(r"^[ :+|-]*(\w+)", plan, re.M)}
-    return df if nodes <= _STEADY else written(df, "steady")
+    nodes = re.findall(r"^[ :+|-]*(\w+)", plan, re.M)
+    return df if set(nodes) <= _STORED and nodes.count("Relation") == 1 else written(df, "steady")
+
+
+def with_rows(df: DataFrame) -> DataFrame:
+    """``df`` and ``_row``, the number of a row's file (in the order of their paths) and its place in it.
+
+    Neither depends on how files are split over tasks, so the key is the same at every reading, also when
+    executors come or go between two. Files are numbered by a table of one row a file.
+    """
+    df = steady(df)
+    names = df.select(F.col("_metadata.file_path").alias("_path")).distinct()
+    files = names.select("_path", F.row_number().over(Window.orderBy("_path")).cast("long").alias("_file"))
+    files = written(files, "files")
+    placed = df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_place")).join(F.broadcast(files), "_path")
+    return placed.withColumn(ROW, F.shiftleft("_file", 40).bitwiseOR(F.col("_place"))).drop("_path", "_place", "_file")
 
 
 def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -80,9 +94,8 @@ def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     Other columns are left out here, so columns with clashing names can't reach an operator.
     """
     ship(df.sparkSession)
-    df = steady(df.select(F.col(id_col).alias(id_col), F.col(text_col).alias(text_col)))
-    return df.select(F.monotonically_increasing_id().alias(ROW), F.col(id_col).cast("long").alias("doc_id"),
-                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = with_rows(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    return rows.select(ROW, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
 def one_space(text: Column) -> Column:

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from skylens.llm.common import ROW, connected_components, first_row, steady, written
+from skylens.llm.common import ROW, connected_components, first_row, with_rows, written
 
 WINDOW, BLOCK, MOST_BITS, MISS = 64, 2048, 31, 1e-3
 
@@ -182,8 +182,8 @@ def embedding_dedup(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     reachable; with repeated or null ids it is the smallest id there is, and ``first_of_group``
     marks one row. Other columns are ignored; an empty table gives no rows.
     """
-    df = steady(df.select(F.col(id_col).alias(id_col), F.col(vector_col).alias(vector_col)))
-    rows = df.select(F.monotonically_increasing_id().alias(ROW), F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
+    df = with_rows(df.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("v")))
+    rows = df.select(ROW, F.col("vec_id").cast("long").alias("vec_id"), F.col("v").cast("array<double>").alias("v"))
     named = written(rows.mapInArrow(_digests, f"{ROW} long, vec_id long, digest binary"), "named")
     classes = written(named.where("digest is not null").groupBy("digest").agg(F.min(first_row("vec_id")).alias("rep"), F.count(F.lit(1)).alias("size")), "classes")
     reps = classes.select("digest", F.col("rep.row").alias(ROW), F.col("rep.doc_id").alias("rep_id"), "size")

@@ -74,11 +74,12 @@ def _named(items: DataFrame, level: int) -> DataFrame:
     sorted_items = (items.withColumn("h", F.xxhash64("key")).repartitionByRange("h", ROW, "idx")
                     .sortWithinPartitions("h", "key"))
     out = written(sorted_items.mapInArrow(_name_runs, _NAMED), f"names{level}")
-    # a key whose rows lie in several tasks takes its smallest name; two rows or so a task, so small
+    # a key whose rows lie in several tasks takes its smallest name; two rows or so a task, joined by
+    # shuffle where the tasks are so many that these pass Spark's own bound for broadcasts
     edges = out.where(F.col("edge_h").isNotNull()).select("name", "edge_h", "edge_key")
     least = edges.groupBy("edge_h", "edge_key").agg(F.min("name").alias("least"))
-    renamed = edges.join(F.broadcast(least), ["edge_h", "edge_key"]).where("name <> least").select("name", "least")
-    return (out.where(F.col("edge_h").isNull()).join(F.broadcast(renamed), "name", "left")
+    renamed = written(edges.join(least, ["edge_h", "edge_key"]).where("name <> least").select("name", "least"), f"renamed{level}")
+    return (out.where(F.col("edge_h").isNull()).join(renamed, "name", "left")
             .select(ROW, "doc_id", "sha", "idx", "n", F.coalesce("least", "name").alias("name")))
 
 

@@ -152,3 +152,24 @@ def test_rows_keep_their_keys_however_they_are_dealt(spark):
     own = keyed(rows)
     assert own.select("_row", "doc_id").exceptAll(own.where("text <> '3'").select("_row", "doc_id")).count() == 1
     assert {r._row for r in own.select("_row").collect()} == {r._row for r in own.select("_row", "text").collect()}
+
+
+def test_row_keys_hold_while_cores_come_and_go(spark, tmp_path):
+    """Rows of nine files, read with another number of cores between planning and running."""
+    from skylens.llm.common import ROW, keyed, with_rows
+    path = str(tmp_path / "documents.parquet")
+    spark.range(4000).selectExpr("id AS doc_id", "concat('text ', id % 1500) AS text").repartition(9).write.parquet(path)
+    setting = "spark.sql.leafNodeDefaultParallelism"
+    docs = spark.read.parquet(path)
+    try:
+        spark.conf.set(setting, "4")
+        one = {r.doc_id: r[ROW] for r in keyed(docs).collect()}
+        dedup = exact_dedup(docs)
+        spark.conf.set(setting, "2")
+        assert {r.doc_id: r[ROW] for r in keyed(docs).collect()} == one == {r.doc_id: r[ROW] for r in with_rows(docs).collect()}
+        assert len(set(one.values())) == 4000
+        assert {r.doc_id: r.keep_id for r in dedup.collect()} == {i: i % 1500 for i in range(4000)}
+    finally:
+        spark.conf.unset(setting)
+    shuffled = docs.orderBy(F.rand()).where("doc_id % 2 = 0")  # not read row by row: written first
+    assert keyed(shuffled).select(ROW).distinct().count() == 2000
