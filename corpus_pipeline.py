@@ -18,7 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skylens.llm.common import ROW, steady, table, written
+from skylens.llm.common import ROW, steady, table, with_rows, written
 from skylens.llm.exact_dedup import exact_dedup
 from skylens.llm.minhash import near_dedup
 from skylens.llm.packing import pack_documents
@@ -33,7 +33,7 @@ ORACLE_SQL = None
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs`` but for the rows whose row key is in ``dropped``."""
-    return docs.withColumn(ROW, F.monotonically_increasing_id()).join(dropped.select(ROW), ROW, "left_anti").drop(ROW)
+    return with_rows(docs).join(dropped.select(ROW), ROW, "left_anti").drop(ROW)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = steady(docs)
     spans = written(scan(docs)[0].where("size(spans) > 0").select(ROW, "spans"), "spans")
-    joined = docs.withColumn(ROW, F.monotonically_increasing_id()).join(spans, ROW, "left")
+    joined = with_rows(docs).join(spans, ROW, "left")
     text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("spans")))
     columns = [F.col(c) for c in docs.columns if c not in ("text", "n_chars")]
     out = joined.select(*columns, text.alias("text"), *([F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length(text)).cast("long").alias("n_chars")]
