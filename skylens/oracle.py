@@ -360,7 +360,22 @@ def oracle_sql() -> dict[str, str]:
   SELECT s.* FROM checked c JOIN silver s ON s.e = c.e WHERE c.error IS NULL AND c."offset" % 2 = 0
     AND s.has_position AND NOT list_contains(s.quality_flags, 'invalid_icao24')
     AND s.latitude BETWEEN {LAMIN} AND {LAMAX} AND s.longitude BETWEEN {LOMIN} AND {LOMAX})""")
+    # an accepted delivery is late if its time is 10 minutes or more before the newest accepted one of earlier arrivals
+    resumed = _with(*DELIVERY_CTES, """arriving AS (
+  SELECT c.*, s.* EXCLUDE (e), (s.t - lo) * 3 // (hi - lo + 1) + CASE WHEN c.e % 101 = 0 AND (s.t - lo) * 3 // (hi - lo + 1) < 2 THEN 1 ELSE 0 END AS arrival
+  FROM checked c JOIN (SELECT silver.*, ev.t FROM silver JOIN ev ON ev.e = silver.e) s ON s.e = c.e, (SELECT min(t) AS lo, max(t) AS hi FROM ev))""",
+                    """newest AS (SELECT arrival + 1 AS arrival, max(max(event_time)) OVER (ORDER BY arrival) AS newest FROM arriving WHERE error IS NULL GROUP BY arrival)""",
+                    """judged AS (SELECT a.*, coalesce(a.event_time <= newest - 600, false) AS late FROM arriving a LEFT JOIN newest USING (arrival))""",
+                    """kept AS (SELECT * FROM judged WHERE error IS NULL AND NOT late AND "offset" % 2 = 0)""")
+    inside = f"""has_position AND NOT list_contains(quality_flags, 'invalid_icao24') AND latitude BETWEEN {LAMIN} AND {LAMAX} AND longitude BETWEEN {LOMIN} AND {LOMAX}"""
     return {
+        "stream_resumed": resumed + f"""SELECT * FROM (
+  SELECT '{BOX_SCOPE}' AS scope_id, (event_time // 300) * 300 AS window_start, (event_time // 300) * 300 + 300 AS window_end,
+    CAST(floor(latitude) AS BIGINT) AS cell_lat_min, CAST(floor(longitude) AS BIGINT) AS cell_lon_min, CAST(count(DISTINCT icao24) AS INTEGER) AS distinct_aircraft
+  FROM kept WHERE {inside} GROUP BY 1, 2, 3, 4, 5)
+WHERE window_end <= (SELECT max(event_time) - 600 FROM kept WHERE {inside})""",
+        "stream_progress": resumed + """SELECT 'archive' AS stage, count(*) AS input_rows, 0::BIGINT AS late_rows, 3::BIGINT AS runs FROM judged
+UNION ALL SELECT 'dedup', count(*), count(*) FILTER (error IS NULL AND late), 3 FROM judged UNION ALL SELECT 'windows', count(*), 0, 3 FROM kept""",
         "stream_windows": stream_gold + f"""SELECT * FROM (
   SELECT '{BOX_SCOPE}' AS scope_id, (event_time // 300) * 300 AS window_start,
     (event_time // 300) * 300 + 300 AS window_end, CAST(floor(latitude) AS BIGINT) AS cell_lat_min,

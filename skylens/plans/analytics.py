@@ -14,18 +14,20 @@ from __future__ import annotations
 import json
 import math
 import time
-from dataclasses import asdict, dataclass, field
+from collections.abc import Callable
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from skylens.functions.columns import epoch_date
 from skylens.functions.constants import BASELINE_SECONDS, GAP_SECONDS, MAX_SPEED_MPS, WINDOW_SECONDS
 from skylens.operators.density import density_statistics
-from skylens.operators.movement import movement_segments
-from skylens.operators.quality import quality_counts, quality_enriched, quality_long
+from skylens.operators.movement import movement_segments, observation_gaps
+from skylens.operators.quality import quality_counts, quality_enriched, quality_long, quality_wide
+from skylens.operators.serving import TimeRange
 from skylens.plans import fs
+from skylens.plans.publish import Version
 
-TABLES = ("movement", "gaps", "density", "quality", "quality_wide", "quality_long")
 LIMITATIONS = ["a segment never looks beyond the first and last position of its run",
                "a cell without aircraft has no row, so baselines skip it",
                "a track is what was received; where a flight began or ended isn't known"]
@@ -33,22 +35,19 @@ LIMITATIONS = ["a segment never looks beyond the first and last position of its
 
 @dataclass(frozen=True)
 class RunConfig:
-    """FLT-6: aligned range and positive thresholds, validated on construction."""
+    """FLT-6: where a run goes, the windows it covers and its thresholds; wrong ones are refused at once."""
     output: str
     start: int
     end: int
     gap_seconds: int = GAP_SECONDS
     max_speed_mps: float = MAX_SPEED_MPS
     baseline_seconds: int = BASELINE_SECONDS
-    extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
-        if self.start < 0 or self.end <= self.start or self.start % WINDOW_SECONDS or self.end % WINDOW_SECONDS:
-            raise ValueError("start/end must form a positive range aligned to 5 minutes")
-        if min(self.gap_seconds, self.baseline_seconds) <= 0:
-            raise ValueError("Thresholds must be positive")
-        if not math.isfinite(self.max_speed_mps) or self.max_speed_mps <= 0:
-            raise ValueError("max-speed-mps must be finite and positive")
+        TimeRange(self.start, self.end)
+        for name in ("gap_seconds", "max_speed_mps", "baseline_seconds"):
+            if not 0 < getattr(self, name) < math.inf:
+                raise ValueError(f"{name} is {getattr(self, name)}, but has to be above 0 and finite")
 
 
 def in_range(df: DataFrame, column: str, start: int, end: int) -> DataFrame:
@@ -70,48 +69,65 @@ def clustered_by_date(frame: DataFrame, time_column: str) -> DataFrame:
     return frame.withColumn("event_date", epoch_date(time_column)).hint("rebalance", "event_date")
 
 
-def _write(frame: DataFrame, path: str, time_column: str) -> None:
-    clustered_by_date(frame, time_column).write.mode("errorifexists").partitionBy("event_date").parquet(path)
+class AnalyticsRun(Version):
+    """SNK-6: a version whose tables are laid out by date and keep their plans and times."""
+
+    def __init__(self, spark: SparkSession, config: RunConfig, silver: DataFrame, gold: DataFrame):
+        super().__init__(spark, config.output)
+        self.config = config
+        self.silver = in_range(silver, "snapshot_time", config.start, config.end)
+        # windows before the range only serve as history
+        self.gold = in_range(gold, "window_start", config.start - config.baseline_seconds, config.end)
+        self.seconds: dict[str, float] = {}
+
+    def note(self, name: str, document) -> None:
+        text = document if isinstance(document, str) else json.dumps(document, indent=2, sort_keys=True)
+        fs.write_text(self.spark, f"{self.output}/{name}", text)
+
+    def add(self, name: str, frame: DataFrame) -> DataFrame:
+        """Written by date of its rows' time; its rows are counted on the way."""
+        begun, seen, path = time.perf_counter(), Observation(), f"{self.output}/{name}"
+        dated = clustered_by_date(frame.observe(seen, F.count(F.lit(1)).alias("rows")), TIME_OF[name])
+        dated.write.partitionBy("event_date").parquet(path)
+        self.note(f"{name}-plan.txt", frame._jdf.queryExecution().executedPlan().toString())
+        self.tables[name] = {"path": path, "row_count": seen.get["rows"]}
+        self.seconds[name] = round(time.perf_counter() - begun, 3)
+        return self.read(name)
+
+    def stored(self, name: str) -> DataFrame:
+        return self.read(name).drop("event_date")
+
+    def report(self) -> dict:
+        return {"source_observations": self.silver.count(), "counts": {name: t["row_count"] for name, t in self.tables.items()},
+                "seconds": self.seconds, "time_basis": "rows by snapshot time, segments by position time", "limitations": LIMITATIONS}
+
+
+#: The tables of a run in the order in which they rest on each other, and the column that dates their rows.
+STEPS: tuple[tuple[str, str, Callable[[AnalyticsRun], DataFrame]], ...] = (
+    ("movement", "snapshot_time", lambda run: movement_segments(run.silver, run.config.gap_seconds, run.config.max_speed_mps)),
+    ("gaps", "snapshot_time", lambda run: observation_gaps(run.stored("movement"))),
+    ("density", "window_start", lambda run: density_statistics(run.gold, run.config.baseline_seconds).where(F.col("window_start") >= run.config.start)),
+    ("quality", "window_start", lambda run: quality_enriched(quality_counts(run.silver))),
+    ("quality_wide", "window_start", lambda run: quality_wide(run.stored("quality").select("scope_id", "window_start", "quality_status", "count"))),
+    ("quality_long", "window_start", lambda run: quality_long(run.stored("quality_wide"))),
+)
+TABLES = tuple(name for name, _, _ in STEPS)
+TIME_OF = {name: column for name, column, _ in STEPS}
 
 
 def run_analytics(spark: SparkSession, silver: DataFrame, gold: DataFrame, config: RunConfig) -> dict:
-    """Write one immutable analytics run; returns the report (also written as report.json)."""
-    output = config.output.rstrip("/")
-    if fs.exists(spark, output):
-        raise ValueError("Output already exists; choose a new run directory")
-    fs.mkdirs(spark, output)
-    fs.write_text(spark, output + "/run-config.json", json.dumps(asdict(config), sort_keys=True))
-    silver = in_range(silver, "snapshot_time", config.start, config.end)
-    if silver.isEmpty():
-        raise ValueError("No Silver observations in the selected interval")
-    gold = in_range(gold, "window_start", config.start - config.baseline_seconds, config.end)
-    timings, plans, rows = {}, {}, {}
-
-    def publish(name: str, frame: DataFrame, time_column: str) -> DataFrame:
-        started = time.perf_counter()
-        seen = Observation()
-        _write(frame.observe(seen, F.count(F.lit(1)).alias("rows")), f"{output}/{name}", time_column)
-        rows[name] = seen.get["rows"]
-        timings[name] = round(time.perf_counter() - started, 3)
-        plans[name] = frame._jdf.queryExecution().executedPlan().toString()
-        fs.write_text(spark, f"{output}/{name}-plan.txt", plans[name])
-        return spark.read.parquet(f"{output}/{name}")
-
-    movement = publish("movement", movement_segments(silver, config.gap_seconds, config.max_speed_mps),
-                       "snapshot_time")
-    publish("gaps", movement.where(F.col("observation_gap")).drop("event_date"), "snapshot_time")
-    density = density_statistics(gold, config.baseline_seconds).where(F.col("window_start") >= config.start)
-    publish("density", density, "window_start")
-    quality = publish("quality", quality_enriched(quality_counts(silver)), "window_start")
-    counts = quality.select("scope_id", "window_start", "quality_status", "count")
-    from skylens.operators.quality import quality_wide
-    wide = publish("quality_wide", quality_wide(counts), "window_start")
-    publish("quality_long", quality_long(wide.drop("event_date")), "window_start")
-    row_counts = {name: rows[name] for name in TABLES}
-    report = {"source_observations": silver.count(), "counts": row_counts, "seconds": timings,
-              "time_basis": "rows by snapshot time, segments by position time", "limitations": LIMITATIONS}
-    fs.write_text(spark, output + "/report.json", json.dumps(report, indent=2))
-    fs.write_text(spark, output + "/_SUCCESS", "complete\n")
+    """PIPE-7: one immutable run of six tables; returns its report, which is kept with it.
+
+    An output that exists is refused, as is a range without observations; a run that fails has no marker.
+    """
+    with AnalyticsRun(spark, config, silver, gold) as run:
+        run.note("run-config.json", asdict(config))
+        if run.silver.isEmpty():
+            raise ValueError(f"no observation lies in [{config.start}, {config.end})")
+        for name, _, made in STEPS:
+            run.add(name, made(run))
+        report = run.report()
+        run.note("report.json", report)
     return report
 
 

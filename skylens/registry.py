@@ -254,6 +254,41 @@ def q_stream_windows(spark, sf_dir):
     return spark.read.parquet(root + "/lake/gold")
 
 
+_RESUMED: dict[tuple[str, str], str] = {}
+
+
+def _resumed(spark: SparkSession, sf_dir: str) -> str:
+    """SRC-1 / STR-4..6: folder of a chain that ran three times, each time stopped and resumed from its
+    checkpoints after a third of the time span had arrived (every 101st event a third later, so mostly
+    behind the watermark), with two files a batch at most. Once a session."""
+    import uuid
+    from skylens.session import checkpoint_dir, written
+    from skylens.sources.events import state_deliveries
+    from skylens.streaming.states import run_chain, stream_files
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RESUMED:
+        root = f"{checkpoint_dir(spark).rstrip('/')}/resumed-{uuid.uuid4().hex}"
+        events = table(spark, sf_dir, "events")
+        deliveries = state_deliveries(events).join(arrival_of(events), F.floor(F.col("offset") / 2) == F.col("event_id")).drop("event_id")
+        deliveries = written(deliveries, "arriving")
+        for n in range(3):
+            source = stream_files(spark, deliveries.where(F.col("arrival") == n).drop("arrival").repartition(4), root + "/incoming", max_files=2)
+            run_chain(spark, root + "/lake", source)
+        _RESUMED[key] = root + "/lake"
+    return _RESUMED[key]
+
+
+def q_stream_resumed(spark, sf_dir):
+    return spark.read.parquet(_resumed(spark, sf_dir) + "/gold")
+
+
+def q_stream_progress(spark, sf_dir):
+    """STR-11: rows that each stage took in and dropped as late, from the progress of all its batches."""
+    from skylens.streaming.progress import batches
+    log = batches(spark, _resumed(spark, sf_dir) + "/progress")
+    return log.groupBy("stage").agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"), F.count_distinct("run_id").alias("runs"))
+
+
 def q_position_lineage(spark, sf_dir):
     """JN-2 / JN-3 / SET-6: every position with the receptions that it rests on."""
     from skylens.plans.preprocess import preprocess
@@ -270,18 +305,23 @@ def _sourced(positions: DataFrame, transmissions: DataFrame) -> DataFrame:
                     F.array_join("source_reception_ids", ",").alias("sources")))
 
 
-def arrivals(events: DataFrame) -> DataFrame:
-    """Raw Kafka rows of ``events`` with ``arrival`` 0, 1 or 2: the third of the table's time span that an
-    event lies in; every 101st event comes one arrival later."""
-    from skylens.operators.envelope import archive_rows, raw_kafka_rows
-    from skylens.sources.events import epoch_seconds_ntz, raw_receptions
+def arrival_of(events: DataFrame) -> DataFrame:
+    """(event_id, arrival): 0, 1 or 2, the third of the table's time span that an event lies in; every 101st
+    event comes one arrival later."""
+    from skylens.sources.events import epoch_seconds_ntz
     timed = events.select("event_id", epoch_seconds_ntz("ts").alias("t"))
     low, high = timed.agg(F.min("t"), F.max("t")).first()
     low, high = (0, 0) if low is None else (low, high)
     third = F.floor((F.col("t") - low) * 3 / (high - low + 1)).cast("int")
-    when = timed.select("event_id", (third + F.when((third < 2) & (F.col("event_id") % 101 == 0), 1).otherwise(0)).alias("arrival"))
+    return timed.select("event_id", (third + F.when((third < 2) & (F.col("event_id") % 101 == 0), 1).otherwise(0)).alias("arrival"))
+
+
+def arrivals(events: DataFrame) -> DataFrame:
+    """Raw Kafka rows of ``events`` with the ``arrival`` of their event."""
+    from skylens.operators.envelope import archive_rows, raw_kafka_rows
+    from skylens.sources.events import raw_receptions
     rows = archive_rows(raw_kafka_rows(raw_receptions(events)))
-    return rows.join(when, F.floor(F.col("offset") / 4) == F.col("event_id")).drop("event_id")
+    return rows.join(arrival_of(events), F.floor(F.col("offset") / 4) == F.col("event_id")).drop("event_id")
 
 
 _EPOCHS: dict[tuple[str, str], str] = {}
@@ -347,4 +387,6 @@ def queries() -> dict[str, Query]:
         "archive_report": q_archive_report,
         "snapshot_gaps": q_snapshot_gaps,
         "stream_windows": q_stream_windows,
+        "stream_resumed": q_stream_resumed,
+        "stream_progress": q_stream_progress,
     }

@@ -12,8 +12,8 @@ stay in Bronze) and windows are emitted once the watermark passes their end.
 
 from __future__ import annotations
 
-import json
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,6 +22,7 @@ from skylens.operators.cells import GOLD_COLUMNS, cell_of, in_box
 from skylens.operators.envelope import archive_frame, bronze_observations
 from skylens.plans import fs
 from skylens.plans.publish import verify_contract
+from skylens.streaming.progress import BatchLog
 
 KAFKA_SCHEMA = "topic string, partition int, offset long, timestamp timestamp, key binary, value binary"
 WATERMARKS = ("5 minutes", "10 minutes", "30 minutes")
@@ -102,13 +103,17 @@ def start_stage(spark: SparkSession, stage: str, root: str, *, source: DataFrame
 
 def run_chain(spark: SparkSession, root: str, source: DataFrame, *, box=DEFAULT_BOX, watermark: str = "10 minutes",
               topic: str = "states") -> list[dict]:
-    """STR-4: the three stages one after another with availableNow; returns their last progress."""
-    reports = []
-    for stage in STAGES:
-        query = start_stage(spark, stage, root, source=source, box=box, watermark=watermark, topic=topic, available_now=True)
-        query.awaitTermination()
-        reports.append(progress_summary(stage, query))
-    return reports
+    """STR-4: the three stages one after another with availableNow; returns the progress of all their batches.
+
+    Called again on the same root it resumes each stage from its checkpoint. Progress is kept under
+    ``root/progress`` (``streaming.progress.batches`` reads it).
+    """
+    with BatchLog(spark, f"{root.rstrip('/')}/progress") as log:
+        for stage in STAGES:
+            query = start_stage(spark, stage, root, source=source, box=box, watermark=watermark, topic=topic, available_now=True)
+            query.awaitTermination()
+            log.after(query)
+    return log.rows
 
 
 def start_concurrent(spark: SparkSession, root: str, source: DataFrame, *, box=DEFAULT_BOX, watermark: str = "10 minutes",
@@ -118,21 +123,38 @@ def start_concurrent(spark: SparkSession, root: str, source: DataFrame, *, box=D
                         trigger_seconds=trigger_seconds) for stage in STAGES]
 
 
-def progress_summary(stage: str, query) -> dict:
-    """STR-11: batch id, input rows, event-time watermark and state metrics of the last batch."""
-    progress = query.lastProgress or {}
-    return {"stage": stage, "batch_id": progress.get("batchId"), "input_rows": progress.get("numInputRows"),
-            "event_time": progress.get("eventTime", {}), "state": progress.get("stateOperators", [])}
+def stream_files(spark: SparkSession, batch: DataFrame, folder: str, max_files: int | None = None) -> DataFrame:
+    """Write Kafka-shaped rows as files of ``folder`` (more may lie there) and return a streaming source over
+    them (tests and replays) that takes at most ``max_files`` files a batch."""
+    batch.write.mode("append").parquet(folder)
+    reader = spark.readStream.schema(KAFKA_SCHEMA)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(folder)
+
+
+@dataclass(frozen=True)
+class KafkaSource:
+    """SRC-1: where a stream of deliveries comes from, from which offsets on, what a gap in the retained
+    offsets means, and how many deliveries a batch takes."""
 
+    servers: str
+    topic: str = "states"
+    starting: str = "earliest"
+    gaps_fail: bool = True
+    max_offsets: int | None = 10_000
 
-def stream_files(spark: SparkSession, batch: DataFrame, folder: str) -> DataFrame:
-    """Write Kafka-shaped rows as files and return a streaming source over them (tests and replays)."""
-    batch.write.mode("errorifexists").parquet(folder)
-    return spark.readStream.schema(KAFKA_SCHEMA).parquet(folder)
+    def __post_init__(self) -> None:
+        if self.starting not in ("earliest", "latest") and not self.starting.lstrip().startswith("{"):
+            raise ValueError("starting offsets are earliest, latest or a JSON object by topic and partition")
+        if self.max_offsets is not None and self.max_offsets < 1:
+            raise ValueError("a batch takes at least one delivery")
 
+    def options(self) -> dict[str, str]:
+        out = {"kafka.bootstrap.servers": self.servers, "subscribe": self.topic, "startingOffsets": self.starting,
+               "failOnDataLoss": str(self.gaps_fail).lower()}
+        return out if self.max_offsets is None else {**out, "maxOffsetsPerTrigger": str(self.max_offsets)}
 
-def progress_json(reports: list[dict]) -> str:
-    return json.dumps(reports, default=str)
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.readStream.format("kafka").options(**self.options()).load()
 
 
 def start_raw_archive(kafka: DataFrame, output: str, checkpoint: str, *, available_now: bool = True,

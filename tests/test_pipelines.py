@@ -8,24 +8,39 @@ import pytest
 
 
 def test_analytics_run(spark):
-    from pyspark.sql import functions as F
-    from skylens.plans.analytics import RunConfig, run_analytics
-    from tests.test_analytics import silver as fixture
-    silver = fixture(spark)
-    gold = spark.createDataFrame([("a", i * 300, i * 300 + 300, 20, 105, v) for i, v in enumerate([1, 2, 3, 10])],
+    from skylens.plans.analytics import TABLES, RunConfig, run_analytics
+    from tests.test_analytics import seen, silver as rows
+    silver = rows(spark, seen("a", 10, 5.0), seen("b", 700, 690.0, lat=0.5), seen("c", 90, 80.0, aircraft="000001"), seen("x", 100, 90.0, flags=["invalid_icao24"]))
+    gold = spark.createDataFrame([("north", i * 300, i * 300 + 300, 0, 0, v) for i, v in enumerate([1, 2, 3, 10])],
                                  "scope_id string, window_start long, window_end long, cell_lat_min long, "
                                  "cell_lon_min long, distinct_aircraft int")
     root = tempfile.mkdtemp(prefix="skylens-run-")
     config = RunConfig(output=root + "/run", start=0, end=1500)
     report = run_analytics(spark, silver, gold, config)
-    assert report["source_observations"] == 6 and report["counts"]["gaps"] == 1
-    assert os.path.exists(root + "/run/_SUCCESS")
-    with pytest.raises(ValueError):
+    assert report["source_observations"] == 4 and report["counts"] == dict(zip(TABLES, (3, 1, 4, 3, 2, 8)))
+    assert os.path.exists(root + "/run/_SUCCESS") and json.load(open(root + "/run/report.json"))["counts"] == report["counts"]
+    assert json.load(open(root + "/run/run-config.json"))["end"] == 1500
+    with pytest.raises(FileExistsError):
         run_analytics(spark, silver, gold, config)
+    with pytest.raises(ValueError):
+        run_analytics(spark, silver, gold, RunConfig(output=root + "/none", start=90_000, end=90_300))
+    assert not os.path.exists(root + "/none/_SUCCESS")
     loaded = spark.read.parquet(root + "/run/movement").where("event_date = '1970-01-01'")
     assert "PartitionFilters" in loaded._jdf.queryExecution().executedPlan().toString()
-    with pytest.raises(ValueError):
-        RunConfig(output="x", start=0, end=100)
+    for wrong in ({"end": 100}, {"start": -300}, {"end": 0}, {"gap_seconds": 0}, {"max_speed_mps": float("inf")}, {"baseline_seconds": -1}):
+        with pytest.raises(ValueError):
+            RunConfig(**{"output": "x", "start": 0, "end": 300, **wrong})
+
+
+def test_gold_is_pruned_by_date(spark):
+    from skylens.plans.analytics import in_range
+    from skylens.plans.lake import build_lake
+    from skylens.sources.events import state_rows, table
+    root = tempfile.mkdtemp(prefix="skylens-lake-")
+    build_lake(spark, state_rows(table(spark, "/root/testdata/sf0.001", "events")), root + "/lake")
+    plan = in_range(spark.read.parquet(root + "/lake/gold"), "window_start", 1704067200, 1704153600)._jdf.queryExecution().executedPlan().toString()
+    import re
+    assert "event_date" in re.search(r"PartitionFilters: \[([^\]]*)\]", plan).group(1)
 
 
 def test_archive_reprocessing(spark):
