@@ -1,13 +1,20 @@
-"""SRC-9 / SRC-10 / SRC-11: raw reception files (any DataFrame with the raw columns).
+"""SRC-9 / SRC-10 / SRC-11: raw reception files, their profile, replay and import.
 
-The Avro module is not bundled here, so readers accept a DataFrame already loaded with
-``spark.read.format("avro")`` (or any format) holding rawMessage, timeAtServer,
-sensorSerialNumber and optional sensor metadata.
+``avro_receptions`` reads the containers themselves (``sources.avro``); the other functions accept any
+DataFrame holding rawMessage, timeAtServer, sensorSerialNumber and optional sensor metadata.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import hashlib
+import math
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from skylens.plans import fs
 
 LISTING = ("url", "size", "last_modified", "etag")
 REQUIRED = ("rawMessage", "timeAtServer", "sensorSerialNumber")
@@ -83,3 +90,97 @@ def catalog(files: DataFrame, manifests: DataFrame) -> DataFrame:
     candidates = (files.where(F.col("url").endswith(".avro") & (F.col("size") > 0))
                   .withColumn("identity", F.sha2(F.to_json(F.struct(*listed), {"ignoreNullFields": "false"}), 256)))
     return candidates.join(manifests.select("identity"), "identity", "left_anti")
+
+
+def avro_receptions(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
+    """SRC-9: the records of the Avro files under ``path`` with ``record_index``, a record's place in its file.
+
+    The index is a record's place in its block plus the records of the file's blocks before, from a table of
+    one row a block; neither depends on how files are split over tasks.
+    """
+    from skylens.sources.avro import AvroFiles
+    spark.dataSource.register(AvroFiles)
+    reader = spark.read.format("avro_files")
+    rows = (reader.option("splitBytes", split_bytes) if split_bytes else reader).load(path)
+    if missing := [c for c in REQUIRED if c not in rows.columns]:
+        raise ValueError(f"not a raw reception file: {', '.join(missing)} missing")
+    blocks = rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = blocks.select("_file", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return (rows.join(before, ["_file", "_block"]).withColumn("record_index", F.col("_before") + F.col("_place"))
+            .drop("_block", "_place", "_before"))
+
+
+MANIFEST = "identity string, url string, sha256 string, size_bytes long, object string, record_count long, event_time_min double, event_time_max double, error string"
+
+
+def _taken_in(root: str):
+    """One file after another: hashed, checked to its last record, and kept under its hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs as arrow_fs
+
+        from skylens.sources.avro import Container, opened
+
+        names = ("identity", "url", "sha256", "size_bytes", "object", "record_count", "event_time_min", "event_time_max", "error")
+        store, base = arrow_fs.FileSystem.from_uri(root) if "://" in root else (arrow_fs.LocalFileSystem(), root)
+        for batch in batches:
+            rows = []
+            for identity, url in zip(batch.column("identity").to_pylist(), batch.column("url").to_pylist()):
+                row = dict.fromkeys(names) | {"identity": identity, "url": url}
+                try:
+                    digest, size = hashlib.sha256(), 0
+                    with opened(url) as stream:
+                        while data := stream.read(1 << 20):
+                            digest.update(data)
+                            size += len(data)
+                        stream.seek(0)
+                        container = Container(stream)
+                        if missing := [c for c in REQUIRED if container.type.get_field_index(c) < 0]:
+                            raise ValueError(f"fields are missing: {', '.join(missing)}")
+                        count, least, most = 0, None, None
+                        for _, records in container.blocks(0, size):
+                            count += len(records)
+                            for t in (r["timeAtServer"] for r in records):
+                                if t is not None and math.isfinite(t):
+                                    least, most = t if least is None else min(least, t), t if most is None else max(most, t)
+                        if not count:
+                            raise ValueError("the file holds no records")
+                        kept = f"{base}/raw/{digest.hexdigest()}.avro"
+                        if store.get_file_info(kept).type == arrow_fs.FileType.NotFound:
+                            store.create_dir(f"{base}/raw", recursive=True)
+                            part = f"{kept}.{uuid.uuid4().hex}"  # a lost task leaves a part, never half an object
+                            stream.seek(0)
+                            with store.open_output_stream(part) as out:
+                                while data := stream.read(1 << 20):
+                                    out.write(data)
+                            store.move(part, kept)
+                    row |= {"sha256": digest.hexdigest(), "size_bytes": size, "object": kept, "record_count": count, "event_time_min": least, "event_time_max": most}
+                except Exception as error:  # noqa: BLE001 - a file that can't be read is a row, and the rest goes on
+                    row["error"] = f"{type(error).__name__}: {error}"[:500]
+                rows.append(row)
+            kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.string()]
+            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(list(zip(names, kinds))))
+    return run
+
+
+def import_files(spark: SparkSession, listing: DataFrame, root: str) -> dict[str, int]:
+    """SRC-11: takes every listed revision in once; returns how many were discovered, imported, skipped, failed.
+
+    A file is hashed and read through on an executor, kept as ``root/raw/<sha256>.avro`` (equal contents
+    once) and gets a row in ``root/manifests``, the marker that it is done. A file that fails gets none, so the
+    next import tries it again; why it failed is a row of ``root/failures``.
+    """
+    root = root.rstrip("/")
+    known = spark.read.schema(MANIFEST).parquet(f"{root}/manifests") if fs.exists(spark, f"{root}/manifests") else spark.createDataFrame([], MANIFEST)
+    everything = catalog(listing, known.limit(0))
+    fresh = catalog(listing, known).select("identity", "url").distinct()
+    # a file is a task's unit of work, however small the listing is
+    taken = fresh.repartition(spark.sparkContext.defaultParallelism * 4, "identity").mapInArrow(_taken_in(root), MANIFEST)
+    attempt = f"{root}/attempts/{uuid.uuid4().hex}"
+    taken.write.parquet(attempt)
+    taken = spark.read.schema(MANIFEST).parquet(attempt)
+    taken.where("error IS NULL").write.mode("append").parquet(f"{root}/manifests")
+    taken.where("error IS NOT NULL").write.mode("append").parquet(f"{root}/failures")
+    found = taken.agg(F.count_if(F.col("error").isNull()).alias("imported"), F.count_if(F.col("error").isNotNull()).alias("failed")).first()
+    discovered = everything.select("identity").distinct().count()
+    return {"discovered": discovered, "imported": found["imported"], "skipped": discovered - found["imported"] - found["failed"], "failed": found["failed"]}
