@@ -78,6 +78,20 @@ def test_disguises_at_the_ends_set_apart_and_long(spark):
     assert len(model.decode("n i t w i t " * 5000 + "a")) > 30000
 
 
+def test_evidence_by_token_is_that_of_the_restored_words(spark):
+    rows, labels = corpus(300)
+    model = train(keyed(tox_frames(spark, rows, labels)[0]), tox_frames(spark, rows, labels)[1])
+    rng = random.Random(9)
+    bits = ["nitwit", "n1tw1t", "blockhead", "bl0ckhe@d!", "nitwittt,nitwittt", "n i t w i t", "n.i_t w*i~t", "NITWIT\u00a0nitwit", "a", "(", "...", "\u0130\u03a3", "grumwortx/grumworty",
+            "d-u-n-d-e-r-h-e-a-d", "x" * 70 + "nitwit", "m0\x1cn1tw1t", "a b", "\u00b2nitwit", "1nitwit", "$nitwit$$", "_nitwit_"]
+    for _ in range(2000):
+        text = "".join(rng.choice(bits) + rng.choice(["", " ", "\n", ".", "  ", "\t", "\u2003"]) for _ in range(rng.randrange(12)))
+        found = [(model.word(w), w) for w in model.restored(text) if w[:4] in model.heads]
+        value, word = max(found, default=(0.0, None))
+        assert model.evidence(text) == (min(sum(v >= 0.5 for v, _ in found), 6), value, word), text
+        assert toxicity_module._set_apart(text.lower()) == {m.group(0) for m in toxicity_module._SPACED.finditer(text.lower())}, text
+
+
 def test_only_verified_copies_are_left_out_of_training(spark):
     rng = random.Random(2)
     common = [f"c{i}" for i in range(30)]
