@@ -395,6 +395,16 @@ UNION ALL SELECT 'positions_outside_requested_bbox', count(*) FILTER (WHERE has_
   AND NOT (latitude BETWEEN {LAMIN} AND {LAMAX} AND longitude BETWEEN {LOMIN} AND {LOMAX})) FROM silver
 UNION ALL SELECT 'distinct_aircraft', count(DISTINCT CASE WHEN NOT list_contains(quality_flags, 'invalid_icao24')
   THEN icao24 END) FROM silver""",
+        "archive_documents": _with("""filed AS (
+  SELECT s.*, ev.t // 600 + 1 AS k, s.scope_id = 'scope0' AS whole FROM silver s JOIN ev ON ev.e = s.e)""",
+                                   """listed AS (SELECT *, k % 24 NOT IN (5, 6) AS has_rows, k % 7 <> 3 AS intact, CASE WHEN whole THEN latitude BETWEEN 8 AND 24
+    AND longitude BETWEEN 102 AND 110 ELSE latitude BETWEEN 11 AND 12.5 AND longitude BETWEEN 104.5 AND 105.5 END AS inside FROM filed)""") + f"""SELECT CASE WHEN whole THEN 8.0 ELSE 11.0 END::DOUBLE AS lamin,
+  k * 600 AS snapshot_time, intact, coalesce(sum(CASE WHEN e % 5 = 0 THEN 2 ELSE 1 END) FILTER (has_rows), 0)::BIGINT AS state_rows, 0::BIGINT AS malformed,
+  CASE WHEN intact AND has_rows THEN CASE WHEN whole THEN '{BOX_SCOPE}' ELSE
+    substr(sha256('{{"lamax": 12.5, "lamin": 11.0, "lomax": 105.5, "lomin": 104.5}}'), 1, 16) END END AS scope_id,
+  count(*) FILTER (intact AND has_rows) AS observations,
+  count(*) FILTER (intact AND has_rows AND has_position AND NOT list_contains(quality_flags, 'invalid_icao24') AND inside) AS inside
+FROM listed GROUP BY whole, k, intact, has_rows""",
         "snapshot_gaps": _with("""snaps AS (SELECT DISTINCT scope_id, snapshot_time FROM silver)""") + """SELECT scope_id, gap_from,
   gap_to, gap_to - gap_from AS seconds
 FROM (SELECT scope_id, lag(snapshot_time) OVER (PARTITION BY scope_id ORDER BY snapshot_time) AS gap_from,

@@ -234,6 +234,25 @@ def q_archive_report(spark, sf_dir):
     return archive_report(copies, observations)
 
 
+def q_archive_documents(spark, sf_dir):
+    """SRC-8 / EXP-1 / SNK-13 / PIPE-8: documents written under their digest and read back, with the rows that each
+    holds and, of intact ones, its observations and those inside its own box."""
+    from skylens.operators.cells import in_box
+    from skylens.plans.archive import bounds, snapshot_observations
+    from skylens.session import written
+    from skylens.sources.events import snapshot_objects
+    from skylens.sources.snapshots import archived_rows, snapshot_documents
+    objects = written(snapshot_objects(table(spark, sf_dir, "events")), "archive")
+    rows = written(archived_rows(snapshot_documents(objects)), "archived")
+    documents = rows.groupBy("lamin", "snapshot_time", "intact").agg(F.count("source_row_text").alias("state_rows"), F.count("row_error").alias("malformed"))
+    _, observations, scopes = snapshot_observations(rows.where("intact"))
+    seen = (observations.join(scopes, "scope_id").groupBy("lamin", "snapshot_time")
+            .agg(F.count(F.lit(1)).alias("observations"), F.count_if(in_box(bounds())).alias("inside"), F.min("scope_id").alias("scope_id")))
+    return documents.join(seen, ["lamin", "snapshot_time"], "left").select(
+        "lamin", "snapshot_time", "intact", "state_rows", "malformed", "scope_id",
+        F.coalesce("observations", F.lit(0)).cast("long").alias("observations"), F.coalesce("inside", F.lit(0)).cast("long").alias("inside"))
+
+
 def q_snapshot_gaps(spark, sf_dir):
     from skylens.operators.reports import snapshot_gaps
     return snapshot_gaps(silver(spark, sf_dir), expected_interval=120)
@@ -385,6 +404,7 @@ def queries() -> dict[str, Query]:
         "epoch_positions": q_epoch_positions,
         "epoch_late": q_epoch_late,
         "archive_report": q_archive_report,
+        "archive_documents": q_archive_documents,
         "snapshot_gaps": q_snapshot_gaps,
         "stream_windows": q_stream_windows,
         "stream_resumed": q_stream_resumed,

@@ -244,3 +244,30 @@ def raw_receptions(events: DataFrame) -> DataFrame:
         meta.alias("source_record_json"), F.sha2(meta, 256).alias("source_payload_sha256"))
     return rows.select(F.lit("raw").alias("topic"), (e % 4).cast("int").alias("partition"),
                        index.alias("offset"), F.lit(None).cast("string").alias("payload"), envelope.alias("envelope"))
+
+
+def snapshot_objects(events: DataFrame) -> DataFrame:
+    """SNK-13: (path, value) of the archived snapshot documents that ``events`` make, one per scope and ten minutes.
+
+    scope0 has the default box, scope1 a smaller one; every fifth event's row stands twice. With k the
+    document's time in tens of minutes: k % 24 = 5 has an empty list of rows, k % 24 = 6 null for it,
+    and k % 7 = 3 is altered after it was keyed.
+    """
+    from skylens.operators.envelope import source_row_text
+    from skylens.sources.snapshots import with_snapshot_key
+
+    rows = (events.select("event_id", "user_id", "event_type", "value", epoch_seconds_ntz("ts").alias("_t"))
+            .withColumn("_snap", F.expr("_t div 10") * 10 + 10)
+            .select("event_id", (F.col("user_id") % 2).alias("scope"), F.expr("_t div 600 + 1").alias("k"), _state_struct().alias("state"))
+            .select("scope", "k", source_row_text().alias("row"), F.when(F.col("event_id") % 5 == 0, 2).otherwise(1).alias("times")))
+    listed = (rows.withColumn("rows", F.array_repeat("row", F.col("times")))
+              .groupBy("scope", "k").agg(F.array_join(F.array_sort(F.flatten(F.collect_list("rows"))), ",").alias("rows")))
+    k = F.col("k")
+    states = F.when(k % 24 == 5, "[]").when(k % 24 == 6, "null").otherwise(F.concat(F.lit("["), F.col("rows"), F.lit("]")))
+    box = F.when(F.col("scope") == 0, '{"lamax":24.0,"lamin":8.0,"lomax":110.0,"lomin":102.0}').otherwise('{"lamax":12.5,"lamin":11.0,"lomax":105.5,"lomin":104.5}')
+    time = (k * 600).cast("string")
+    source = F.concat(F.lit('"bounding_box":'), box, F.lit(',"response":{"states":'), states, F.lit(',"time":'), time)
+    keyed = with_snapshot_key(listed.select("k", time.alias("time"), source.alias("source"), F.concat(F.lit("{"), source, F.lit("}}")).alias("value")))
+    return keyed.select(F.col("key").alias("path"), F.concat(
+        F.lit('{"schema_version":1,"source_sha256":"'), "source_sha256", F.lit('","collected_at":'), "time", F.lit(".5,"), "source",
+        F.when(k % 7 == 3, F.lit(',"altered":true}}')).otherwise(F.lit("}}"))).alias("value"))

@@ -24,8 +24,12 @@ def canonical_digest(document) -> F.Column:
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """One row per snapshot file: path, document (VARIANT), digest check columns."""
-    files = spark.read.text(path, wholetext=True).withColumn("path", F.input_file_name())
-    docs = materialize(files, {"document": F.try_parse_json("value")})
+    return snapshot_documents(spark.read.text(path, wholetext=True).withColumn("path", F.input_file_name()))
+
+
+def snapshot_documents(objects: DataFrame) -> DataFrame:
+    """The same of a table of objects (path, value), as many small documents are better kept."""
+    docs = materialize(objects, {"document": F.try_parse_json("value")})
     key_digest = F.regexp_extract("path", r"([0-9a-f]{64})\.json$", 1)
     return docs.select("path", "document",
                        F.variant_get("document", "$.source_sha256", "string").alias("source_sha256"),

@@ -58,3 +58,32 @@ def test_raw_profile_and_replay(spark):
     done = catalog(files, spark.createDataFrame([], "identity string")).limit(1).select("identity")
     left = catalog(files, done)
     assert left.count() == 1
+
+
+def test_archived_documents_are_verified_one_by_one(spark):
+    from skylens.sources.events import snapshot_objects, table
+    from skylens.sources.snapshots import archived_rows, snapshot_documents
+    objects = snapshot_objects(table(spark, "/root/testdata/sf0.001", "events")).collect()
+    bodies = [json.loads(o.value) for o in objects]
+    assert all(o.path == f"snapshots/{b['source_sha256']}.json" for o, b in zip(objects, bodies))
+    assert len({o.path for o in objects}) == len(objects) and {b["bounding_box"]["lamin"] for b in bodies} == {8.0, 11.0}
+
+    def read(pairs):
+        rows = archived_rows(snapshot_documents(spark.createDataFrame(pairs, "path string, value string")))
+        return {path: (intact, n, bad) for path, intact, n, bad in rows.groupBy("path").agg(
+            F.bool_and("intact"), F.count("source_row_text"), F.count("row_error")).collect()}
+
+    seen = read([(o.path, o.value) for o in objects])
+    for o, b in zip(objects, bodies):
+        assert seen[o.path] == ("altered" not in b["response"], len(b["response"]["states"] or []), 0)
+    assert {len(b["response"]["states"] or []) for b in bodies} >= {0, 1, 2} and any(b["response"]["states"] is None for b in bodies)
+    # another box, a lost row, a foreign name, a text that is no document, and a row that is no state vector
+    sound = next(o for o, b in zip(objects, bodies) if b["response"]["states"] and "altered" not in b["response"])
+    body = json.loads(sound.value)
+    moved = json.dumps(body | {"bounding_box": body["bounding_box"] | {"lamin": 7.5}})
+    emptied = json.dumps(body | {"response": body["response"] | {"states": []}})
+    short = json.dumps(body | {"response": body["response"] | {"states": [["abc"]]}})
+    got = read([("a/" + sound.path, sound.value), ("b/" + sound.path, moved), ("c/" + sound.path, emptied), ("d/" + "0" * 64 + ".json", sound.value),
+                ("e/" + sound.path, "{broken"), ("f/" + sound.path, short)])
+    n = len(body["response"]["states"])
+    assert [got[k] for k in sorted(got)] == [(True, n, 0), (False, n, 0), (False, 0, 0), (False, n, 0), (False, 0, 0), (False, 1, 1)]
