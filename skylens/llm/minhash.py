@@ -9,17 +9,19 @@ differ in more bits than a pair at J = 0.8 does (26 on average, and 5.5 standard
 depend on how many bins the smaller set fills; sets under 16 aren't judged by it), or whose sizes
 can't reach the similarity, go no further. The others are confirmed on full sets.
 
-A star compares no two members with each other, and its first centre is any of them. So there is a
-second star: in buckets whose members are in several components, its centre is drawn by a hash, anew
-in each bucket, so a member meets a different other one in each of its buckets. Where members are
-still in several components, those outside the largest of them (the strays) are compared with all
-members, by sketch first; a bucket with more than ``STRAYS`` of them is finished by an exact step
-instead, a prefix filter: pairs of its members that share one of their rarest shingles, which loses
-no pair at the similarity asked for.
+A star compares no two members with each other, and its first centre is any of them. So ``STAR_ROUNDS``
+more rounds follow. Links found so far contract the members of a bucket to components; one member
+of each component is drawn by a hash, anew in each bucket and round, and two of those drawn are
+centres: that of the bucket's largest component and that of another. Each is compared with the members
+outside its own component, so a round has at most two candidates per bucket row, however alike a
+family is. A pair at the similarity shares some ten buckets of 32, each with centres of its own. What
+can be missed is a component whose only links lead to members that were never drawn; the share
+found in families about the threshold is measured by a test and stated in the README.
 
 Scale: equal sets are collapsed first (a group of copies is one row from then on); texts move once
 for candidates, spread by (centre, share of its members), so a centre with very many members is
-several tasks. At J = 0.8 a pair shares no band with probability below 4e-6 (32 bands of 5).
+several tasks. Later rounds read only the texts of members whose buckets hold several components,
+written once. At J = 0.8 a pair shares no band with probability below 4e-6 (32 bands of 5).
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from skylens.llm import spans
 from skylens.llm.common import ROW, connected_components, first_row, keyed, written
 
 BANDS, ROWS, BINS = 32, 5, 256
-STRAYS, SLOT_BITS = 64, 20
+STAR_ROUNDS = 4
 # bits in which sketches may differ: of the smaller set's n shingles, {n} is put in
 FAR = "if({n} < 16, 256, 26 + 5.5 * sqrt(128 * 128 * 0.16 / (256 * (1 - exp(-{n} / 256.0))) + 21))"
 KEYS = ["k1", "k2", "k3", "k4"]  # the sketch
@@ -156,106 +158,57 @@ def _alike(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(f"100 * both >= {percent} * either").select("a", "b")
 
 
-def _sets(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [ROW, "component", "n", *KEYS]
-        for part, texts in spans.slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array([x.view(np.int64) for x in shingle_sets(texts, k)], pa.list_(pa.int64()))],
-                                             names=[*kept, "shingles"])
-
-    return run
-
-
-def _slots(shingles: np.ndarray) -> np.ndarray:
-    return (shingles.view(np.uint64) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-
-def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << SLOT_BITS, np.int64)
-    for batch in batches:
-        counts += np.bincount(_slots(np.asarray(batch.column("shingles").flatten())), minlength=len(counts))
-    used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["slot", "n"])
-
-
-def _rarest(counts, percent: int):
-    """Of every set, the shingles that come first by (count of their slot, hash): without one of
-    these in common, two sets can't reach the similarity."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [ROW, "component", "n", *KEYS]
-        for batch in batches:
-            chosen, where = [], []
-            for i, x in enumerate(batch.column("shingles")):
-                x = np.asarray(x.values)
-                first = np.lexsort((x, counts.value[_slots(x)]))[:len(x) + -percent * len(x) // 100 + 1]
-                chosen.append(x[first])
-                where.append(np.full(len(first), i))
-            rows = pa.array(np.concatenate(where) if where else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(rows) for c in kept], pa.array(np.concatenate(chosen) if chosen else np.zeros(0, np.int64))],
-                                             names=[*kept, "s"])
-
-    return run
-
-
 def _plausible(percent: int, left: str = "l_", right: str = "") -> str:
     """SQL: neither sizes nor sketches rule the similarity out."""
     bits = " + ".join(f"bit_count({left}{x} ^ {right}{x})" for x in KEYS)
     return f"100 * least({left}n, {right}n) >= {percent} * greatest({left}n, {right}n) and {bits} <= {FAR.format(n=f'least({left}n, {right}n)')}"
 
 
-def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """``members`` with their component, ``c``."""
-    named = labels.select(F.col("node").alias(ROW), F.col("component").alias("c"))
-    return members.join(named.hint("merge"), ROW, "left").withColumn("c", F.coalesce("c", ROW))
+def _stepped(members: DataFrame, step: DataFrame) -> DataFrame:
+    """``members`` with their component, ``c``, after the merges of ``step`` (node, component)."""
+    later = step.select(F.col("node").alias("c"), F.col("component").alias("later"))
+    return members.join(later.hint("merge"), "c", "left").withColumn("c", F.coalesce("later", "c")).drop("later")
 
 
-def _second_star(members: DataFrame, labels: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """(a, b): plausible pairs of a member drawn from each bucket with members of other components."""
-    placed = written(_labelled(members, labels), "placed")
+def _drawn_stars(placed: DataFrame, tried: DataFrame, number: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(open buckets' members, candidates (a: centre, b, ca, cb) of one round): ``placed`` is (bucket, _row, c, n, sketch)."""
     kept = [ROW, "c", "n", *KEYS]
-    drawn = written(placed.groupBy("bucket").agg(F.max_by(F.struct(*kept), F.struct(F.xxhash64(ROW, "bucket"), ROW)).alias("x"))
-                    .select("bucket", *[F.col(f"x.{c}").alias(f"l_{c}") for c in kept]), "drawn")
-    pairs = (placed.join(drawn.hint("merge"), "bucket").where(f"l_c <> c and {_plausible(percent)}")
-             .select(F.least(f"l_{ROW}", ROW).alias("a"), F.greatest(f"l_{ROW}", ROW).alias("b")))
-    return written(pairs.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "second")
-
-
-def _remaining(members: DataFrame, tried: DataFrame, labels: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
-    """Links between members of buckets that are in several components, or None where there are none."""
-    members = written(_labelled(members, labels).select("bucket", ROW, "c", "n", *KEYS), "members")
-    sizes = members.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("size"))
-    largest = written(sizes.groupBy("bucket").agg(F.max_by("c", F.struct("size", "c")).alias("most"), (F.sum("size") - F.max("size")).alias("strays")), "largest")
-    if largest.where("strays > 0").isEmpty():
-        return None
-    placed = written(members.join(largest.hint("merge"), "bucket"), "placed")
-    strays = written(placed.where(f"c <> most and strays <= {STRAYS}").select("bucket", *[F.col(x).alias("l_" + x) for x in (ROW, "c", "n", *KEYS)]), "strays")
-    near = (strays.join(placed.select("bucket", ROW, "c", "n", *KEYS), "bucket").where(f"l_c <> c and {_plausible(percent)}")
-            .select(F.least(f"l_{ROW}", ROW).alias("a"), F.greatest(f"l_{ROW}", ROW).alias("b")))
-    near = written(near.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "near")
-    crowded = written(placed.where(f"strays > {STRAYS}").select(ROW, F.col("c").alias("component"), "n", *KEYS).distinct(), "crowded")
-    if not crowded.isEmpty():
-        rare = _sharing_rare_shingles(crowded, docs, k, percent)
-        near = written(near.unionByName(rare).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "near")
-    if near.isEmpty():
-        return None
-    return _alike(written(_compared(near, docs, k), "tried"), percent)
-
-
-def _sharing_rare_shingles(members: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b): plausible pairs of ``members`` (_row, component, n, sketch) of different components that
-    share one of the first shingles of both, rarest first; as many as no pair at the similarity can do
-    without. How rare is read off a table of ``2 ** SLOT_BITS`` counts (its size is fixed); any order
-    will do for a right result, as long as it is the same for all sets."""
-    numbers = ", ".join(f"{x} long" for x in KEYS)
-    sets = written(docs.select(ROW, "text").join(members.hint("merge"), ROW).mapInArrow(_sets(k), f"{ROW} long, component long, n long, {numbers}, shingles array<long>"), "sets")
-    found = sets.select("shingles").mapInArrow(_slot_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(1 << SLOT_BITS, np.int64)
-    counts[np.asarray(found["slot"])] = np.asarray(found["n"])
-    shared = sets.sparkSession.sparkContext.broadcast(counts)
-    prefix = written(sets.mapInArrow(_rarest(shared, percent), f"{ROW} long, component long, n long, {numbers}, s long"), "prefix")
-    left = prefix.select("s", *[F.col(x).alias(f"l_{x}") for x in (ROW, "component", "n", *KEYS)])
-    return (left.join(prefix, "s").where(f"l_{ROW} < {ROW} and l_component <> component and {_plausible(percent)}")
-            .select(F.col(f"l_{ROW}").alias("a"), F.col(ROW).alias("b")).distinct())
+    drawn = F.struct(F.xxhash64(ROW, "bucket", F.lit(number)), ROW)
+    parts = placed.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("size"), F.max_by(F.struct(*kept), drawn).alias("x"))
+    anew = F.struct(F.xxhash64("c", "bucket", F.lit(number)), "c")
+    tops = parts.groupBy("bucket").agg(F.max_by("x", F.struct("size", "c")).alias("most"), F.max_by("x", anew).alias("one"), F.min_by("x", anew).alias("two"))
+    tops = tops.where("one.c <> two.c").select("bucket", F.expr("array(most, if(one.c <> most.c, one, two))").alias("centres"))
+    # a bucket of one component is done
+    opened = written(placed.join(written(tops, "tops").hint("merge"), "bucket"), "open")
+    stars = opened.select(*kept, F.explode("centres").alias("x")).select(*kept, *[F.col(f"x.{c}").alias(f"l_{c}") for c in kept])
+    stars = stars.where(f"l_c <> c and {_plausible(percent)}")
+    ends = [F.least(f"l_{ROW}", ROW).alias("low"), F.greatest(f"l_{ROW}", ROW).alias("high")]
+    pairs = stars.groupBy(*ends).agg(F.max(F.struct(F.col(f"l_{ROW}").alias("a"), F.col(ROW).alias("b"), F.col("l_c").alias("ca"), F.col("c").alias("cb"))).alias("p"))
+    pairs = pairs.join(tried.hint("merge"), ["low", "high"], "left_anti").select("p.*")
+    return opened.drop("centres"), written(pairs, "pairs")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
+
+
+def _later_rounds(placed: DataFrame, tried: DataFrame, labels: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``labels`` (_row, c) after the rounds of drawn stars over ``placed`` (bucket, _row, c, n, sketch)."""
+    tried, texts = _ends(tried), None
+    for number in range(STAR_ROUNDS):
+        placed, pairs = _drawn_stars(placed, tried, number, percent)
+        if placed.isEmpty():
+            break
+        if pairs.isEmpty():
+            continue
+        if texts is None:
+            texts = written(docs.select(ROW, "text").join(placed.select(ROW).distinct().hint("merge"), ROW), "texts")
+        found = _alike(written(_compared(pairs.select("a", "b"), texts, k), "tried"), percent)
+        tried = tried.unionByName(_ends(pairs))
+        merges = pairs.join(found.hint("merge"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        step = written(connected_components(merges), "step")
+        placed, labels = written(_stepped(placed, step), "placed"), written(_stepped(labels, step), "labels")
+    return labels
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
@@ -282,20 +235,15 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     pairs = written(stars.where("plausible").select("a", "b").distinct(), "pairs")
     tried = written(_compared(pairs, docs, k), "tried")
     links = _alike(tried, percent)
-    labels = connected_components(links)
+    joined = connected_components(links)
+    labels = written(_stepped(own.select(ROW, F.col(ROW).alias("c")), joined), "labels")
     sketch = ["n", *KEYS]
-    members = written(stars.select("bucket", F.col("b").alias(ROW), *sketch)
-                      .unionByName(centres.select("bucket", F.col("a").alias(ROW), *[F.col(f"l_{x}").alias(x) for x in sketch])), "members")
-    second = _second_star(members, labels, tried, percent)
-    if not second.isEmpty():
-        checked = written(_compared(second, docs, k), "tried")
-        tried, links = tried.unionByName(checked), written(links.unionByName(_alike(checked, percent)), "links")
-        labels = connected_components(links)
-    more = _remaining(members, tried, labels, docs, k, percent)
-    if more is not None:
-        labels = connected_components(links.unionByName(more))
+    members = (stars.select("bucket", F.col("b").alias(ROW), *sketch)
+               .unionByName(centres.select("bucket", F.col("a").alias(ROW), *[F.col(f"l_{x}").alias(x) for x in sketch])))
+    placed = written(members.join(labels.hint("merge"), ROW).select("bucket", ROW, "c", *sketch), "placed")
+    labels = _later_rounds(placed, tried, labels, docs, k, percent).select(F.col(ROW).alias("node"), F.col("c").alias("component"))
     reps = classes.select("digest", F.col("rep.row").alias("node"), F.col("rep.doc_id").alias("rep_id"))
-    grouped = written(reps.join(labels, "node", "left").select("digest", "node", "rep_id", F.coalesce("component", "node").alias("component")), "grouped")
+    grouped = written(reps.join(labels, "node").select("digest", "node", "rep_id", "component"), "grouped")
     firsts = written(grouped.groupBy("component").agg(F.min(first_row("rep_id", "node")).alias("first")), "firsts")
     named = written(grouped.join(firsts, "component").select("digest", "first"), "named")
     own_key = F.coalesce("digest", F.col(ROW).cast("string").cast("binary"))  # empty sets: a key each, none of them a digest

@@ -109,9 +109,7 @@ def test_near_dedup_matches_brute_force(spark, seed, k):
     assert sum(r.first_of_group for r in got) == count
 
 
-@pytest.mark.parametrize("strays", [64, 1])
-def test_links_between_members_that_their_centre_misses(spark, monkeypatch, strays):
-    monkeypatch.setattr(minhash, "STRAYS", strays)  # with 1 the prefix filter has to find them
+def test_links_between_members_that_their_centre_misses(spark):
     # the centre (smallest) shares most bands with both others, which are alike, but isn't linked with them
     base = [f"a{i}" for i in range(100)]
     rows = [(0, " ".join(base))]
@@ -122,6 +120,34 @@ def test_links_between_members_that_their_centre_misses(spark, monkeypatch, stra
     assert got == {rows[i][0]: c for i, c in least.items()}
 
 
+def test_stars_join_a_family_about_the_threshold(spark):
+    # edited copies whose similarities lie on both sides of 0.8: pairs compared stay linear, components come out
+    rng = random.Random(9)
+    base = [f"v{i}" for i in range(120)]
+    rows = []
+    for i in range(400):
+        own = list(base)
+        for at in rng.sample(range(120), rng.randint(5, 11)):
+            own[at] = f"e{rng.randrange(10**9)}"
+        rows.append((i, " ".join(own)))
+    _, least, count = components(rows, 1, 80)
+    got = {r.doc_id: r.component_id for r in near_dedup(frame(spark, rows), k=1).collect()}
+    sizes = {c: list(least.values()).count(c) for c in set(least.values())}
+    linked = [i for i in least if sizes[least[i]] > 1]
+    assert all(least[got[i]] == least[i] for i in got)  # nothing is joined that has no links
+    assert count > 1 and len(linked) > 100 and sum(got[i] == least[i] for i in linked) >= 0.95 * len(linked)
+
+
+def test_a_round_of_stars_has_two_candidates_a_bucket_row(spark):
+    rows = [(b, 10 * b + i, 10 * b + i, 100, 0, 0, 0, 0) for b in range(3) for i in range(10)] + [(9, 1, 0, 100, 0, 0, 0, 0), (9, 2, 0, 100, 0, 0, 0, 0)]
+    placed = spark.createDataFrame(rows, "bucket long, _row long, c long, n long, k1 long, k2 long, k3 long, k4 long")
+    none = spark.createDataFrame([], "low long, high long")
+    opened, pairs = minhash._drawn_stars(placed, none, 0, 80)
+    assert opened.count() == 30 and pairs.count() == 3 * (9 + 8)
+    again = minhash._drawn_stars(opened, minhash._ends(pairs), 1, 80)[1]
+    assert again.join(pairs, ["a", "b"]).count() == 0
+
+
 def test_densified_bins_agree_like_the_sets(spark):
     sign = Signer(32, 5)
     a, b = shingle_sets([b" ".join(b"x%d" % i for i in range(20)), b" ".join(b"x%d" % i for i in range(2, 22))], 1)
