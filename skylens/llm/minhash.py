@@ -127,35 +127,35 @@ def _compare(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, centre = None, None
         for part, texts in spans.slices(batches, "text"):
-            a, share, b = (part.column(c).to_pylist() for c in ("a", "share", "b"))
-            found: tuple[list, list, list, list] = ([], [], [], [])
+            a, share, b, ca, cb = (part.column(c).to_pylist() for c in ("a", "share", "b", "ca", "cb"))
+            found: tuple[list, ...] = ([], [], [], [], [], [])
             for i, own in enumerate(shingle_sets(texts, k)):
                 if (a[i], share[i]) != group:
                     group, centre = (a[i], share[i]), own
                     continue
                 both = len(np.intersect1d(centre, own, assume_unique=True))
-                for column, value in zip(found, (a[i], b[i], both, len(centre) + len(own) - both)):
+                for column, value in zip(found, (a[i], b[i], both, len(centre) + len(own) - both, ca[i], cb[i])):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["a", "b", "both", "either"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["a", "b", "both", "either", "ca", "cb"])
 
     return run
 
 
 def _compared(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """``pairs`` (a, b) with the sizes of the intersection and union of their full sets."""
+    """``pairs`` (a, b, and the components ca, cb) with the sizes of the intersection and union of their full sets."""
     sizes = written(pairs.groupBy("a").agg(F.expr(f"(count(*) + {MEMBERS - 1}) div {MEMBERS}").alias("shares")), "shares")
     # joins of tables that grow with the corpus are shuffles at every size
-    spread = pairs.join(sizes.hint("merge"), "a").select("a", F.pmod(F.xxhash64("b"), "shares").alias("share"), "b", F.col("b").alias(ROW))
+    spread = pairs.join(sizes.hint("merge"), "a").select("a", F.pmod(F.xxhash64("b"), "shares").alias("share"), "b", "ca", "cb", F.col("b").alias(ROW))
     centres = sizes.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"),
-                           F.lit(None).cast("long").alias("b"), F.col("a").alias(ROW))
-    wanted = written(spread.unionByName(centres), "wanted")
-    texts = docs.select(ROW, "text").join(wanted.hint("merge"), ROW).select("a", "share", "b", "text")
+                           *[F.lit(None).cast("long").alias(c) for c in ("b", "ca", "cb")], F.col("a").alias(ROW))
+    wanted = spread.unionByName(centres)
+    texts = docs.select(ROW, "text").join(wanted.hint("merge"), ROW).select("a", "share", "b", "ca", "cb", "text")
     return (texts.repartition("a", "share").sortWithinPartitions("a", "share", F.col("b").asc_nulls_first())
-            .mapInArrow(_compare(k), "a long, b long, both long, either long"))
+            .mapInArrow(_compare(k), "a long, b long, both long, either long, ca long, cb long"))
 
 
 def _alike(pairs: DataFrame, percent: int) -> DataFrame:
-    return pairs.where(f"100 * both >= {percent} * either").select("a", "b")
+    return pairs.where(f"100 * both >= {percent} * either").select("a", "b", "ca", "cb")
 
 
 def _plausible(percent: int, left: str = "l_", right: str = "") -> str:
@@ -179,7 +179,7 @@ def _drawn_stars(placed: DataFrame, tried: DataFrame, number: int, percent: int)
     tops = parts.groupBy("bucket").agg(F.max_by("x", F.struct("size", "c")).alias("most"), F.max_by("x", anew).alias("one"), F.min_by("x", anew).alias("two"))
     tops = tops.where("one.c <> two.c").select("bucket", F.expr("array(most, if(one.c <> most.c, one, two))").alias("centres"))
     # a bucket of one component is done
-    opened = written(placed.join(written(tops, "tops").hint("merge"), "bucket"), "open")
+    opened = written(placed.join(tops.hint("merge"), "bucket"), "open")
     stars = opened.select(*kept, F.explode("centres").alias("x")).select(*kept, *[F.col(f"x.{c}").alias(f"l_{c}") for c in kept])
     stars = stars.where(f"l_c <> c and {_plausible(percent)}")
     ends = [F.least(f"l_{ROW}", ROW).alias("low"), F.greatest(f"l_{ROW}", ROW).alias("high")]
@@ -192,23 +192,26 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
 
 
-def _later_rounds(placed: DataFrame, tried: DataFrame, labels: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``labels`` (_row, c) after the rounds of drawn stars over ``placed`` (bucket, _row, c, n, sketch)."""
-    tried, texts = _ends(tried), None
+def _later_rounds(placed: DataFrame, tried: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """(a, b): links between components found by the rounds of drawn stars over ``placed`` (bucket, _row, c, n, sketch).
+
+    Between rounds a component takes the name of the smallest that it has a link with, one step of a
+    contraction; the names that remain serve the choice of centres alone, and all merges are united at the end.
+    """
+    tried, texts, merges = _ends(tried), None, None
     for number in range(STAR_ROUNDS):
         placed, pairs = _drawn_stars(placed, tried, number, percent)
-        if placed.isEmpty():
-            break
-        if pairs.isEmpty():
-            continue
         if texts is None:
+            if placed.isEmpty():
+                break
             texts = written(docs.select(ROW, "text").join(placed.select(ROW).distinct().hint("merge"), ROW), "texts")
-        found = _alike(written(_compared(pairs.select("a", "b"), texts, k), "tried"), percent)
-        tried = tried.unionByName(_ends(pairs))
-        merges = pairs.join(found.hint("merge"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        step = written(connected_components(merges), "step")
-        placed, labels = written(_stepped(placed, step), "placed"), written(_stepped(labels, step), "labels")
-    return labels
+        found = written(_alike(_compared(pairs, texts, k), percent).select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")), "merges")
+        merges = found if merges is None else merges.unionByName(found)
+        if number + 1 < STAR_ROUNDS:
+            tried = tried.unionByName(_ends(pairs))
+            step = found.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
+            placed = written(_stepped(placed, step), "placed")
+    return merges
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
@@ -232,7 +235,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
                       .where("size > 1").select("bucket", F.col(f"c.{ROW}").alias("a"), *[F.col(f"c.{x}").alias(f"l_{x}") for x in ("n", *KEYS)]), "centres")
     stars = written(buckets.join(centres.hint("merge"), "bucket").where(f"{ROW} <> a")
                     .select("bucket", "a", F.col(ROW).alias("b"), "n", *KEYS, F.expr(_plausible(percent)).alias("plausible")), "stars")
-    pairs = written(stars.where("plausible").select("a", "b").distinct(), "pairs")
+    pairs = written(stars.where("plausible").select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")).distinct(), "pairs")
     tried = written(_compared(pairs, docs, k), "tried")
     links = _alike(tried, percent)
     joined = connected_components(links)
@@ -241,7 +244,10 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     members = (stars.select("bucket", F.col("b").alias(ROW), *sketch)
                .unionByName(centres.select("bucket", F.col("a").alias(ROW), *[F.col(f"l_{x}").alias(x) for x in sketch])))
     placed = written(members.join(labels.hint("merge"), ROW).select("bucket", ROW, "c", *sketch), "placed")
-    labels = _later_rounds(placed, tried, labels, docs, k, percent).select(F.col(ROW).alias("node"), F.col("c").alias("component"))
+    merges = _later_rounds(placed, tried, docs, k, percent)
+    if merges is not None:
+        labels = written(_stepped(labels, connected_components(merges)), "labels")
+    labels = labels.select(F.col(ROW).alias("node"), F.col("c").alias("component"))
     reps = classes.select("digest", F.col("rep.row").alias("node"), F.col("rep.doc_id").alias("rep_id"))
     grouped = written(reps.join(labels, "node").select("digest", "node", "rep_id", "component"), "grouped")
     firsts = written(grouped.groupBy("component").agg(F.min(first_row("rep_id", "node")).alias("first")), "firsts")
