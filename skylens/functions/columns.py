@@ -47,7 +47,14 @@ def strip_whitespace(c: str | Column) -> Column:
     return F.regexp_replace(col(c), r"^\s+|\s+$", "")
 
 
+def without_nulls(*items: Column) -> Column:
+    """Array of the different texts among ``items`` that aren't null.
+
+    ``array_compact`` and ``array_sort`` call a lambda, and what a lambda's array is made of is never compiled.
+    """
+    return F.array_except(F.array(*items), F.array(F.lit(None).cast("string")))
+
+
 def flag_array(*pairs: tuple[Column, str]) -> Column:
     """Sorted array of the flag names whose condition is true (null counts as false)."""
-    items = [F.when(cond, F.lit(name)) for cond, name in pairs]
-    return F.array_sort(F.array_compact(F.array(*items)))
+    return F.sort_array(without_nulls(*[F.when(cond, F.lit(name)) for cond, name in pairs]))
