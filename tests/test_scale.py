@@ -17,8 +17,10 @@ def test_generators_only_pass_on_what_projections_compute(spark):
     from skylens.operators.frames import decode_frames
     from skylens.operators.receptions import delivered
     from skylens.sources.events import raw_receptions, state_deliveries, table
+    from skylens.session import written
     events = table(spark, SF, "events")
-    for frame in (archive_frame(state_deliveries(events)).select("parsed"), decode_frames(delivered(raw_receptions(events)))):
+    for frame in (archive_frame(written(state_deliveries(events), "deliveries")).select("parsed"),
+                  decode_frames(delivered(written(raw_receptions(events), "raw")))):
         generators = re.findall(r"Generate inline\((.*)", frame._jdf.queryExecution().optimizedPlan().toString())
         assert generators and not any("CASE WHEN" in g.split(", false, [")[0] for g in generators)
         assert "lambdafunction" not in frame._jdf.queryExecution().optimizedPlan().toString()
@@ -50,3 +52,32 @@ def test_wide_rows_are_made_after_events_are_dealt_out(spark):
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
     classified = receptions(raw_receptions(table(spark, SF, "events")))[1].select("reception_id", "status", "reason")
     assert "source_payload_sha256" not in plan(classified) and "WindowGroupLimit" in plan(classified)
+
+
+def test_an_arrival_is_chosen_among_the_events(spark):
+    """Each event comes in one arrival, without a join of the wide rows made of it."""
+    from skylens import registry
+    from skylens.sources.events import table
+    events = table(spark, SF, "events")
+    arrival = registry.arriving(events)
+    parts = [arrival(n) for n in range(3)]
+    assert all(p.count() for p in parts) and sorted(r[0] for p in parts for r in p.select("event_id").collect()) == sorted(r[0] for r in events.select("event_id").collect())
+    assert "Join" not in plan(registry.raw_archive(parts[0]))
+
+
+def test_a_batch_is_not_copied_before_its_epoch(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrame
+    from skylens import registry
+    from skylens.sources.events import table
+    from skylens.streaming.epochs import StreamingEpochs
+    monkeypatch.setattr(DataFrame, "persist", lambda *_: (_ for _ in ()).throw(AssertionError("copied")))
+    StreamingEpochs(spark, str(tmp_path / "out"), "events")(registry.raw_archive(table(spark, SF, "events").where("event_id < 40")), 0)
+
+
+def test_a_few_large_files_are_many_row_groups(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+    from skylens.sources.events import state_deliveries, table
+    from skylens.streaming import states
+    monkeypatch.setattr(states, "ROW_GROUP", 100_000)
+    states.stream_files(spark, state_deliveries(table(spark, SF, "events")).coalesce(1), str(tmp_path))
+    assert all(pq.ParquetFile(f).num_row_groups > 1 for f in tmp_path.glob("*.parquet"))
