@@ -10,9 +10,9 @@ with the same label and sketch whose words are alike count once, and what looks
 the different neighbours (word before, word after) it has in toxic and in other rows. A document's
 score is the share of toxic rows among those with as many such words and as telling a one.
 
-Learning uses at most ``MAX_ROWS`` labelled rows, chosen by a hash of their id; which
-ids they are is broadcast (that bound), their texts are counted on the executors, and the model
-that goes to the scoring tasks has at most ``MAX_ENTRIES`` words, prefixes and trigrams each.
+Learning uses all labelled rows (fewer, chosen by a hash of their id, only where a caller gives
+``max_rows``); their texts are counted on the executors, and the model that goes to the scoring
+tasks has at most ``MAX_ENTRIES`` words, prefixes and trigrams each.
 """
 
 from __future__ import annotations
@@ -31,7 +31,6 @@ from pyspark.sql import DataFrame, functions as F
 from skylens.llm import spans
 from skylens.llm.common import ROW, keyed, written
 
-MAX_ROWS = 40_000
 MAX_ENTRIES = 100_000
 ALIKE = 0.8  # share of common words from which on labelled rows are copies
 WORD_WEIGHT, PREFIX_WEIGHT = 5.0, 8.0  # observations that the prior counts for
@@ -353,22 +352,21 @@ def _without_copies(rows: DataFrame) -> DataFrame:
             .applyInArrow(_alike, "doc_id long, toxic int").distinct())
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_entries: int = MAX_ENTRIES) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int | None = None, max_entries: int = MAX_ENTRIES) -> Model:
     """Learns from rows of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) marks and whose fold isn't 0.
 
-    Rows with a null or other label than 0 and 1 are left out; of repeated labels the larger counts.
+    All such rows count unless ``max_rows`` is given. Rows with a null or other label than 0 and 1 are left out; of repeated labels the larger counts.
     Without any label the model has no words and every score is the prior's.
     """
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .where(F.col("toxic").isin(0, 1) & (fold("doc_id") != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     known = written(known, "known")
-    share = min(1.0, 0.95 * max_rows / max(known.count(), 1))  # by hash; about max_rows at most
-    chosen = written(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))), "chosen")
-    if chosen.count() > max_rows:
-        raise ValueError("more labelled rows than the bound for broadcasting their ids")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    single = written(_without_copies(rows), "single")
-    counted = written(docs.select("doc_id", "text").join(F.broadcast(single), "doc_id").select("text", "toxic")
+    if max_rows is not None:
+        share = min(1.0, 0.95 * max_rows / max(known.count(), 1))  # by hash; about max_rows at most
+        known = written(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))), "chosen")
+    single = written(_without_copies(docs.select("doc_id", "text").join(known, "doc_id")), "single")
+    learned = docs.select("doc_id", "text").join(single, "doc_id").select("text", "toxic")
+    counted = written(learned
                       .mapInArrow(_count_words, "word string, toxic long, clean long")
                       .groupBy("word").agg(F.sum("toxic").alias("d1"), F.sum("clean").alias("d0")), "words")
     words = counted.where("word not like '^%'")
@@ -388,8 +386,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_entr
                     .where(f"head is not null or (d1 + {WORD_WEIGHT * prior}) / (d1 + d0 + {WORD_WEIGHT}) >= 0.3")
                     .orderBy(F.expr("d1 + d0").desc(), "word").limit(max_entries).select("word", "d1", "d0"))
     listed = {r.word for r in chosen_words.collect()}
-    near = (docs.select("doc_id", "text").join(F.broadcast(single), "doc_id").select("text", "toxic")
-            .mapInArrow(_neighbours(listed, set(prefix)), "entry string, near long, toxic int").distinct()
+    near = (learned.mapInArrow(_neighbours(listed, set(prefix)), "entry string, near long, toxic int").distinct()
             .groupBy("entry").agg(F.sum("toxic").alias("d1"), F.sum(1 - F.col("toxic")).alias("d0")).collect())
     seen = {r.entry: (r.d1, r.d0) for r in near}
     share = lambda entry, back, weight: (seen.get(entry, (0, 0))[0] + weight * back) / (sum(seen.get(entry, (0, 0))) + weight)
@@ -399,7 +396,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_entr
     grams = (words.select("word", F.expr("d1 + d0").alias("n")).mapInArrow(_count_trigrams, "gram string, n long")
              .groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram").limit(max_entries).collect())
     model = Model(prior, entries, prefix, *_language(grams))
-    model.calibration = _calibrated(model, docs.select("doc_id", "text").join(F.broadcast(single), "doc_id"))
+    model.calibration = _calibrated(model, learned)
     return model
 
 
