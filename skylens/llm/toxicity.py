@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from skylens.llm import spans
 from skylens.llm.common import ROW, keyed, written
 
+BROADCAST_ROWS = 1_000_000
 MAX_ENTRIES = 100_000
 ALIKE = 0.8  # share of common words from which on labelled rows are copies
 WORD_WEIGHT, PREFIX_WEIGHT = 5.0, 8.0  # observations that the prior counts for
@@ -364,8 +365,10 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int | None = None, max_e
     if max_rows is not None:
         share = min(1.0, 0.95 * max_rows / max(known.count(), 1))  # by hash; about max_rows at most
         known = written(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))), "chosen")
-    single = written(_without_copies(docs.select("doc_id", "text").join(known, "doc_id")), "single")
-    learned = docs.select("doc_id", "text").join(single, "doc_id").select("text", "toxic")
+    # few ids go to the texts; texts are moved to them only where there are too many
+    near_texts = (lambda ids: F.broadcast(ids)) if known.count() <= BROADCAST_ROWS else (lambda ids: ids)
+    single = written(_without_copies(docs.select("doc_id", "text").join(near_texts(known), "doc_id")), "single")
+    learned = written(docs.select("doc_id", "text").join(near_texts(single), "doc_id").select("text", "toxic"), "learned")
     counted = written(learned
                       .mapInArrow(_count_words, "word string, toxic long, clean long")
                       .groupBy("word").agg(F.sum("toxic").alias("d1"), F.sum("clean").alias("d0")), "words")
