@@ -81,3 +81,36 @@ def test_a_few_large_files_are_many_row_groups(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(states, "ROW_GROUP", 100_000)
     states.stream_files(spark, state_deliveries(table(spark, SF, "events")).coalesce(1), str(tmp_path))
     assert all(pq.ParquetFile(f).num_row_groups > 1 for f in tmp_path.glob("*.parquet"))
+
+
+def test_lineage_and_pairing_join_nothing(spark):
+    """A transmission's receptions and its partner's go with the frame; ids that follow from other columns aren't moved."""
+    from skylens import registry
+    for name in ("position_lineage", "cpr_positions", "attribute_states", "transmission_lineage"):
+        frame = registry.queries()[name](spark, SF)
+        assert "Join" not in plan(frame) and frame.count(), name
+    # the shuffle of a track's frames moves no id
+    moved = plan(registry.q_cpr_positions(spark, SF)).split("Exchange hashpartitioning(source_sha256")[1]
+    assert "transmission_id" not in moved and "reception_id" not in moved
+
+
+def test_checked_receptions_are_grouped_like_any(spark):
+    from skylens.operators.receptions import compact, heard_ids, identified, lineage_members, lineage_of, members, receptions
+    from skylens.sources.events import raw_receptions, table
+    valid = receptions(raw_receptions(table(spark, SF, "events")))[1].where("status = 'valid'")
+    plain, checked = members(valid), members(valid, checked=True)
+    same = ["reception_id", "transmission_id", "message", "ambiguous", "leads", "members"]
+    assert plain.count() and plain.select(same).exceptAll(checked.select(same)).isEmpty() and checked.select(same).exceptAll(plain.select(same)).isEmpty()
+    assert identified(compact(checked)).select(same).exceptAll(checked.select(same)).isEmpty()
+    want = {r.transmission_id: r.target_receptions for r in lineage_members(lineage_of(plain)).collect()}
+    leading = checked.where("leads").select("transmission_id", heard_ids("heard").alias("ids")).collect()
+    assert {r.transmission_id: r.ids for r in leading} == want and len(leading) == len(want) and max(map(len, want.values())) > 1
+
+
+def test_a_bin_with_a_repeated_receiver_is_not_listed(spark):
+    from skylens.operators.receptions import members
+    rows = spark.range(300).selectExpr("'s' as source_sha256", "concat('r', id) as reception_id", "'8D' as raw_message", "cast(id % 299 as int) as receiver_id", "10.001D as event_time")
+    got = members(rows).collect()
+    assert len(got) == 300 and all(r.ambiguous and r.leads and r.members == 1 and r.heard == [r.reception_id] for r in got)
+    once = members(rows.where("receiver_id > 0")).collect()
+    assert [(r.reception_id, len(r.heard)) for r in once if r.leads] == [("r1", 298)] and {r.members for r in once} == {298}
