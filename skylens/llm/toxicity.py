@@ -7,7 +7,8 @@ words, which known words tell. Words as written and words restored are then scor
 hold a word, backed off to words that begin alike (the smaller of the share of toxic documents that
 hold one, and of toxic word types). So that copies of one document don't count as many, labelled rows
 with the same label and sketch whose words are alike count once, and what looks toxic by documents is then judged by
-the different neighbours (word before, word after) it has in toxic and in other rows. A document's
+the different neighbours (word before, word after) it has in toxic and in other rows; listed words that neither
+look toxic nor begin as what does keep their share by documents. A document's
 score is the share of toxic rows among those with as many such words and as telling a one.
 
 Learning uses all labelled rows (fewer, chosen by a hash of their id, only where a caller gives
@@ -21,8 +22,9 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,7 @@ _MIXED = re.compile(rf"(?:[^\W\d_]+{_SYMBOL}+|{_SYMBOL}+(?=[^\W\d_]))(?:[^\W\d_]
 _REPEATED = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
 _SPACED = re.compile(rf"(?<![^\W_])(?:(?:[^\W\d_]|{_SYMBOL})[ .\-_*~]){{3,}}(?:[^\W\d_]|{_SYMBOL})(?![^\W_])")
 
+_COUNT, _BEST, _NOTHING = itemgetter(0), itemgetter(1), (0, (-1.0, ""))
 _ODD = re.compile(rf"{_SYMBOL}|(.)\1\1", re.S)  # what every disguise holds
 _APART = re.compile(r"[ .\-_*~][^ .\-_*~][ .\-_*~][^ .\-_*~][ .\-_*~]")
 
@@ -145,6 +148,8 @@ class Model:
         known = self.words.get(w)
         if known is not None:
             return known
+        if w[:PREFIXES[0]] not in self.begun:
+            return 0.0
         return max((self.prefixes.get(w[:n], 0.0) for n in PREFIXES if n < len(w)), default=0.0)
 
     def told(self, words: list[str]) -> tuple[int, tuple[float, str]] | None:
@@ -158,18 +163,15 @@ class Model:
         Only letters set apart can hold white space; all else is looked up by token, and few tokens tell anything.
         """
         low = text.lower()
-        found, hidden = [], {}
-        for plain in filter(None, map(self.tokens.__getitem__, low.split())):
-            if len(plain) == 2:
-                found.append(plain)
-            else:
-                found += filter(None, plain[:1])
-                hidden.update(plain[2])
+        found, hidden = list(filter(None, map(self.tokens.__getitem__, low.split()))), {}
+        for told in found:
+            if len(told) == 3:
+                hidden.update(told[2])
         for t in _set_apart(low):
             hidden[t] = self.told(self.undone(t, apart=True))
         found += filter(None, hidden.values())
-        value, word = max((best for _, best in found), default=(0.0, None))
-        return min(sum(n for n, _ in found), 6), value, word
+        value, word = max(map(_BEST, found), default=(0.0, None))
+        return min(sum(map(_COUNT, found)), 6), value, word
 
     def score(self, text: str) -> tuple[float, str | None]:
         """Probability of label 1, and the word that tells most."""
@@ -180,22 +182,26 @@ class Model:
 
     def __post_init__(self):
         self.heads = {w[:PREFIXES[0]] for w in (*self.prefixes, *self.words)}
+        self.begun = {w[:PREFIXES[0]] for w in self.prefixes}
         self.lengths = sorted({n for n in map(len, (*self.prefixes, *self.words)) if n >= PREFIXES[0]}, reverse=True)
         self.tokens = _Tokens(self)
 
 
 class _Tokens(dict):
     """What a token without white space tells, kept for its next occurrences: ``told`` of its own words
-    (None for nothing) or, if it holds disguises, (that, None, ``told`` of what decoding adds by disguise)."""
+    (None for nothing) or, if it holds disguises, that and ``told`` of what decoding adds by disguise."""
 
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
 
     def __missing__(self, token: str):
-        plain = self.model.told([token] if token.isalpha() else _WORD.findall(token))
+        if token.isalpha():
+            plain = (int((value := self.model.word(token)) >= 0.5), (value, token)) if token[:PREFIXES[0]] in self.model.heads else None
+        else:
+            plain = self.model.told(_WORD.findall(token))
         hidden = {t: more for t in _disguises(token) if (more := self.model.told(self.model.undone(t)))} if _ODD.search(token) else None
-        told = (plain, None, hidden) if hidden else plain
+        told = (*(plain or _NOTHING), hidden) if hidden else plain
         if len(token) <= 64:  # longer ones are too seldom alike to keep
             if len(self) >= 150_000:
                 self.clear()
@@ -276,23 +282,39 @@ def _alike(table: pa.Table) -> pa.Table:
     return table.select(["doc_id", "toxic"]).take(pa.array(stays, pa.int64()))
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents that hold each word, and each beginning (marked ^), by label; a shuffle adds them up."""
-    counts: dict[str, list[int]] = {}
+def _count_held(kind: str, held_by: Callable[[set[str]], Iterable[str]]):
+    """Documents that hold each entry, by label; ``held_by`` tells those of a document from its words. A shuffle adds them up."""
 
-    def out():
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([c[1] for c in counts.values()], pa.int64()),
-                                           pa.array([c[0] for c in counts.values()], pa.int64())], names=["word", "toxic", "clean"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Counter(), Counter()
 
-    for batch in batches:
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            own = set(_WORD.findall(text.lower()))
-            for w in own.union(*({f"^{w[:n]}" for w in own if len(w) > n} for n in PREFIXES)):
-                counts.setdefault(w, [0, 0])[label] += 1
-            if len(counts) > 300_000:
-                yield out()
-                counts.clear()
-    yield out()
+        def out():
+            entries = list(counts[0].keys() | counts[1].keys())
+            return pa.RecordBatch.from_arrays([pa.array(entries, pa.string()), *(pa.array([counts[label].get(e, 0) for e in entries], pa.int64()) for label in (1, 0))],
+                                              names=[kind, "toxic", "clean"])
+
+        for batch in batches:
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+                counts[label].update(held_by(set(_WORD.findall(text.lower()))))
+                if len(counts[0]) + len(counts[1]) > 300_000:
+                    yield out()
+                    counts[0].clear()
+                    counts[1].clear()
+        yield out()
+
+    return run
+
+
+def _beginnings(known: set[str] | None):
+    """Beginnings among the ``known`` ones (None: all) of a document's words."""
+    heads = None if known is None else {p[:PREFIXES[0]] for p in known}
+
+    def of(own: set[str]) -> set[str]:
+        if known is None:
+            return {w[:n] for w in own for n in PREFIXES if n < len(w)}
+        return {w[:n] for w in own if w[:PREFIXES[0]] in heads for n in PREFIXES if n < len(w) and w[:n] in known}
+
+    return of
 
 
 def _neighbours(words: set[str], prefixes: set[str]):
@@ -309,15 +331,13 @@ def _neighbours(words: set[str], prefixes: set[str]):
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 row = ["", *_WORD.findall(text.lower()), ""]
-                for i in range(1, len(row) - 1):
-                    w = row[i]
-                    if w[:PREFIXES[0]] in heads:
-                        near = zlib.crc32(f"{row[i - 1]} {row[i + 1]}".encode())
-                        if w in words:
-                            seen.add((w, near, label))
-                        for n in PREFIXES:
-                            if n < len(w) and w[:n] in prefixes:
-                                seen.add(("^" + w[:n], near, label))
+                for i in [i for i, w in enumerate(row) if w[:PREFIXES[0]] in heads]:
+                    w, near = row[i], zlib.crc32(f"{row[i - 1]} {row[i + 1]}".encode())
+                    if w in words:
+                        seen.add((w, near, label))
+                    for n in PREFIXES:
+                        if n < len(w) and w[:n] in prefixes:
+                            seen.add(("^" + w[:n], near, label))
                 if len(seen) > 300_000:
                     yield out()
                     seen.clear()
@@ -369,29 +389,33 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int | None = None, max_e
     near_texts = (lambda ids: F.broadcast(ids)) if known.count() <= BROADCAST_ROWS else (lambda ids: ids)
     single = written(_without_copies(docs.select("doc_id", "text").join(near_texts(known), "doc_id")), "single")
     learned = written(docs.select("doc_id", "text").join(near_texts(single), "doc_id").select("text", "toxic"), "learned")
-    counted = written(learned
-                      .mapInArrow(_count_words, "word string, toxic long, clean long")
-                      .groupBy("word").agg(F.sum("toxic").alias("d1"), F.sum("clean").alias("d0")), "words")
-    words = counted.where("word not like '^%'")
+    counted = lambda kind, held_by: (learned.mapInArrow(_count_held(kind, held_by), f"{kind} string, toxic long, clean long")
+                                     .groupBy(kind).agg(F.sum("toxic").alias("d1"), F.sum("clean").alias("d0")))
+    words = written(counted("word", lambda own: own), "words")
     n1, n0 = single.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     prior = (n1 or 0) / max((n1 or 0) + (n0 or 0), 1)
     likely = lambda toxic, all_: f"({toxic} + {PREFIX_WEIGHT * prior}) / ({all_} + {PREFIX_WEIGHT})"
-    held = counted.where("word like '^%'").select(F.expr("substr(word, 2)").alias("prefix"), F.expr(likely("d1", "(d1 + d0)")).alias("p_docs")).where("p_docs >= 0.3")
     types = (words.where(f"length(word) > {PREFIXES[0]}")
              .select(F.explode(F.expr(f"transform(sequence({PREFIXES[0]}, least(length(word) - 1, {PREFIXES[-1]})), i -> substr(word, 1, i))")).alias("prefix"),
                      F.expr("d1 / (d1 + d0)").alias("share"))
              .groupBy("prefix").agg(F.sum("share").alias("t"), F.count(F.lit(1)).alias("n")).select("prefix", F.expr(likely("t", "n")).alias("p_types")))
+    types = written(types.where("p_types >= 0.3"), "types")  # documents are counted for these alone
+    few = types.count() <= BROADCAST_ROWS
+    held = (counted("prefix", _beginnings({r.prefix for r in types.select("prefix").toLocalIterator()} if few else None))
+            .select("prefix", F.expr(likely("d1", "(d1 + d0)")).alias("p_docs")))
     prefixes = (held.join(types, "prefix").select("prefix", F.least("p_docs", "p_types").alias("p")).where("p >= 0.3")
                 .orderBy(F.desc("p"), "prefix").limit(max_entries))
     prefix = {r.prefix: r.p for r in prefixes.collect()}
     heads = words.sparkSession.createDataFrame([(p[:4],) for p in prefix] or [("",)], "head string").distinct()
     chosen_words = (words.join(F.broadcast(heads), F.substring("word", 1, 4) == F.col("head"), "left")
-                    .where(f"head is not null or (d1 + {WORD_WEIGHT * prior}) / (d1 + d0 + {WORD_WEIGHT}) >= 0.3")
-                    .orderBy(F.expr("d1 + d0").desc(), "word").limit(max_entries).select("word", "d1", "d0"))
-    listed = {r.word for r in chosen_words.collect()}
-    near = (learned.mapInArrow(_neighbours(listed, set(prefix)), "entry string, near long, toxic int").distinct()
+                    .withColumn("looks", F.expr(f"(d1 + {WORD_WEIGHT * prior}) / (d1 + d0 + {WORD_WEIGHT}) >= 0.3")).where("head is not null or looks")
+                    .orderBy(F.desc("looks"), F.expr("d1 + d0").desc(), "word").limit(max_entries).select("word", "d1", "d0", "looks"))
+    listed = {r.word: r for r in chosen_words.collect()}
+    # most listed words only share four letters with a longer beginning, more of them the more texts there are; they look clean, and documents tell as much
+    judged = {w for w, r in listed.items() if r.looks or any(w[:n] in prefix for n in PREFIXES if n < len(w))}
+    near = (learned.mapInArrow(_neighbours(judged, set(prefix)), "entry string, near long, toxic int").distinct()
             .groupBy("entry").agg(F.sum("toxic").alias("d1"), F.sum(1 - F.col("toxic")).alias("d0")).collect())
-    seen = {r.entry: (r.d1, r.d0) for r in near}
+    seen = {r.entry: (r.d1, r.d0) for r in near} | {w: (r.d1, r.d0) for w, r in listed.items() if w not in judged}
     share = lambda entry, back, weight: (seen.get(entry, (0, 0))[0] + weight * back) / (sum(seen.get(entry, (0, 0))) + weight)
     prefix = {p: min(value, share("^" + p, prior, PREFIX_WEIGHT)) for p, value in prefix.items()}
     prefix = {p: value for p, value in prefix.items() if value >= 0.3}

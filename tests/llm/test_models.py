@@ -103,6 +103,21 @@ def test_only_verified_copies_are_left_out_of_training(spark):
     assert set(range(300)) | {990, 992} <= kept and not {900, 902, 991} & kept and len(got) == len(kept)
 
 
+def test_neighbours_are_taken_only_of_words_that_may_tell(spark, monkeypatch):
+    rng = random.Random(4)
+    other = lambda: "".join(rng.choices("aeioulnm", k=5))
+    rows = [(i, f"{other()} than {other()} than {other()}" + (f" thanxo{other()} {other()}" if i % 4 == 0 else "")) for i in range(400)]
+    docs, marks = tox_frames(spark, rows, [(i, int(i % 4 == 0)) for i, _ in rows])
+    judged, neighbours = [], toxicity_module._neighbours
+    monkeypatch.setattr(toxicity_module, "_neighbours", lambda words, prefixes: judged.append((words, prefixes)) or neighbours(words, prefixes))
+    model = train(keyed(docs), marks)
+    words, prefixes = judged[0]
+    assert {"thanx", "thanxo"} <= prefixes and any(w.startswith("thanxo") for w in words) and "than" not in words
+    seen = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    share = sum(i % 4 == 0 for i, _ in seen) / len(seen)
+    assert model.words["than"] == pytest.approx(share, rel=0.02) and model.word("thanxoaeiou") >= 0.5
+
+
 def lm_rows(n=300, seed=5):
     rng = random.Random(seed)
     tongues = [["".join(rng.choices(a, k=rng.randint(2, 6))) for _ in range(60)] for a in ("abcdef", "uvwxyz")]
