@@ -34,6 +34,7 @@ HIDDEN, HEAD_CLASSES, CLASS_WORDS, TAIL_CLASSES = 24, 16, 64, 32
 DOCS_EACH, FEW_TRAINERS, MOST_DOCS_EACH, MERGED, ROUNDS = 500, 16, 10_000, 16, 2
 LANES, TRAIN_LANES, WINDOW = 512, 48, 24
 FLUSH_TOKENS, LONG = 1_000_000, 4096  # tokens scored side by side; longer documents are gathered apart
+OUTPUT_ROWS = 2048  # outputs of so many tokens stay in a core's cache
 END = np.uint64(0)  # the end token's hash
 SHORT = HEAD_CLASSES * CLASS_WORDS  # words with a softmax of their own; the end token is the first
 RATE, CLIP = 0.08, 5.0
@@ -127,86 +128,124 @@ class Network:
         total = np.concatenate([(by_rank + 0.5).reshape(HEAD_CLASSES, CLASS_WORDS).sum(axis=1), vocabulary.mass])
         self.w["class_bias"][:] = np.log(total / total.sum())
 
+    def ready(self) -> tuple[np.ndarray, np.ndarray]:
+        """Input sums by token and the joined recurrent matrix, the gates' part of both halved for ``tanh``."""
+        table, joined = self.w["inputs"].copy(), np.concatenate([self.w["gates"], self.w["new"]], axis=1)
+        for x in (table, joined):
+            x[:, :2 * HIDDEN] *= 0.5
+        return table, joined
+
     def step(self, h: np.ndarray, x: np.ndarray, ended: np.ndarray):
         """One token on every lane; the state before an end token's successor is zero."""
-        before = h * ~ended[:, None]
-        sums = self.w["inputs"][x]
-        gates = 0.5 + 0.5 * np.tanh(0.5 * (sums[:, :2 * HIDDEN] + before @ self.w["gates"]))
-        r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        hidden = before @ self.w["new"]
-        new = np.tanh(sums[:, 2 * HIDDEN:] + r * hidden)
-        return before, r, z, hidden, new, new + z * (before - new)
+        table, joined = self.ready()
+        return _step(h, table[x], ~ended[:, None], joined)
 
     def output(self, h: np.ndarray, y: np.ndarray, grad: bool = False):
         """Natural log probability of each target (class of tail words only), and gradients."""
         k = np.where(y < SHORT, y // CLASS_WORDS, y - SHORT + HEAD_CLASSES)
-        at = np.arange(len(y))
-        logits = h @ self.w["classes"] + self.w["class_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        logp = logits[at, k] - np.log(total)
-        d_h, grads = None, {}
-        if grad:
-            d = e / total[:, None]
-            d[at, k] -= 1
-            grads = {"classes": h.T @ d, "class_bias": d.sum(axis=0), "words": np.zeros_like(self.w["words"]), "word_bias": np.zeros_like(self.w["word_bias"])}
-            d_h = d @ self.w["classes"].T
-        order = np.argsort(k, kind="stable")
-        bounds = np.searchsorted(k[order], np.arange(HEAD_CLASSES + 1))
-        for c in range(HEAD_CLASSES):
-            rows = order[bounds[c]:bounds[c + 1]]
-            if len(rows):
-                own, word = h[rows], y[rows] % CLASS_WORDS
-                logits = own @ self.w["words"][c] + self.w["word_bias"][c]
-                logits -= logits.max(axis=1, keepdims=True)
-                e = np.exp(logits)
-                total = e.sum(axis=1)
-                one = np.arange(len(rows))
-                logp[rows] += logits[one, word] - np.log(total)
-                if grad:
-                    d = e / total[:, None]
-                    d[one, word] -= 1
-                    grads["words"][c], grads["word_bias"][c] = own.T @ d, d.sum(axis=0)
-                    d_h[rows] += d @ self.w["words"][c].T
+        d = h @ self.w["classes"]
+        d += self.w["class_bias"]
+        logp = _softmax(d, k, grad)
+        order = np.argsort(k.astype(np.int8), kind="stable")
+        bounds = np.searchsorted(k[order], np.arange(HEAD_CLASSES + 1)).tolist()
+        order = order[:bounds[-1]]
+        own, word = h[order], y[order] % CLASS_WORDS
+        d_word = np.empty((len(order), CLASS_WORDS), d.dtype)
+        held = [(c, slice(*x)) for c, x in enumerate(zip(bounds[:-1], bounds[1:])) if x[0] < x[1]]
+        for c, rows in held:
+            np.matmul(own[rows], self.w["words"][c], out=d_word[rows])
+            d_word[rows] += self.w["word_bias"][c]
+        logp[order] += _softmax(d_word, word, grad)
+        if not grad:
+            return logp, None, {}
+        grads = {"classes": h.T @ d, "class_bias": np.ones(len(d), d.dtype) @ d, "words": np.zeros_like(self.w["words"]), "word_bias": np.zeros_like(self.w["word_bias"])}
+        d_h, d_own = d @ self.w["classes"].T, np.empty_like(own)
+        for c, rows in held:
+            np.matmul(own[rows].T, d_word[rows], out=grads["words"][c])
+            d_word[rows].sum(axis=0, out=grads["word_bias"][c])
+            np.matmul(d_word[rows], self.w["words"][c].T, out=d_own[rows])
+        d_h[order] += d_own
         return logp, d_h, grads
 
     def train_window(self, h: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Backpropagation within one window (steps, lanes); gives the state that goes on."""
-        saved = []
-        for t in range(len(x)):
-            saved.append(self.step(h, x[t], x[t] == 0))
-            h = saved[-1][-1]
-        _, d_out, grads = self.output(np.concatenate([s[-1] for s in saved]), y.ravel(), grad=True)
-        d_out = d_out.reshape(len(x), -1, HIDDEN)
-        d_sums = np.empty((*x.shape, 3 * HIDDEN), np.float32)
-        grads |= {"gates": np.zeros_like(self.w["gates"]), "new": np.zeros_like(self.w["new"])}
-        d_h = np.zeros_like(h)
-        for t in reversed(range(len(x))):
-            before, r, z, hidden, new, _ = saved[t]
-            d_h = d_h + d_out[t]
-            d_new = d_h * (1 - z) * (1 - new * new)
-            d_z = d_h * (before - new) * z * (1 - z)
-            d_r = d_new * hidden * r * (1 - r)
-            d_gates = np.concatenate([d_r, d_z], axis=1)
-            d_hidden = d_new * r
-            grads["gates"] += before.T @ d_gates
-            grads["new"] += before.T @ d_hidden
-            d_sums[t] = np.concatenate([d_gates, d_new], axis=1)
-            d_h = (d_h * z + d_gates @ self.w["gates"].T + d_hidden @ self.w["new"].T) * (x[t] != 0)[:, None]
-        flat, order = x.ravel(), np.argsort(x.ravel(), kind="stable")
+        steps, n, dtype = len(x), x.size, self.w["inputs"].dtype
+        table, joined = self.ready()
+        sums, going = table[x], (x != 0)[:, :, None].astype(dtype)
+        before, new, out = (np.empty((*x.shape, HIDDEN), dtype) for _ in range(3))
+        moved, gates = np.empty_like(sums), np.empty((*x.shape, 2 * HIDDEN), dtype)
+        for t in range(steps):
+            h = _step(h, sums[t], going[t], joined, (before[t], moved[t], gates[t], new[t], out[t]))[-1]
+        _, d_out, grads = self.output(out.reshape(n, HIDDEN), y.ravel(), grad=True)
+        d_out = d_out.reshape(out.shape)
+        # what a step's change of the state does to its sums, for all steps at once
+        r, z = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+        to_new = (1 - z) * (1 - new * new)
+        to_z = (before - new) * z * (1 - z)
+        to_r = moved[:, :, 2 * HIDDEN:] * r * (1 - r)
+        back = np.concatenate([self.w["gates"], self.w["new"]], axis=1).T.copy()
+        d_sums, d_new, d_h = moved, sums[:, :, 2 * HIDDEN:], np.zeros_like(h)
+        for t in reversed(range(steps)):
+            d_h += d_out[t]
+            np.multiply(d_h, to_new[t], out=d_new[t])
+            np.multiply(d_new[t], to_r[t], out=d_sums[t, :, :HIDDEN])
+            np.multiply(d_h, to_z[t], out=d_sums[t, :, HIDDEN:2 * HIDDEN])
+            np.multiply(d_new[t], r[t], out=d_sums[t, :, 2 * HIDDEN:])
+            d_h *= z[t]
+            d_h += d_sums[t] @ back
+            d_h *= going[t]
+        recurrent = before.reshape(n, HIDDEN).T @ d_sums.reshape(n, 3 * HIDDEN)
+        grads |= {"gates": recurrent[:, :2 * HIDDEN], "new": recurrent[:, 2 * HIDDEN:]}
+        d_sums[:, :, 2 * HIDDEN:] = d_new
+        flat = x.ravel().astype(np.int16)
+        order = np.argsort(flat, kind="stable")
         heads = np.flatnonzero(np.concatenate([[True], np.diff(flat[order]) != 0]))
         rows = flat[order][heads]
         scale = 1.0 / max(1.0, math.sqrt(flat.size))
-        self._move("inputs", np.add.reduceat(d_sums.reshape(-1, 3 * HIDDEN)[order], heads, axis=0) * scale, rows)
+        self._move("inputs", np.add.reduceat(d_sums.reshape(n, 3 * HIDDEN)[order], heads, axis=0) * scale, rows)
         for name, g in grads.items():
             self._move(name, g * scale)
         return h
 
     def _move(self, name: str, g: np.ndarray, rows=slice(None)):
-        g = np.clip(g, -CLIP, CLIP)
-        self.squares[name][rows] += g * g
-        self.w[name][rows] -= RATE * g / np.sqrt(self.squares[name][rows])
+        g = np.minimum(np.maximum(g, -CLIP), CLIP)
+        squares = self.squares[name][rows]
+        squares += g * g
+        self.squares[name][rows] = squares
+        g *= RATE
+        g /= np.sqrt(squares)
+        self.w[name][rows] -= g
+
+
+def _step(h: np.ndarray, sums: np.ndarray, going: np.ndarray, joined: np.ndarray, into=(None,) * 5):
+    """State before, recurrent sums, both gates, new state and state after one token, written ``into`` given arrays;
+    ``sums`` and ``joined`` as made by ``Network.ready``."""
+    before = np.multiply(h, going, out=into[0])
+    moved = np.matmul(before, joined, out=into[1])
+    gates = np.add(sums[:, :2 * HIDDEN], moved[:, :2 * HIDDEN], out=into[2])
+    np.tanh(gates, out=gates)
+    gates *= 0.5
+    gates += 0.5
+    new = np.multiply(gates[:, :HIDDEN], moved[:, 2 * HIDDEN:], out=into[3])
+    new += sums[:, 2 * HIDDEN:]
+    np.tanh(new, out=new)
+    after = np.subtract(before, new, out=into[4])
+    after *= gates[:, HIDDEN:]
+    after += new
+    return before, moved, gates, new, after
+
+
+def _softmax(logits: np.ndarray, chosen: np.ndarray, grad: bool) -> np.ndarray:
+    """Natural log probability of each row's chosen column; ``logits`` hold its gradient after, if asked for."""
+    logits -= logits.max(axis=1, keepdims=True)
+    at = np.arange(len(chosen))
+    own = logits[at, chosen]
+    np.exp(logits, out=logits)
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
+    if grad:
+        logits /= total[:, None]
+        logits[at, chosen] -= 1
+    return own - np.log(total)
 
 
 def lanes(sizes: np.ndarray, most: int) -> list[list[int]]:
@@ -313,13 +352,14 @@ def train(docs: DataFrame, head: int = HEAD, rounds: int = ROUNDS) -> Model:
     for r in counts.groupBy("class").agg(F.sum(F.col("c") + 0.5).alias("m")).collect():
         mass[r["class"]] += r.m
     vocabulary = Vocabulary(h, c, n or 0, v or 0, np.maximum(mass - short, 0.5))
+    short_list = Vocabulary(h[:SHORT], c[:SHORT], vocabulary.n, vocabulary.v, vocabulary.mass)  # all that trainers tell apart
     network = Network()
     network.start_from(vocabulary)
     rows = docs.count() if n else 0
     trainers = max(1, min(FEW_TRAINERS, round(rows / DOCS_EACH)), round(rows / MOST_DOCS_EACH))
     for _ in range(rounds if rows else 0):
         dealt = docs.repartition(trainers, F.xxhash64(ROW)).select("text")
-        learned = dealt.mapInArrow(_train(vocabulary, network.w), "part long, tokens long, weights binary")
+        learned = dealt.mapInArrow(_train(short_list, network.w), "part long, tokens long, weights binary")
         network.w = averaged(learned) or network.w
     return Model(vocabulary, network, counts)
 
@@ -327,6 +367,7 @@ def train(docs: DataFrame, head: int = HEAD, rounds: int = ROUNDS) -> Model:
 def _score(model_of, out_names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, network = model_of.value
+        table, joined = network.ready()
         pools: dict[bool, list[tuple]] = {False: [], True: []}  # short and long documents
         held = {False: 0, True: 0}
         smooth = math.log10(vocabulary.n + 0.5 * (vocabulary.v + 1))
@@ -346,10 +387,14 @@ def _score(model_of, out_names: list[str]):
                 states, x_of = [], np.where(grid <= 0, 0, ids[grid - 1])
                 for t in range(len(grid)):
                     live = full + int((grid[t, full:] >= 0).sum())
-                    state = network.step(state[:live], x_of[t, :live], x_of[t, :live] == 0)[-1]
+                    x = x_of[t, :live]
+                    state = _step(state[:live], table[x], (x != 0)[:, None], joined)[-1]
                     states.append(state)
                 at = grid.ravel()[grid.ravel() >= 0]
-                logp[at] = network.output(np.concatenate(states), ids[at])[0]
+                states = np.concatenate(states)
+                for low in range(0, len(at), OUTPUT_ROWS):
+                    part = slice(low, low + OUTPUT_ROWS)
+                    logp[at[part]] = network.output(states[part], ids[at[part]])[0]
             logp /= math.log(10)
             beyond = ids >= SHORT  # tail words share their class's mass by counts
             logp[beyond] -= log_mass[tail[beyond]]

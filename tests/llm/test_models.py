@@ -172,6 +172,17 @@ def test_weights_learn_from_every_document(spark, monkeypatch):
     assert len(seen) == lm.ROUNDS and all(n >= 0.95 * model.vocabulary.n for n in seen)
 
 
+def test_trainers_look_up_the_short_list_alone(spark, monkeypatch):
+    rng = random.Random(6)
+    docs = lm.keyed(lm_frame(spark, [(i, " ".join(f"w{int(rng.random() ** 2 * 3000)}" for _ in range(400))) for i in range(40)]))
+    given, run = [], lm._train
+    monkeypatch.setattr(lm, "_train", lambda vocabulary, weights: given.append(vocabulary) or run(vocabulary, weights))
+    whole = lm.train(docs).vocabulary
+    assert len(given) == lm.ROUNDS and len(whole.h) > lm.SHORT and all(len(x.h) == lm.SHORT for x in given)
+    tail = np.zeros(len(whole.h), np.int64)
+    assert (lm.number(given[0], whole.h, tail)[0] == lm.number(whole, whole.h, tail)[0]).all()
+
+
 def test_weights_are_averaged_in_a_tree(spark):
     rows = [(i, i % 3, lm.pickle.dumps({"a": np.full(2, i, np.float32)})) for i in range(300)]
     got = lm.averaged(spark.createDataFrame(rows, "part long, tokens long, weights binary"))
