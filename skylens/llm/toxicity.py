@@ -28,7 +28,8 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skylens.llm import spans
 from skylens.llm.common import ROW, keyed, written
@@ -64,6 +65,7 @@ class Model:
     floor: float
     calibration: dict[tuple[int, int], float] = field(default_factory=dict)
     decoded: dict[str, str] = field(default_factory=dict)
+    on_its_way: Broadcast | None = None
 
     def decode(self, token: str) -> str:
         """Likeliest letters behind ``token``; states are the last two letters."""
@@ -180,6 +182,15 @@ class Model:
         value = max(value, self.prior / 4)
         return (value if known is None else 0.9 * known + 0.1 * value), word
 
+    def shared(self, spark: SparkSession) -> Broadcast:
+        """The model on its way to the tasks, the same for every pass, so that a worker holds and reads it once."""
+        if self.on_its_way is None:
+            self.on_its_way = spark.sparkContext.broadcast(self)
+        return self.on_its_way
+
+    def __getstate__(self):
+        return self.__dict__ | {"on_its_way": None}
+
     def __post_init__(self):
         self.heads = {w[:PREFIXES[0]] for w in (*self.prefixes, *self.words)}
         self.begun = {w[:PREFIXES[0]] for w in self.prefixes}
@@ -227,7 +238,7 @@ def _band(value: float) -> int:
 def _calibrated(model: Model, rows: DataFrame) -> dict[tuple[int, int], float]:
     """Share of toxic ``rows`` (text, toxic) by (count, grade) of their evidence, at most some 50 cells;
     two rows' worth of the grade's own mean keep small cells near it."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = model.shared(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -438,9 +449,10 @@ def _language(grams) -> tuple[dict[str, float], float]:
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """(_row, doc_id, score, evidence) for every row of ``docs`` (_row, doc_id, text); whole texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, calibration = model.shared(docs.sparkSession), model.calibration  # the model went out before it was calibrated
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.value.calibration = calibration
         for batch in batches:
             found = [shared.value.score(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("doc_id"), pa.array([s for s, _ in found], pa.float64()),
