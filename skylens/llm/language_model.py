@@ -138,80 +138,97 @@ class Network:
     def step(self, h: np.ndarray, x: np.ndarray, ended: np.ndarray):
         """One token on every lane; the state before an end token's successor is zero."""
         table, joined = self.ready()
-        return _step(h, table[x], ~ended[:, None], joined)
+        return [a.T for a in _step(h.T, table[x].T, ~ended, joined.T)]
 
     def output(self, h: np.ndarray, y: np.ndarray, grad: bool = False):
-        """Natural log probability of each target (class of tail words only), and gradients."""
+        """Natural log probability of each target (class of tail words only), and gradients; a row of ``h`` for each."""
+        logp, d_h, grads = self.outputs(np.ascontiguousarray(h.T), y, grad)
+        return logp, d_h if d_h is None else d_h.T, grads
+
+    def outputs(self, h: np.ndarray, y: np.ndarray, grad: bool = False):
+        """``output`` with a column of ``h`` for each target."""
         k = np.where(y < SHORT, y // CLASS_WORDS, y - SHORT + HEAD_CLASSES)
-        d = h @ self.w["classes"]
-        d += self.w["class_bias"]
-        logp = _softmax(d, k, grad)
+        most = np.abs(h).max()  # no logit is further from zero than its weights allow
+        far = lambda w, axis, bias: most * np.abs(w).sum(axis=axis).max() + np.abs(bias).max() > 60
+        d = self.w["classes"].T @ h
+        d += self.w["class_bias"][:, None]
+        logp = _softmax(d, k, grad, far(self.w["classes"], 0, self.w["class_bias"]))
         order = np.argsort(k.astype(np.int8), kind="stable")
         bounds = np.searchsorted(k[order], np.arange(HEAD_CLASSES + 1)).tolist()
         order = order[:bounds[-1]]
-        own, word = h[order], y[order] % CLASS_WORDS
-        d_word = np.empty((len(order), CLASS_WORDS), d.dtype)
+        own, word = np.take(h, order, axis=1), y[order] % CLASS_WORDS
+        d_word = np.empty((CLASS_WORDS, len(order)), d.dtype)
         held = [(c, slice(*x)) for c, x in enumerate(zip(bounds[:-1], bounds[1:])) if x[0] < x[1]]
-        for c, rows in held:
-            np.matmul(own[rows], self.w["words"][c], out=d_word[rows])
-            d_word[rows] += self.w["word_bias"][c]
-        logp[order] += _softmax(d_word, word, grad)
+        for c, at in held:
+            np.matmul(self.w["words"][c].T, own[:, at], out=d_word[:, at])
+        d_word += np.repeat(self.w["word_bias"].T, np.diff(bounds), axis=1)
+        logp[order] += _softmax(d_word, word, grad, far(self.w["words"], 1, self.w["word_bias"]))
         if not grad:
             return logp, None, {}
-        grads = {"classes": h.T @ d, "class_bias": np.ones(len(d), d.dtype) @ d, "words": np.zeros_like(self.w["words"]), "word_bias": np.zeros_like(self.w["word_bias"])}
-        d_h, d_own = d @ self.w["classes"].T, np.empty_like(own)
-        for c, rows in held:
-            np.matmul(own[rows].T, d_word[rows], out=grads["words"][c])
-            d_word[rows].sum(axis=0, out=grads["word_bias"][c])
-            np.matmul(d_word[rows], self.w["words"][c].T, out=d_own[rows])
-        d_h[order] += d_own
+        ones = np.ones(d.shape[1], d.dtype)
+        grads = {"classes": h @ d.T, "class_bias": d @ ones, "words": np.zeros_like(self.w["words"]), "word_bias": np.zeros_like(self.w["word_bias"])}
+        d_h, d_own = self.w["classes"] @ d, np.empty_like(own)
+        for c, at in held:
+            np.matmul(own[:, at], d_word[:, at].T, out=grads["words"][c])
+            np.matmul(d_word[:, at], ones[at], out=grads["word_bias"][c])
+            np.matmul(self.w["words"][c], d_word[:, at], out=d_own[:, at])
+        d_h[:, order] += d_own
         return logp, d_h, grads
 
     def train_window(self, h: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Backpropagation within one window (steps, lanes); gives the state that goes on."""
-        steps, n, dtype = len(x), x.size, self.w["inputs"].dtype
+        """Backpropagation within one window (steps, lanes); gives the state that goes on.
+
+        Arrays hold a row for each unit, so that those of one gate lie together and a step's sums of all lanes are one run of memory.
+        """
+        steps, width, n, dtype = *x.shape, x.size, self.w["inputs"].dtype
         table, joined = self.ready()
-        sums, going = table[x], (x != 0)[:, :, None].astype(dtype)
-        before, new, out = (np.empty((*x.shape, HIDDEN), dtype) for _ in range(3))
-        moved, gates = np.empty_like(sums), np.empty((*x.shape, 2 * HIDDEN), dtype)
+        joined = joined.T.copy()
+        sums, going = np.ascontiguousarray(table[x].transpose(0, 2, 1)), (x != 0)[:, None].astype(dtype)
+        before, new, out = (np.empty((steps, HIDDEN, width), dtype) for _ in range(3))
+        moved, gates = np.empty_like(sums), np.empty((steps, 2 * HIDDEN, width), dtype)
+        h = h.T
         for t in range(steps):
             h = _step(h, sums[t], going[t], joined, (before[t], moved[t], gates[t], new[t], out[t]))[-1]
-        _, d_out, grads = self.output(out.reshape(n, HIDDEN), y.ravel(), grad=True)
-        d_out = d_out.reshape(out.shape)
+        _, d_out, grads = self.outputs(out.transpose(1, 0, 2).reshape(HIDDEN, n), y.ravel(), grad=True)
+        d_out = np.ascontiguousarray(d_out.reshape(HIDDEN, steps, width).transpose(1, 0, 2))
         # what a step's change of the state does to its sums, for all steps at once
-        r, z = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+        r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
         to_new = (1 - z) * (1 - new * new)
         to_z = (before - new) * z * (1 - z)
-        to_r = moved[:, :, 2 * HIDDEN:] * r * (1 - r)
-        back = np.concatenate([self.w["gates"], self.w["new"]], axis=1).T.copy()
-        d_sums, d_new, d_h = moved, sums[:, :, 2 * HIDDEN:], np.zeros_like(h)
+        to_r = moved[:, 2 * HIDDEN:] * r * (1 - r)
+        back = np.concatenate([self.w["gates"], self.w["new"]], axis=1)
+        d_sums, d_new, d_h, carried = moved, to_new, np.zeros((HIDDEN, width), dtype), np.empty((HIDDEN, width), dtype)
         for t in reversed(range(steps)):
             d_h += d_out[t]
             np.multiply(d_h, to_new[t], out=d_new[t])
-            np.multiply(d_new[t], to_r[t], out=d_sums[t, :, :HIDDEN])
-            np.multiply(d_h, to_z[t], out=d_sums[t, :, HIDDEN:2 * HIDDEN])
-            np.multiply(d_new[t], r[t], out=d_sums[t, :, 2 * HIDDEN:])
+            own = d_sums[t]
+            np.multiply(d_new[t], to_r[t], out=own[:HIDDEN])
+            np.multiply(d_h, to_z[t], out=own[HIDDEN:2 * HIDDEN])
+            np.multiply(d_new[t], r[t], out=own[2 * HIDDEN:])
             d_h *= z[t]
-            d_h += d_sums[t] @ back
+            d_h += np.matmul(back, own, out=carried)
             d_h *= going[t]
-        recurrent = before.reshape(n, HIDDEN).T @ d_sums.reshape(n, 3 * HIDDEN)
+        by_row = lambda a: a.transpose(0, 2, 1).reshape(n, -1)
+        d_rows = by_row(d_sums)
+        recurrent = by_row(before).T @ d_rows
         grads |= {"gates": recurrent[:, :2 * HIDDEN], "new": recurrent[:, 2 * HIDDEN:]}
-        d_sums[:, :, 2 * HIDDEN:] = d_new
+        d_rows[:, 2 * HIDDEN:] = by_row(d_new)
         flat = x.ravel().astype(np.int16)
         order = np.argsort(flat, kind="stable")
         heads = np.flatnonzero(np.concatenate([[True], np.diff(flat[order]) != 0]))
         rows = flat[order][heads]
         scale = 1.0 / max(1.0, math.sqrt(flat.size))
-        self._move("inputs", np.add.reduceat(d_sums.reshape(n, 3 * HIDDEN)[order], heads, axis=0) * scale, rows)
+        self._move("inputs", np.add.reduceat(d_rows[order], heads, axis=0) * scale, rows)
         for name, g in grads.items():
             self._move(name, g * scale)
-        return h
+        return h.T
 
     def _move(self, name: str, g: np.ndarray, rows=slice(None)):
-        g = np.minimum(np.maximum(g, -CLIP), CLIP)
+        np.minimum(np.maximum(g, -CLIP, out=g), CLIP, out=g)
         squares = self.squares[name][rows]
         squares += g * g
-        self.squares[name][rows] = squares
+        if not isinstance(rows, slice):  # else they are the held ones
+            self.squares[name][rows] = squares
         g *= RATE
         g /= np.sqrt(squares)
         self.w[name][rows] -= g
@@ -219,32 +236,34 @@ class Network:
 
 def _step(h: np.ndarray, sums: np.ndarray, going: np.ndarray, joined: np.ndarray, into=(None,) * 5):
     """State before, recurrent sums, both gates, new state and state after one token, written ``into`` given arrays;
-    ``sums`` and ``joined`` as made by ``Network.ready``."""
+    a column for each lane, ``sums`` and ``joined`` transposed from ``Network.ready``."""
     before = np.multiply(h, going, out=into[0])
-    moved = np.matmul(before, joined, out=into[1])
-    gates = np.add(sums[:, :2 * HIDDEN], moved[:, :2 * HIDDEN], out=into[2])
+    moved = np.matmul(joined, before, out=into[1])
+    gates = np.add(sums[:2 * HIDDEN], moved[:2 * HIDDEN], out=into[2])
     np.tanh(gates, out=gates)
     gates *= 0.5
     gates += 0.5
-    new = np.multiply(gates[:, :HIDDEN], moved[:, 2 * HIDDEN:], out=into[3])
-    new += sums[:, 2 * HIDDEN:]
+    new = np.multiply(gates[:HIDDEN], moved[2 * HIDDEN:], out=into[3])
+    new += sums[2 * HIDDEN:]
     np.tanh(new, out=new)
     after = np.subtract(before, new, out=into[4])
-    after *= gates[:, HIDDEN:]
+    after *= gates[HIDDEN:]
     after += new
     return before, moved, gates, new, after
 
 
-def _softmax(logits: np.ndarray, chosen: np.ndarray, grad: bool) -> np.ndarray:
-    """Natural log probability of each row's chosen column; ``logits`` hold its gradient after, if asked for."""
-    logits -= logits.max(axis=1, keepdims=True)
+def _softmax(logits: np.ndarray, chosen: np.ndarray, grad: bool, far: bool = True) -> np.ndarray:
+    """Natural log probability of each column's chosen row; ``logits`` hold its gradient after, if asked for.
+    Those that may be ``far`` from zero are moved to their largest, so that none overflows."""
+    if far:
+        logits -= logits.max(axis=0)
     at = np.arange(len(chosen))
-    own = logits[at, chosen]
+    own = logits[chosen, at]
     np.exp(logits, out=logits)
-    total = logits @ np.ones(logits.shape[1], logits.dtype)
+    total = np.ones(len(logits), logits.dtype) @ logits
     if grad:
-        logits /= total[:, None]
-        logits[at, chosen] -= 1
+        logits *= 1 / total
+        logits[chosen, at] -= 1
     return own - np.log(total)
 
 
@@ -368,6 +387,7 @@ def _score(model_of, out_names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, network = model_of.value
         table, joined = network.ready()
+        joined = joined.T.copy()
         pools: dict[bool, list[tuple]] = {False: [], True: []}  # short and long documents
         held = {False: 0, True: 0}
         smooth = math.log10(vocabulary.n + 0.5 * (vocabulary.v + 1))
@@ -380,21 +400,21 @@ def _score(model_of, out_names: list[str]):
             ids = ids.astype(np.int32)
             doc_of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
             logp = np.empty(len(h))
-            state = np.zeros((LANES, HIDDEN), np.float32)
+            state = np.zeros((HIDDEN, LANES), np.float32)
             for grid, _ in _grids(ids, sizes, LANES):
-                state = state[:grid.shape[1]]
+                state = state[:, :grid.shape[1]]
                 full = int((grid >= 0).all(axis=0).sum())
                 states, x_of = [], np.where(grid <= 0, 0, ids[grid - 1])
+                sums, going = np.ascontiguousarray(table[x_of].transpose(0, 2, 1)), (x_of != 0).astype(np.float32)
                 for t in range(len(grid)):
                     live = full + int((grid[t, full:] >= 0).sum())
-                    x = x_of[t, :live]
-                    state = _step(state[:live], table[x], (x != 0)[:, None], joined)[-1]
+                    state = _step(state[:, :live], sums[t, :, :live], going[t, :live], joined)[-1]
                     states.append(state)
                 at = grid.ravel()[grid.ravel() >= 0]
-                states = np.concatenate(states)
+                states = np.concatenate(states, axis=1)
                 for low in range(0, len(at), OUTPUT_ROWS):
                     part = slice(low, low + OUTPUT_ROWS)
-                    logp[at[part]] = network.output(states[part], ids[at[part]])[0]
+                    logp[at[part]] = network.outputs(np.ascontiguousarray(states[:, part]), ids[at[part]])[0]
             logp /= math.log(10)
             beyond = ids >= SHORT  # tail words share their class's mass by counts
             logp[beyond] -= log_mass[tail[beyond]]
